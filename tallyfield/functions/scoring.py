@@ -7,13 +7,11 @@ is one projection with no shuffle however many systems are asked for.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.functions.typing import to_double
+from tallyfield.functions.typing import number_sql
 
 Rules = Mapping[str, float]
 
@@ -62,8 +60,8 @@ def get_system(systems: Mapping[str, Rules], name: str) -> Rules:
     return systems.get(name, {})
 
 
-def _filled(df: DataFrame, stat: str) -> Column:
-    return F.coalesce(to_double(F.col(stat), df.schema[stat].dataType), F.lit(0.0))
+def _filled(df: DataFrame, stat: str) -> str:
+    return f"coalesce({number_sql(stat, df.schema[stat].dataType)}, 0D)"
 
 
 def points(df: DataFrame, rules: Rules) -> Column:
@@ -72,9 +70,8 @@ def points(df: DataFrame, rules: Rules) -> Column:
     Stats the frame lacks are skipped, NULL or unreadable values count as 0, and the terms
     are added in rule order so that results repeat bit for bit.
     """
-    terms = [_filled(df, s) * F.lit(float(w)) for s, w in rules.items() if s in df.columns]
-    total = reduce(add, terms, F.lit(0.0))
-    return F.rint(total * 100.0) / F.lit(100.0)
+    terms = [f"{_filled(df, s)} * {float(w)!r}D" for s, w in rules.items() if s in df.columns]
+    return F.expr(f"rint(({' + '.join(['0D', *terms])}) * 100D) / 100D")
 
 
 def points_for(df: DataFrame, system: str, systems: Mapping[str, Rules] | None = None) -> Column:
@@ -99,13 +96,13 @@ def score(
     systems = systems if systems is not None else builtin_systems()
     if derive_missing:
         derived = {
-            stat: reduce(add, [_filled(df, p) for p in parts if p in df.columns])
+            stat: F.expr(" + ".join(_filled(df, p) for p in parts if p in df.columns))
             for stat, parts in DERIVED_STATS.items()
             if stat not in df.columns and any(p in df.columns for p in parts)
         }
         df = df.withColumns(derived) if derived else df
     df = df.withColumns(
-        {s: _filled(df, s) if s in df.columns else F.lit(0.0) for s in FILLED_STATS}
+        {s: F.expr(_filled(df, s) if s in df.columns else "0D") for s in FILLED_STATS}
     )
     return df.withColumns(
         {f"fantasy_points_{name}": points(df, rules) for name, rules in systems.items()}

@@ -15,6 +15,7 @@ NULL_TEXTS = ("nan", "None", "")
 TRUE_TEXTS = ("true", "1", "yes", "y")
 FALSE_TEXTS = ("false", "0", "no", "n")
 WHITESPACE = " \t\r\n\f\v"
+WHITESPACE_SQL = r" \t\r\n\u000C\u000B"
 # --- end of fixed values ---
 
 # Java's own parser also takes "12d" and "0x1p3"; a statistics file never means those.
@@ -26,25 +27,31 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def to_double(c: Column, source: T.DataType | None = None) -> Column:
+def number_sql(name: str, source: T.DataType | None = None) -> str:
+    """SQL text for column ``name`` as a double: NULL for text that is no number, and for NaN.
+
+    Given as text because scoring and summaries need it for dozens of columns at a time.
+    """
+    col = f"`{name}`"
+    if isinstance(source, (T.FloatType, T.DoubleType)):
+        return f"nanvl(CAST({col} AS DOUBLE), NULL)"
+    if isinstance(source, (T.NumericType, T.BooleanType)):
+        return f"CAST({col} AS DOUBLE)"
+    text = f"btrim(CAST({col} AS STRING), '{WHITESPACE_SQL}')"
+    return f"CASE WHEN {text} RLIKE r'{_NUMBER}' THEN try_cast({text} AS DOUBLE) END"
+
+
+def to_double(name: str, source: T.DataType | None = None) -> Column:
     """Number or NULL. NaN counts as missing, as it does in a statistics file."""
-    if source is not None and isinstance(source, T.NumericType):
-        d = c.cast("double")
-        if isinstance(source, (T.FloatType, T.DoubleType)):
-            return F.when(~F.isnan(d), d)
-        return d
-    if source is not None and isinstance(source, T.BooleanType):
-        return c.cast("double")
-    s = strip(c.cast("string"))
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
-
-
-def to_int(c: Column, source: T.DataType | None = None) -> Column:
+    return F.expr(number_sql(name, source))
+
+
+def to_int(name: str, source: T.DataType | None = None) -> Column:
     """Whole number or NULL; 7.5 has no integer meaning and becomes NULL."""
-    if source is not None and isinstance(source, T.IntegralType):
-        return c.try_cast("int")
-    d = to_double(c, source)
-    return F.when(d == F.floor(d), d.try_cast("int"))
+    if isinstance(source, T.IntegralType):
+        return F.col(f"`{name}`").try_cast("int")
+    d = number_sql(name, source)
+    return F.expr(f"CASE WHEN {d} = floor({d}) THEN try_cast({d} AS INT) END")
 
 
 def to_date(c: Column, formats: Iterable[str] = ()) -> Column:
@@ -67,12 +74,13 @@ def to_bool(c: Column) -> Column:
     return F.when(s.isin(*TRUE_TEXTS), F.lit(True)).when(s.isin(*FALSE_TEXTS), F.lit(False))
 
 
-def flag_to_bool(c: Column, source: T.DataType) -> Column:
+def flag_to_bool(name: str, source: T.DataType) -> Column:
     """Boolean from whatever type the landing file used for a flag."""
+    c = F.col(f"`{name}`")
     if isinstance(source, T.BooleanType):
         return c
     if isinstance(source, T.NumericType):
-        d = to_double(c, source)
+        d = to_double(name, source)
         return F.when(d == 1, F.lit(True)).when(d == 0, F.lit(False))
     return to_bool(c)
 
@@ -89,16 +97,17 @@ def clean_time_text(c: Column) -> Column:
     return F.when(s != "nan", s)
 
 
-def convert(c: Column, source: T.DataType, target: T.DataType) -> Column:
+def convert(name: str, source: T.DataType, target: T.DataType) -> Column:
     """Lenient conversion of one column to its declared type."""
+    c = F.col(f"`{name}`")
     if isinstance(target, T.IntegerType):
-        return to_int(c, source)
+        return to_int(name, source)
     if isinstance(target, T.LongType):
         return c.try_cast("bigint")
     if isinstance(target, T.DoubleType):
-        return to_double(c, source)
+        return to_double(name, source)
     if isinstance(target, T.BooleanType):
-        return flag_to_bool(c, source)
+        return flag_to_bool(name, source)
     if isinstance(target, T.DateType):
         return to_date(c)
     if isinstance(target, T.TimestampType):
@@ -116,7 +125,7 @@ def typed(df: DataFrame, table: str) -> DataFrame:
         elif f.name == "gametime":
             out.append(clean_time_text(c).alias(f.name))
         else:
-            out.append(convert(c, f.dataType, declared_type(table, f.name, f.dataType)).alias(f.name))
+            out.append(convert(f.name, f.dataType, declared_type(table, f.name, f.dataType)).alias(f.name))
     return df.select(*out)
 
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.functions.exact import ratio
 from tallyfield.operators.ranking import rank_within
 
 # --- fixed values: stats with a per-game column, ranked positions, rank column names ---
@@ -48,27 +47,23 @@ def roster_summary(rosters: DataFrame) -> DataFrame:
     return rosters.groupBy("player_id", "season").agg(*[F.max(c).alias(c) for c in ROSTER_COLUMNS])
 
 
-def per_game(c: Column, games: Column) -> Column:
+def per_game(stat: str) -> Column:
     """Value per game; 0 where there are no games."""
-    return F.when(games > 0, ratio(c, games)).otherwise(F.lit(0.0))
+    return F.expr(f"CASE WHEN games > 0 THEN CAST({stat} AS DOUBLE) / games ELSE 0D END")
 
 
-def per_game_columns(stats: Sequence[str] = PER_GAME_STATS) -> list[Column]:
-    return [per_game(F.col(s), F.col("games")).alias(f"{s}_per_game") for s in stats]
+def per_game_columns(stats: Sequence[str] = PER_GAME_STATS) -> dict[str, Column]:
+    return {f"{s}_per_game": per_game(s) for s in stats}
 
 
 def base_rows(seasonal: DataFrame, rosters: DataFrame) -> DataFrame:
     """Season stats with player facts, rookie flag and per-game columns."""
     facts = roster_summary(rosters).withColumnRenamed("draft_number", "draft_position")
-    rookie = F.col("season") == F.col("rookie_year").try_cast("int")
+    rookie = F.expr("CASE WHEN season = try_cast(rookie_year AS INT) THEN 1 ELSE 0 END")
     return (
         seasonal.join(facts, ["player_id", "season"], "left")
-        .select(
-            *[F.col(f"`{c}`") for c in seasonal.columns],
-            "player_name", "position", "years_exp", "draft_position", "weight", "height",
-            F.when(rookie, 1).otherwise(0).alias("is_rookie"),
-            *per_game_columns(),
-        )
+        .withColumns({"is_rookie": rookie, **per_game_columns()})
+        .drop("rookie_year")
     )
 
 
@@ -78,7 +73,7 @@ def position_ranks(base: DataFrame, totals: bool = True, per_game_ranks: bool =
     if totals:
         measures |= {f"{p}_tot_rnk": F.col(c) for p, c in RANK_PREFIXES.items()}
     if per_game_ranks:
-        measures |= {f"{p}_ppg_rnk": per_game(F.col(c), F.col("games")) for p, c in RANK_PREFIXES.items()}
+        measures |= {f"{p}_ppg_rnk": per_game(c) for p, c in RANK_PREFIXES.items()}
     ranked = F.col("position").isin(*RANKED_POSITIONS)
     return rank_within(base, ["season", "position"], measures, row_key=["player_id"], only=ranked)
 
@@ -88,12 +83,13 @@ def rankings_by_player(linked: DataFrame) -> DataFrame:
 
     Of several entries in a phase the best-ranked one that has the value is taken.
     """
-    order = F.coalesce(F.col("rank"), F.lit(float("inf")))
-    cells = []
-    for prefix, early in RANKING_PHASES.items():
-        for v in RANKING_VALUES:
-            hit = (F.col("before_preseason") == F.lit(early)) & F.col(v).isNotNull()
-            cells.append(F.min_by(v, F.when(hit, order)).alias(f"{prefix}_{v}"))
+    cells = [
+        F.expr(
+            f"min_by({v}, CASE WHEN before_preseason = {early} AND {v} IS NOT NULL "
+            "THEN coalesce(rank, double('Infinity')) END)"
+        ).alias(f"{prefix}_{v}")
+        for prefix, early in RANKING_PHASES.items() for v in RANKING_VALUES
+    ]
     return linked.groupBy("player_id", F.col("year").alias("season")).agg(*cells)
 
 

@@ -101,8 +101,8 @@ def cast_numeric(spark, sf):
     df = _texts(spark, sf, text=_TEXT_NUMBER)
     return df.select(
         "event_id",
-        t.to_int(F.col("text")).alias("as_int"),
-        t.to_double(F.col("text")).alias("as_double"),
+        t.to_int("text").alias("as_int"),
+        t.to_double("text").alias("as_double"),
     )
 
 
@@ -392,7 +392,9 @@ def roster_collapse(spark, sf):
 
 
 def per_game(spark, sf):
-    return _seasonal(spark, sf).select("player_id", "season", "games", *ss.per_game_columns())
+    return _seasonal(spark, sf).select(
+        "player_id", "season", "games", *[c.alias(n) for n, c in ss.per_game_columns().items()]
+    )
 
 
 def _ranked(spark, sf, totals, per_game_ranks):

@@ -103,40 +103,59 @@ def is_early(name: Column) -> Column:
     return F.lower(name).contains(EARLY_MARK)
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """One row per readable file: where its header is and what the header says.
+def _is_text(lines: DataFrame) -> DataFrame:
+    """Files whose first characters hold more tabs than commas.
 
-    The header is the first line that starts with a rank heading, else the first non-blank
-    line after the titles.  A file is readable when its first characters hold more tabs than
-    commas.
+    Every line has an end, so those characters lie within as many lines of the first split.
     """
-    w = Window.partitionBy("file_name", "split").orderBy("line_no")
-    start = F.coalesce(
-        F.sum(F.length("value") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    top = lines.where((F.col("split") == 0) & (F.col("line_no") <= SNIFF_CHARS))
+    above = (
+        Window.partitionBy("file_name").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     )
+    start = F.coalesce(F.sum(F.length("value") + 1).over(above), F.lit(0))
     head = F.when(
-        (F.col("split") == 0) & (start < SNIFF_CHARS),
+        start < SNIFF_CHARS,
         F.substring(F.col("value"), F.lit(1), (F.lit(SNIFF_CHARS) - start).cast("int")),
     )
 
     def occurrences(ch: str) -> Column:
-        return F.length(head) - F.length(F.replace(head, F.lit(ch), F.lit("")))
+        return F.sum(F.length("_head") - F.length(F.replace("_head", F.lit(ch), F.lit(""))))
 
-    marked = lines.select(
-        "*", occurrences("\t").alias("_tabs"), occurrences(",").alias("_commas"),
-        F.struct("split", "line_no").alias("_pos"),
+    return (
+        top.withColumn("_head", head)
+        .groupBy("file_name")
+        .agg(occurrences("\t").alias("_tabs"), occurrences(",").alias("_commas"))
+        .where(F.col("_tabs") > F.col("_commas"))
+        .select("file_name")
     )
+
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """One row per readable file: where its header is and what the header says.
+
+    The header is the first line that starts with a rank heading, else the first non-blank
+    line after the titles.
+    """
     titled = F.col("value").rlike(HEADER_LINE)
     after_titles = ~_blank(F.col("value")) & ((F.col("split") > 0) | (F.col("line_no") > TITLE_LINES))
-    found = F.coalesce(
-        F.min(F.when(titled, F.struct("_pos", "value"))),
-        F.min(F.when(after_titles, F.struct("_pos", "value"))),
+    # Positions only, so the first pass is a hash aggregation over two integers per line.
+    first = (
+        lines.groupBy("file_name", "split")
+        .agg(
+            F.min(F.when(titled, F.col("line_no"))).alias("_titled"),
+            F.min(F.when(after_titles, F.col("line_no"))).alias("_after"),
+        )
+        .groupBy("file_name")
+        .agg(F.coalesce(
+            F.min(F.when(F.col("_titled").isNotNull(), F.struct("split", F.col("_titled").alias("line_no")))),
+            F.min(F.when(F.col("_after").isNotNull(), F.struct("split", F.col("_after").alias("line_no")))),
+        ).alias("header_pos"))
+        .where(F.col("header_pos").isNotNull())
+        .join(_is_text(lines), "file_name")
+        .select("file_name", "header_pos", "header_pos.*")
     )
-    return (
-        marked.groupBy("file_name")
-        .agg(found.alias("_h"), F.sum("_tabs").alias("_tabs"), F.sum("_commas").alias("_commas"))
-        .where((F.col("_tabs") > F.col("_commas")) & F.col("_h").isNotNull())
-        .select("file_name", F.col("_h._pos").alias("header_pos"), F.col("_h.value").alias("header"))
+    return first.join(lines, ["file_name", "split", "line_no"]).select(
+        "file_name", "header_pos", F.col("value").alias("header")
     )
 
 
@@ -197,8 +216,8 @@ def normalise_rows(rows: DataFrame, *, keep_generation: bool = False) -> DataFra
 
     Files whose name holds no year are left out (see :func:`rejected_files`).
     """
-    rank = F.coalesce(to_double(F.col("rank")), F.col("row_no").cast("double"))
-    vs_adp = to_double(F.col("vs_adp"))
+    rank = F.coalesce(to_double("rank"), F.col("row_no").cast("double"))
+    vs_adp = to_double("vs_adp")
     typed = rows.select(
         "file_name",
         file_year(F.col("file_name")).alias("year"),
@@ -206,8 +225,8 @@ def normalise_rows(rows: DataFrame, *, keep_generation: bool = False) -> DataFra
         clean_player_name(F.col("player_name"), keep_generation=keep_generation).alias("player_name"),
         clean_position(F.col("position")).alias("position"),
         rank.alias("rank"),
-        *[to_double(F.col(c)).alias(c) for c in ("best_rank", "worst_rank", "avg_rank", "stddev_rank")],
-        F.when(F.col("has_adp"), to_double(F.col("adp"))).otherwise(rank - vs_adp).alias("adp"),
+        *[to_double(c).alias(c) for c in ("best_rank", "worst_rank", "avg_rank", "stddev_rank")],
+        F.when(F.col("has_adp"), to_double("adp")).otherwise(rank - vs_adp).alias("adp"),
         vs_adp.alias("vs_adp"),
     ).where(F.col("year").isNotNull())
     ranked = rank_within(
