@@ -12,7 +12,7 @@ than one split.
 
 from __future__ import annotations
 
-from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -86,11 +86,10 @@ def read_lines(spark: SparkSession, folder: str, glob: str = FILE_GLOB) -> DataF
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = FILE_GLOB) -> DataFrame:
-    """Names of the rank files, empty ones too; contents are not read."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-        .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"))
-    )
+    """Names of the rank files, empty ones too (a scan skips those); contents are not read."""
+    paths = spark.read.option("pathGlobFilter", glob).text(folder).inputFiles()
+    names = sorted((unquote(p.rsplit("/", 1)[-1]),) for p in paths)
+    return spark.createDataFrame(names, "file_name string")
 
 
 def file_year(name: Column) -> Column:

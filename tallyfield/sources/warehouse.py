@@ -80,14 +80,14 @@ class Warehouse:
         return written + self._write(rows.where(~whole), spec, "append")
 
     def _write(self, rows: DataFrame, spec: TableSpec, mode: str, *, dynamic: bool = False) -> int:
-        seen = Observation()
-        out = rows.observe(seen, F.count(F.lit(1)).alias("n"))
         keys = spec.replace_by
         if keys:
             # Rebalance gathers a partition's rows into few files and lets adaptive execution
             # split one that is far larger than the rest.
-            out = out.hint("rebalance", *keys)
-        writer = out.write.mode(mode)
+            rows = rows.hint("rebalance", *keys)
+        # Counted on the way through; above the hint, so that an empty batch counts as 0.
+        seen = Observation()
+        writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
         if keys:
             writer = writer.partitionBy(*keys)
         if dynamic:
