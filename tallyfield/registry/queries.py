@@ -314,14 +314,13 @@ def rank_lines(spark: SparkSession, sf: str) -> DataFrame:
         line = F.when(hit, text) if line is None else line.when(hit, text)
     at = F.col("p_partkey") + 10
     body = parts.select("file_name", at.alias("_at"), line.alias("value"))
-    tops = [("", 1), ("site \t ", 2), ("title \t ", 3), ("subtitle \t ", 4), ("", 5)]
-    head = [(f, n, v) for f in _RANK_HEADERS for v, n in [*tops, (_RANK_HEADERS[f], 6)]]
-    lines = body.unionByName(spark.createDataFrame(head, "file_name string, _at bigint, value string"))
-    return lines.select(
-        "file_name",
-        F.floor(F.col("_at") / _SPLIT_LINES).cast("bigint").alias("split"),
-        (F.col("_at") % _SPLIT_LINES).cast("int").alias("line_no"),
-        "value",
+    tops = ["", "site \t ", "title \t ", "subtitle \t ", ""]
+    rows = ", ".join(
+        f"('{f}', {n}L, '{v}')" for f, h in _RANK_HEADERS.items() for n, v in enumerate([*tops, h], 1)
+    )
+    head = spark.sql(f"SELECT * FROM VALUES {rows} AS t(file_name, _at, value)")
+    return body.unionByName(head).select(
+        "file_name", F.floor(F.col("_at") / _SPLIT_LINES).cast("bigint").alias("split"), F.col("_at").alias("at"), "value"
     )
 
 

@@ -70,19 +70,17 @@ CELLS = (
 
 
 def read_lines(spark: SparkSession, folder: str, glob: str = FILE_GLOB) -> DataFrame:
-    """Lines of all rank files: (file_name, split, line_no, value); line_no is 1-based per split."""
-    lines = (
+    """Lines of all rank files: (file_name, split, at, value); ``at`` orders lines in a split."""
+    return (
         spark.read.option("pathGlobFilter", glob)
         .text(folder)
         .select(
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_block_start").alias("split"),
-            F.monotonically_increasing_id().alias("_at"),
+            F.monotonically_increasing_id().alias("at"),
             F.regexp_replace("value", "\r$", "").alias("value"),
         )
     )
-    at = Window.partitionBy("file_name", "split").orderBy("_at")
-    return lines.select("file_name", "split", F.row_number().over(at).alias("line_no"), "value")
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = FILE_GLOB) -> DataFrame:
@@ -102,64 +100,66 @@ def is_early(name: Column) -> Column:
     return F.lower(name).contains(EARLY_MARK)
 
 
-def _is_text(lines: DataFrame) -> DataFrame:
-    """Files whose first characters hold more tabs than commas.
+def _number_lines(lines: DataFrame) -> DataFrame:
+    """Running counts inside each split: line_no, filled_no (blank lines apart), char offset.
 
-    Every line has an end, so those characters lie within as many lines of the first split.
+    One window over (file, split); a split is bounded by spark.sql.files.maxPartitionBytes.
+    Everything below builds on this frame, so its shuffle is made once and reused.
     """
-    top = lines.where((F.col("split") == 0) & (F.col("line_no") <= SNIFF_CHARS))
-    above = (
-        Window.partitionBy("file_name").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file_name", "split").orderBy("at")
+    above = upto.rowsBetween(Window.unboundedPreceding, -1)
+    filled = (F.trim("value") != "").cast("int")
+    return lines.select(
+        "file_name", "split", "value",
+        F.row_number().over(upto).alias("line_no"),
+        F.sum(filled).over(upto.rowsBetween(Window.unboundedPreceding, 0)).alias("filled_no"),
+        F.coalesce(F.sum(F.length("value") + 1).over(above), F.lit(0)).alias("_start"),
     )
-    start = F.coalesce(F.sum(F.length("value") + 1).over(above), F.lit(0))
+
+
+def _layout(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Where each readable file's header is, and how many filled lines precede each split.
+
+    The header is the first line that starts with a rank heading, else the first filled line
+    after the titles.  A file is readable when its first characters hold more tabs than
+    commas.  One hash aggregation over integers; what follows has a row per split or file.
+    """
     head = F.when(
-        start < SNIFF_CHARS,
-        F.substring(F.col("value"), F.lit(1), (F.lit(SNIFF_CHARS) - start).cast("int")),
+        (F.col("split") == 0) & (F.col("_start") < SNIFF_CHARS),
+        F.substring(F.col("value"), F.lit(1), (F.lit(SNIFF_CHARS) - F.col("_start")).cast("int")),
     )
+    titled = F.col("value").rlike(HEADER_LINE)
+    after_titles = (F.trim("value") != "") & ((F.col("split") > 0) | (F.col("line_no") > TITLE_LINES))
 
     def occurrences(ch: str) -> Column:
-        return F.sum(F.length("_head") - F.length(F.replace("_head", F.lit(ch), F.lit(""))))
+        return F.sum(F.length(head) - F.length(F.replace(head, F.lit(ch), F.lit(""))))
 
-    return (
-        top.withColumn("_head", head)
-        .groupBy("file_name")
-        .agg(occurrences("\t").alias("_tabs"), occurrences(",").alias("_commas"))
-        .where(F.col("_tabs") > F.col("_commas"))
-        .select("file_name")
-    )
+    def first(cond: Column, what: str) -> Column:
+        return F.min(F.when(cond, F.col(what)))
 
+    splits = numbered.groupBy("file_name", "split").agg(
+        F.max("filled_no").alias("_filled"),
+        occurrences("\t").alias("_tabs"), occurrences(",").alias("_commas"),
+        first(titled, "line_no").alias("_titled"), first(titled, "filled_no").alias("_titled_filled"),
+        first(after_titles, "line_no").alias("_after"), first(after_titles, "filled_no").alias("_after_filled"),
+    )
+    earlier = Window.partitionBy("file_name").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)))
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """One row per readable file: where its header is and what the header says.
+    def place(line: str, filled: str) -> Column:
+        at = F.struct("split", F.col(line).alias("line_no"), (F.col("_before") + F.col(filled)).alias("filled"))
+        return F.min(F.when(F.col(line).isNotNull(), at))
 
-    The header is the first line that starts with a rank heading, else the first non-blank
-    line after the titles.
-    """
-    titled = F.col("value").rlike(HEADER_LINE)
-    after_titles = ~_blank(F.col("value")) & ((F.col("split") > 0) | (F.col("line_no") > TITLE_LINES))
-    # Positions only, so the first pass is a hash aggregation over two integers per line.
-    first = (
-        lines.groupBy("file_name", "split")
+    headers = (
+        splits.groupBy("file_name")
         .agg(
-            F.min(F.when(titled, F.col("line_no"))).alias("_titled"),
-            F.min(F.when(after_titles, F.col("line_no"))).alias("_after"),
+            F.coalesce(place("_titled", "_titled_filled"), place("_after", "_after_filled")).alias("header"),
+            F.sum("_tabs").alias("_tabs"), F.sum("_commas").alias("_commas"),
         )
-        .groupBy("file_name")
-        .agg(F.coalesce(
-            F.min(F.when(F.col("_titled").isNotNull(), F.struct("split", F.col("_titled").alias("line_no")))),
-            F.min(F.when(F.col("_after").isNotNull(), F.struct("split", F.col("_after").alias("line_no")))),
-        ).alias("header_pos"))
-        .where(F.col("header_pos").isNotNull())
-        .join(_is_text(lines), "file_name")
-        .select("file_name", "header_pos", "header_pos.*")
-    )
-    return first.join(lines, ["file_name", "split", "line_no"]).select(
-        "file_name", "header_pos", F.col("value").alias("header")
+        .where((F.col("_tabs") > F.col("_commas")) & F.col("header").isNotNull())
+        .select("file_name", "header.*")
     )
-
-
-def _blank(value: Column) -> Column:
-    return F.trim(value) == ""
+    return headers, splits.select("file_name", "split", "_before")
 
 
 def _header_positions(header: Column, aliases: dict[str, str]) -> list[Column]:
@@ -175,38 +175,32 @@ def _header_positions(header: Column, aliases: dict[str, str]) -> list[Column]:
 def parse_rows(lines: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
     """Data lines split into text cells by each file's own header.
 
-    Returns file_name, row_no (1-based, blank lines not counted), has_adp, has_vs_adp,
-    has_name, has_position and the cells as text, NULL where missing.
+    Returns file_name, row_no (1-based, blank lines not counted), has_adp and the cells as
+    text, NULL where missing.
     """
     aliases = {**HEADER_ALIASES, **EXTRA_ALIASES} if aliases is None else aliases
-    headers = _headers(lines).select("file_name", "header_pos", *_header_positions(F.col("header"), aliases))
+    numbered = _number_lines(lines)
+    headers, splits = _layout(numbered)
+    columns = headers.join(numbered, ["file_name", "split", "line_no"]).select(
+        "file_name", "filled", *_header_positions(F.col("value"), aliases)
+    )
     data = (
-        lines.where(~_blank(F.col("value")))
-        .join(headers, "file_name")
-        .where(F.struct("split", "line_no") > F.col("header_pos"))
+        numbered.where(F.trim("value") != "")
+        .join(splits, ["file_name", "split"])
+        .join(columns, "file_name")
+        .withColumn("row_no", (F.col("_before") + F.col("filled_no") - F.col("filled")).cast("bigint"))
+        .where(F.col("row_no") > 0)
     )
-    # Row number: count inside the split, plus the rows of earlier splits of the file.
-    inside = data.withColumn(
-        "_in", F.row_number().over(Window.partitionBy("file_name", "split").orderBy("line_no"))
+    # One step each, so that a line is split once and a cell is trimmed once.
+    parts = data.withColumn("_parts", F.split("value", "\t"))
+    texts = parts.select(
+        "file_name", "row_no", (F.col("_i_adp") >= 0).alias("has_adp"),
+        *[F.expr(f"CASE WHEN _i_{c} >= 0 THEN get(_parts, _i_{c}) END").alias(c) for c in CELLS],
     )
-    splits = data.groupBy("file_name", "split").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy("file_name").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("file_name", "split", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    cells = F.split("value", "\t")
-
-    def cell(name: str) -> Column:
-        i = F.col(f"_i_{name}")
-        text = F.when(i >= 0, F.get(cells, i))
-        return F.when(~strip(text).isin(*MISSING_TEXTS), text).alias(name)
-
-    return inside.join(offsets, ["file_name", "split"]).select(
-        "file_name",
-        (F.col("_in") + F.col("_before")).cast("bigint").alias("row_no"),
-        (F.col("_i_adp") >= 0).alias("has_adp"),
-        (F.col("_i_vs_adp") >= 0).alias("has_vs_adp"),
-        (F.col("_i_player_name") >= 0).alias("has_name"),
-        (F.col("_i_position") >= 0).alias("has_position"),
-        *[cell(c) for c in CELLS],
+    missing = ", ".join(f"'{m}'" for m in MISSING_TEXTS)
+    return texts.select(
+        "file_name", "row_no", "has_adp",
+        *[F.expr(f"CASE WHEN trim({c}) NOT IN ({missing}) THEN {c} END").alias(c) for c in CELLS],
     )
 
 
