@@ -12,7 +12,7 @@ side, and each is looked up by value.  No pair of names is compared that does no
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions.names import bare_key, name_key, position_key
@@ -57,52 +57,56 @@ def exact_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
 def _substrings(names: DataFrame, others: DataFrame) -> DataFrame:
     """Each name with its substrings (``part``) of every length found in ``others``.
 
-    Lengths are collected per position: a handful of small integers each.
+    The lengths are one small array for the whole table (names are a few dozen letters), read
+    as a scalar subquery.
     """
-    lengths = others.where(F.col("name_key") != "").groupBy("pos_key").agg(
-        F.collect_set(F.length("name_key")).alias("_lengths")
+    lengths = (
+        others.where(F.col("name_key") != "").agg(F.collect_set(F.length("name_key"))).scalar()
     )
-
-    def parts_of(size: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length("name_key") - size + 1)
-        return F.transform(starts, lambda at: F.substring(F.col("name_key"), at, size))
-
-    fitting = F.filter("_lengths", lambda n: n <= F.length("name_key"))
-    return names.join(lengths, "pos_key").select(
-        *names.columns, F.explode(F.flatten(F.transform(fitting, parts_of))).alias("part")
+    sized = (
+        names.withColumn("_lengths", lengths)
+        .select(*names.columns, F.explode("_lengths").alias("_size"))
+        .where(F.col("_size") <= F.length("name_key"))
+    )
+    starts = F.sequence(F.lit(1), F.length("name_key") - F.col("_size") + 1)
+    return sized.select("*", F.explode(starts).alias("_at")).select(
+        *names.columns, F.substring(F.col("name_key"), F.col("_at"), F.col("_size")).alias("part")
     )
 
 
 def partial_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
-    """Names found without dots and spaces or by containment: (name_key, pos_key, player_id)."""
+    """Names found without dots and spaces or by containment: (name_key, pos_key, player_id).
+
+    The substring sides grow by two orders of magnitude after their size is estimated, so
+    their joins are pinned to sort-merge: a broadcast chosen by the estimate could not hold
+    them, and adaptive execution still splits a skewed partition.
+    """
     out = ["name_key", "pos_key", "player_id"]
+
+    def smallest(df: DataFrame, *keys: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.min("player_id").alias("player_id"))
+
     bare = names.withColumn("bare", bare_key(F.col("name_key"))).join(
-        roster.select(bare_key(F.col("name_key")).alias("bare"), "pos_key", "player_id")
-        .groupBy("bare", "pos_key")
-        .agg(F.min("player_id").alias("player_id")),
-        ["bare", "pos_key"],
+        smallest(roster.withColumn("bare", bare_key(F.col("name_key"))), "bare", "pos_key"), ["bare", "pos_key"]
     )
-    holds_roster = _substrings(names, roster).join(
+    holds_roster = _substrings(names, roster).hint("merge").join(
         roster.withColumnRenamed("name_key", "part"), ["pos_key", "part"]
     )
     in_roster = (
         _substrings(roster, names)
         .select("pos_key", "player_id", F.col("part").alias("name_key"))
+        .hint("merge")
         .join(names, ["name_key", "pos_key"])
     )
     # A blank name is contained in every name of its position, as LIKE '%%' has it.
-    smallest = roster.groupBy("pos_key").agg(
-        F.min("player_id").alias("player_id"),
-        F.min(F.when(F.col("name_key") == "", F.col("player_id"))).alias("_blank_id"),
-        F.count_if(F.col("name_key") == "").alias("_blanks"),
-    )
-    blanks = names.join(smallest, "pos_key").where((F.col("name_key") == "") | (F.col("_blanks") > 0)).select(
-        "name_key", "pos_key",
-        F.when(F.col("name_key") == "", F.col("player_id")).otherwise(F.col("_blank_id")).alias("player_id"),
-    )
-    found = bare.select(out).unionByName(holds_roster.select(out))
-    found = found.unionByName(in_roster.select(out)).unionByName(blanks.select(out))
-    return found.groupBy("name_key", "pos_key").agg(F.min("player_id").alias("player_id"))
+    blank = F.col("name_key") == ""
+    holds_blank = names.join(roster.where(blank).drop("name_key"), "pos_key")
+    blank_names = names.where(blank).join(smallest(roster, "pos_key"), "pos_key")
+
+    found = bare.select(out)
+    for part in (holds_roster, in_roster, holds_blank, blank_names):
+        found = found.unionByName(part.select(out))
+    return smallest(found, "name_key", "pos_key")
 
 
 def resolve_names(raw: DataFrame, rosters: DataFrame) -> DataFrame:

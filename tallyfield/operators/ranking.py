@@ -116,8 +116,10 @@ def rank_within(
     on = [F.col(g).eqNullSafe(F.col(f"_h_{g}")) for g in groups] + [
         F.col("_m") == F.col("_h_m"), F.col("_v").eqNullSafe(F.col("_h_v")),
     ]
+    # A left join, though every value is found: it leaves only the value ranks, never the
+    # stacked rows, as a side that may be broadcast.
     ranks = (
-        stacked.join(by, reduce(Column.__and__, on))
+        stacked.join(by, reduce(Column.__and__, on), "left")
         .groupBy(*keys)
         .agg(*[F.max(F.when(F.col("_m") == i, F.col("_rank"))).alias(n) for i, n in enumerate(names)])
         .withColumnsRenamed({k: f"_r_{k}" for k in keys})
