@@ -341,6 +341,15 @@ ORACLES["replace_season_week"] = with_tables(["schedules"], f"""
     SELECT game_id, season, week, home_score, CAST(NULL AS VARCHAR) AS note FROM schedules
     WHERE NOT (season >= {SEASON} AND week % 2 = 0)
     UNION ALL {_NEW_GAMES} AND week % 2 = 0""")
+ORACLES["store_replace_season"] = with_tables(["schedules"], f"""
+    SELECT game_id, season, week, home_score, 'REG' AS game_type FROM schedules WHERE season < {SEASON}
+    UNION ALL
+    SELECT game_id, season, week, home_score + 1, CAST(NULL AS VARCHAR) FROM schedules WHERE season >= {SEASON}""")
+ORACLES["store_replace_week"] = with_tables(["weekly"], f"""
+    SELECT player_id, season, week, sum(passing_yards) AS passing_yards,
+           CAST(CASE WHEN season >= {SEASON} AND week % 2 = 0 THEN 0 ELSE sum(attempts) END AS INTEGER) AS attempts
+    FROM weekly GROUP BY player_id, season, week""")
+ORACLES["export_roundtrip"] = ORACLES["q07_running_back_workload"]
 ORACLES["append_log"] = with_tables(["refresh_log", "schedules"], """
     WITH new AS (SELECT season, count(*) AS n FROM schedules GROUP BY season)
     SELECT id, table_name, season, status, CAST(records_processed AS BIGINT) AS records_processed FROM refresh_log

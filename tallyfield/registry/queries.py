@@ -15,8 +15,9 @@ from tallyfield.plans import queries as q
 from tallyfield.plans import ranks, reports
 from tallyfield.plans import season_summary as ss
 from tallyfield.registry import standins as s
+from tallyfield.session import scratch_dir
 from tallyfield.sources import rankfiles
-from tallyfield.sources.warehouse import last_refresh, player_positions
+from tallyfield.sources.warehouse import Warehouse, export, last_refresh, player_positions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -241,6 +242,34 @@ def replace_season_week(spark, sf):
     return replace.replace_rows(games, batch, ["season", "week"])
 
 
+def store_replace_season(spark, sf):
+    """The same through the store: two loads into season partitions, then read back."""
+    games = _games(spark, sf).withColumn("game_type", F.lit("REG"))
+    store = Warehouse(spark, scratch_dir(spark))
+    store.insert(games, "schedules")
+    store.insert(_second_load(games).drop("note"), "schedules")
+    return store.read("schedules").select("game_id", "season", "week", "home_score", "game_type")
+
+
+def store_replace_week(spark, sf):
+    """Weekly totals loaded twice; the second load brings the even weeks of the last seasons."""
+    totals = s.weekly(spark, sf).groupBy("player_id", "season", "week").agg(
+        F.sum("passing_yards").alias("passing_yards"), F.sum("attempts").cast("int").alias("attempts")
+    )
+    late = totals.where((F.col("season") >= SEASON) & (F.col("week") % 2 == 0)).withColumn("attempts", F.lit(0))
+    store = Warehouse(spark, scratch_dir(spark))
+    store.insert(totals, "weekly_stats")
+    store.insert(late, "weekly_stats")
+    return store.read("weekly_stats").select("player_id", "season", "week", "passing_yards", "attempts")
+
+
+def export_roundtrip(spark, sf):
+    """A query result written as CSV with a header and read back."""
+    path = f"{scratch_dir(spark)}/teams.csv"
+    export(q07(spark, sf), path)
+    return spark.read.csv(path, header=True, schema=q07(spark, sf).schema)
+
+
 def append_log(spark, sf):
     log = s.refresh_log(spark, sf)
     finished = (
@@ -564,6 +593,9 @@ QUERIES: dict[str, Query] = {
     "replace_full": replace_full,
     "replace_season": replace_season,
     "replace_season_week": replace_season_week,
+    "store_replace_season": store_replace_season,
+    "store_replace_week": store_replace_week,
+    "export_roundtrip": export_roundtrip,
     "append_log": append_log,
     "last_refresh": last_refresh_time,
     "rank_clean": rank_clean,

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -132,17 +131,13 @@ class Warehouse:
         names = list(names or self.tables())
         for t in names:
             df = self.read(t)
-            if t == "pbp_data" and "rosters" in self._present:
+            if t == "pbp_data" and self.exists("rosters"):
                 df = play_view(df, self.read("rosters"))
             elif t in VIEW_COLUMNS:
                 df = repaired(df, VIEW_COLUMNS[t])
             df.createOrReplaceTempView(t)
         return names
 
-    @cached_property
-    def _present(self) -> set[str]:
-        return set(self.tables())
-
     def query(self, sql: str, params: Sequence | None = None) -> DataFrame:
         """Run SQL over the registered views; ``?`` marks take ``params`` in order."""
         return self.spark.sql(sql, args=list(params)) if params else self.spark.sql(sql)

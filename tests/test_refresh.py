@@ -104,3 +104,52 @@ def test_report(store):
     assert ("seasonal_stats", "2022", 4.0) in {(r.table_name, r.item, r.value) for r in rows if r.metric == "season_rows"}
     assert any(r.table_name == "rosters" and r.item == "weight" and r.value == 100.0 for r in rows if r.metric == "null_percentage")
     assert not [r for r in rows if r.table_name == "data_refresh_log" and r.metric != "rows"]
+
+
+def test_commands(spark, landing, tmp_path, capsys):
+    from tallyfield.__main__ import run
+
+    store, ranks_dir = ["--store", str(tmp_path / "s")], tmp_path / "ranks"
+    ranks_dir.mkdir()
+    (ranks_dir / "FantasyPros_2021_preseason_tiers.xls").write_text(
+        "\nx\t\ny\t\nz\t\n\nRank\tPlayer Name\tPosition\tADP\n1\tBo Two\tWR1\t4\n"
+    )
+    load = [*store, "--landing", landing.root]
+    assert run(spark, [*load, "extract", "2021", "2022"]) == 0
+    assert "weekly_stats: 16 rows" in capsys.readouterr().out
+    assert run(spark, [*load, "refresh-season", "2021", "--tables", "rosters"]) == 0
+    assert run(spark, [*load, "refresh-week", "2021", "2"]) == 0
+    assert run(spark, [*store, "refresh-raw-ecr", "--ranks", str(ranks_dir)]) == 0
+    assert run(spark, [*store, "refresh-transformed-ecr"]) == 0
+    assert run(spark, [*store, "refresh-summary", "--run-tests"]) == 0
+    capsys.readouterr()
+    out = str(tmp_path / "r.csv")
+    sql = "SELECT position, count(*) AS n FROM smry_season GROUP BY position ORDER BY position"
+    assert run(spark, [*store, "query", "--sql", sql, "--output", out]) == 0
+    assert {tuple(r) for r in spark.read.csv(out, header=True).collect()} == {("LB", "2"), ("QB", "2"), ("WR", "4")}
+    assert run(spark, [*store, "validate"]) == 0 and run(spark, [*store, "schema"]) == 0
+    assert "season_rows" in (text := capsys.readouterr().out) and "halfppr_ppg_rnk" in text
+
+
+def test_session_settings(spark):
+    from tallyfield import session
+
+    keys = [*session.SETTINGS, "spark.sql.shuffle.partitions"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        session.tune(spark)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8", "given at start, so kept"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_scratch_dir_is_in_the_shared_folder(tmp_path):
+    from types import SimpleNamespace
+
+    from tallyfield.session import scratch_dir
+
+    started_with = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "/shared/x"}.get(key, default)))
+    one, two = scratch_dir(started_with), scratch_dir(started_with)
+    assert one.startswith("/shared/x/") and one != two
