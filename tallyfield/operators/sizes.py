@@ -1,0 +1,17 @@
+"""Broadcasting behind a check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is.
+
+    Counts at most one row more than that.  Meant for narrow key lists: joined by a key with
+    few values, the large side would otherwise be shuffled into as few tasks.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

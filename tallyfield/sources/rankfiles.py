@@ -184,10 +184,11 @@ def parse_rows(lines: DataFrame, aliases: dict[str, str] | None = None) -> DataF
     columns = headers.join(numbered, ["file_name", "split", "line_no"]).select(
         "file_name", "filled", *_header_positions(F.col("value"), aliases)
     )
+    # One row per split, so that the lines join by (file, split): they already lie that way,
+    # and no file, however large, is one join key.
     data = (
         numbered.where(F.trim("value") != "")
-        .join(splits, ["file_name", "split"])
-        .join(columns, "file_name")
+        .join(splits.join(columns, "file_name"), ["file_name", "split"])
         .withColumn("row_no", (F.col("_before") + F.col("filled_no") - F.col("filled")).cast("bigint"))
         .where(F.col("row_no") > 0)
     )

@@ -82,6 +82,11 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = session()
     spark.sparkContext.setLogLevel("OFF")
+    if os.environ.get("TUNE"):  # no broadcasts guessed from file sizes: the joins of a large run
+        from tallyfield.session import tune
+
+        tune(spark)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con = connect(sf_dir)
     qs, sqls = queries(), oracle_sql()
     failed = 0

@@ -144,3 +144,11 @@ def test_next_ids(spark):
     new = spark.createDataFrame([("b",), ("a",)], "t string")
     assert state(next_ids(log, new, ["t"]), "id", "t") == [(5, "a"), (6, "b")]
     assert state(next_ids(log.limit(0), new, ["t"]), "id", "t") == [(1, "a"), (2, "b")]
+
+
+def test_broadcast_only_if_small(spark):
+    from tallyfield.operators.sizes import broadcast_if_small
+
+    df = spark.range(10)
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(df, 10)) and not hinted(broadcast_if_small(df, 9))
