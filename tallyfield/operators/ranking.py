@@ -16,52 +16,48 @@ Widths are a tuning knob only: any width gives the same ranks.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_WIDTH = 100.0
 
-# Bucket for NULL, below every real one.
-_NULL_BUCKET = -(2**62)
+# Buckets outside every real one: NULL always comes last, NaN above every number.
+_EDGE = 2**62
 
 
-def _sort(name: str, descending: bool) -> Column:
-    c = F.col(name)
-    return c.desc_nulls_last() if descending else c.asc_nulls_last()
-
-
-def _bucket(value: Column, width: float, descending: bool) -> Column:
-    edge = F.lit(_NULL_BUCKET if descending else -_NULL_BUCKET)
-    # NaN sorts above every number; give it a bucket of its own at that end.
-    b = F.when(F.isnan(value), F.lit(-_NULL_BUCKET - 1)).otherwise(
-        F.floor(value / F.lit(width)).cast("bigint")
-    )
-    return F.coalesce(b, edge)
+def _same(pairs: Mapping[str, str]) -> Column:
+    """Join condition over column pairs, NULL equal to NULL."""
+    return F.expr(" AND ".join(f"`{a}` <=> `{b}`" for a, b in pairs.items()))
 
 
 def _rank_of_values(
     hist: DataFrame, groups: Sequence[str], *, width: float, method: str, descending: bool
 ) -> DataFrame:
     """``hist`` holds one row per (groups, _v) with a count _n; adds ``_rank``."""
-    weight = F.col("_n") if method == "rank" else F.lit(1).cast("bigint")
-    keyed = hist.withColumn("_b", _bucket(F.col("_v"), width, descending)).withColumn("_w", weight)
-    before = (Window.unboundedPreceding, -1)
-
-    inside = Window.partitionBy(*groups, "_b").orderBy(_sort("_v", descending)).rowsBetween(*before)
-    local = keyed.withColumn("_local", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-
-    across = Window.partitionBy(*groups).orderBy(_sort("_b", descending)).rowsBetween(*before)
-    offsets = (
-        keyed.groupBy(*groups, "_b")
-        .agg(F.sum("_w").alias("_w"))
-        .withColumn("_offset", F.coalesce(F.sum("_w").over(across), F.lit(0)))
-        .select(*[F.col(g).alias(f"_o_{g}") for g in groups], F.col("_b").alias("_o_b"), "_offset")
+    order = "DESC NULLS LAST" if descending else "ASC NULLS LAST"
+    null_bucket = -_EDGE if descending else _EDGE + 1
+    keyed = hist.selectExpr(
+        "*",
+        f"CASE WHEN _v IS NULL THEN {null_bucket}L WHEN isnan(_v) THEN {_EDGE}L "
+        f"ELSE CAST(floor(_v / {width!r}D) AS BIGINT) END AS _b",
+        f"{'_n' if method == 'rank' else '1L'} AS _w",
     )
-    on = [F.col(g).eqNullSafe(F.col(f"_o_{g}")) for g in groups] + [F.col("_b") == F.col("_o_b")]
-    return local.join(offsets, reduce(Column.__and__, on)).select(
-        *groups, "_v", (F.col("_local") + F.col("_offset") + 1).alias("_rank")
+    by = ", ".join(f"`{g}`" for g in groups)
+
+    def before(what: str, partition: str, along: str) -> str:
+        return (
+            f"coalesce(sum({what}) OVER (PARTITION BY {partition} ORDER BY {along} {order} "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L)"
+        )
+
+    inside = keyed.selectExpr("*", f"{before('_w', f'{by}, _b', '_v')} AS _inside")
+    across = (
+        keyed.groupBy(*groups, "_b").agg(F.sum("_w").alias("_w"))
+        .selectExpr(*[f"`{g}` AS `_o_{g}`" for g in groups], "_b AS _o_b", f"{before('_w', by, '_b')} AS _across")
+    )
+    return inside.join(across, _same({**{g: f"_o_{g}" for g in groups}, "_b": "_o_b"})).selectExpr(
+        *[f"`{g}`" for g in groups], "_v", "_inside + _across + 1 AS _rank"
     )
 
 
@@ -95,33 +91,26 @@ def rank_within(
 
     if len(names) == 1:
         hist = taking_part.groupBy(*groups, F.col(vals[0]).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-        ranked = _rank_of_values(hist, groups, **opts)
-        ranks = ranked.select(
-            *[F.col(g).alias(f"_r_{g}") for g in groups],
-            F.col("_v").alias(f"_r_{vals[0]}"),
-            F.col("_rank").alias(names[0]),
+        ranks = _rank_of_values(hist, groups, **opts).selectExpr(
+            *[f"`{g}` AS `_r_{g}`" for g in groups], f"_v AS _r_{vals[0]}", f"_rank AS `{names[0]}`"
         )
         return _join_back(df, tagged, ranks, groups, vals, names)
 
     # Several measures: one histogram for all of them, told apart by the measure number.
-    narrow = taking_part.select(*row_key, *groups, *vals)
-    long = narrow.select(*groups, F.posexplode(F.array(*vals)).alias("_m", "_v"))
-    hist = long.groupBy(*groups, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    by = _rank_of_values(hist, [*groups, "_m"], **opts).select(
-        *[F.col(g).alias(f"_h_{g}") for g in groups],
-        F.col("_m").alias("_h_m"), F.col("_v").alias("_h_v"), "_rank",
-    )
     keys = [*row_key, *groups, *vals]
-    stacked = narrow.distinct().select(*keys, F.posexplode(F.array(*vals)).alias("_m", "_v"))
-    on = [F.col(g).eqNullSafe(F.col(f"_h_{g}")) for g in groups] + [
-        F.col("_m") == F.col("_h_m"), F.col("_v").eqNullSafe(F.col("_h_v")),
-    ]
+    narrow = taking_part.select(*keys)
+    unpivot = f"posexplode(array({', '.join(vals)})) AS (_m, _v)"
+    hist = narrow.selectExpr(*groups, unpivot).groupBy(*groups, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    by = _rank_of_values(hist, [*groups, "_m"], **opts).withColumnsRenamed(
+        {c: f"_h_{c}" for c in (*groups, "_m", "_v")}
+    )
     # A left join, though every value is found: it leaves only the value ranks, never the
     # stacked rows, as a side that may be broadcast.
     ranks = (
-        stacked.join(by, reduce(Column.__and__, on), "left")
+        narrow.distinct().selectExpr(*keys, unpivot)
+        .join(by, _same({c: f"_h_{c}" for c in (*groups, "_m", "_v")}), "left")
         .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col("_m") == i, F.col("_rank"))).alias(n) for i, n in enumerate(names)])
+        .agg(*[F.expr(f"max(CASE WHEN _m = {i} THEN _rank END)").alias(n) for i, n in enumerate(names)])
         .withColumnsRenamed({k: f"_r_{k}" for k in keys})
     )
     return _join_back(df, tagged, ranks, [*row_key, *groups], vals, names)
@@ -130,5 +119,5 @@ def rank_within(
 def _join_back(
     df: DataFrame, tagged: DataFrame, ranks: DataFrame, keys: list[str], vals: list[str], names: list[str]
 ) -> DataFrame:
-    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in [*keys, *vals]]
-    return tagged.join(ranks, reduce(Column.__and__, on), "left").select(*df.columns, *names)
+    on = _same({k: f"_r_{k}" for k in [*keys, *vals]})
+    return tagged.join(ranks, on, "left").drop(*vals, *[f"_r_{k}" for k in [*keys, *vals]])
