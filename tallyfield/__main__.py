@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyfield.operators import quality
 from tallyfield.plans import ranks, refresh, reports
 from tallyfield.session import tune
+from tallyfield.sources import rankfiles
 from tallyfield.sources.landing import Landing
 from tallyfield.sources.warehouse import Warehouse, export
 
@@ -79,6 +80,8 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             _show(reports.validation_report(loaded, null_threshold=reports.AFTER_LOAD))
     elif args.command == "refresh-raw-ecr":
         print(f"raw_ecr_rankings: {refresh.refresh_raw_rankings(store, args.ranks):,} rows")
+        files, rows = rankfiles.list_files(spark, args.ranks), rankfiles.read_rankings(spark, args.ranks)
+        _show(rankfiles.file_report(files, rows))
         raw = store.read("raw_ecr_rankings")
         _show(ranks.coverage_by_year(raw))
         _show(ranks.verify(raw))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.functions.typing import number_sql
@@ -60,6 +60,13 @@ def get_system(systems: Mapping[str, Rules], name: str) -> Rules:
     return systems.get(name, {})
 
 
+def rules_frame(spark: SparkSession, systems: Mapping[str, Rules] | None = None) -> DataFrame:
+    """The rules as rows (system, stat, weight), to join or to show."""
+    systems = systems if systems is not None else builtin_systems()
+    rows = [(name, stat, float(w)) for name, rules in systems.items() for stat, w in rules.items()]
+    return spark.createDataFrame(rows, "system string, stat string, weight double")
+
+
 def _filled(df: DataFrame, stat: str) -> str:
     return f"coalesce({number_sql(stat, df.schema[stat].dataType)}, 0D)"
 

@@ -24,6 +24,8 @@ BUCKET_WIDTH = 100.0
 
 # Buckets outside every real one: NULL always comes last, NaN above every number.
 _EDGE = 2**62
+# Values beyond this many buckets share the outermost one, infinities among them.
+_FAR = 4e18
 
 
 def _same(pairs: Mapping[str, str]) -> Column:
@@ -40,7 +42,7 @@ def _rank_of_values(
     keyed = hist.selectExpr(
         "*",
         f"CASE WHEN _v IS NULL THEN {null_bucket}L WHEN isnan(_v) THEN {_EDGE}L "
-        f"ELSE CAST(floor(_v / {width!r}D) AS BIGINT) END AS _b",
+        f"ELSE CAST(floor(least(greatest(_v / {width!r}D, -{_FAR!r}D), {_FAR!r}D)) AS BIGINT) END AS _b",
         f"{'_n' if method == 'rank' else '1L'} AS _w",
     )
     by = ", ".join(f"`{g}`" for g in groups)

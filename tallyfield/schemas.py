@@ -218,6 +218,20 @@ DUPLICATE_CHECKED = ("teams", "players", "schedules")
 COVERAGE_TABLES = ("weekly_stats", "seasonal_stats", "pbp_data", "schedules")
 
 
+def table_schema(table: str, found: T.StructType) -> tuple[T.StructType, list[str]]:
+    """Stored schema of a frame with schema ``found``, and the key columns it has.
+
+    Keys are a promise the quality checks test; nothing enforces them.
+    """
+    fields = [
+        T.StructField(f.name, f.dataType if f.name in AUDIT_COLUMNS else declared_type(table, f.name, f.dataType))
+        for f in found.fields
+    ]
+    fields += [T.StructField(c, T.TimestampType()) for c in AUDIT_COLUMNS if c not in found.names]
+    key = TABLES[table].key if table in TABLES else ()
+    return T.StructType(fields), [k for k in key if k in found.names]
+
+
 def declared_type(table: str, column: str, found: T.DataType) -> T.DataType:
     """Type of ``column`` in ``table``: declared name first, then rules, then what was found."""
     spec = TABLES.get(table)

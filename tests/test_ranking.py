@@ -9,7 +9,7 @@ from tallyfield.operators.ranking import rank_within
 
 def frame(spark, n=800, seed=3):
     rnd = random.Random(seed)
-    special = [None, float("nan"), 0.0, -0.0, 1e9, -350.25]
+    special = [None, float("nan"), 0.0, -0.0, 1e9, -350.25, float("inf"), float("-inf"), 1e300]
     rows = []
     for i in range(n):
         g = rnd.choice(["a", "a", "a", "b", None])

@@ -78,3 +78,8 @@ def test_compare_systems(spark):
     assert list(r) == ["player_id", "fantasy_points_std", "fantasy_points_half_ppr", "fantasy_points_full_ppr", "ppr_advantage"]
     assert r["ppr_advantage"] == 1.25
     assert scoring.compare_systems(df, "zz").count() == 0
+
+
+def test_rules_as_rows(spark):
+    rows = {(r.system, r.stat): r.weight for r in scoring.rules_frame(spark).collect()}
+    assert len(rows) == 30 and rows[("half_ppr", "receptions")] == 0.5 and rows[("std", "interceptions")] == -2.0

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tallyfield.functions import names
 from tallyfield.functions import typing as t
-from tallyfield.schemas import TABLES, declared_type
+from tallyfield.schemas import TABLES, declared_type, table_schema
 
 
 def values(spark, texts, column):
@@ -80,3 +80,16 @@ def test_positions(spark):
     texts = ["RB12", "wr3", "DST", " k1", "FLEX", None, "TE"]
     assert values(spark, texts, names.clean_position(F.col("x"))) == ["RB", "WR", "DST", "K", "FLEX", "", "TE"]
     assert values(spark, [" A.J. Green"], names.bare_key(F.col("x"))) == ["ajgreen"]
+
+
+def test_table_schema():
+    found = T.StructType.fromJson({"type": "struct", "fields": [
+        {"name": n, "type": t, "nullable": True, "metadata": {}}
+        for n, t in (("player_id", "string"), ("week", "double"), ("season", "long"), ("odd", "float"))
+    ]})
+    schema, key = table_schema("weekly_stats", found)
+    assert [(f.name, f.dataType.simpleString()) for f in schema.fields] == [
+        ("player_id", "string"), ("week", "int"), ("season", "int"), ("odd", "double"),
+        ("created_at", "timestamp"), ("updated_at", "timestamp"),
+    ]
+    assert key == ["player_id", "season", "week"]
