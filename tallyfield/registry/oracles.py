@@ -330,9 +330,10 @@ ORACLES["q16_stats_with_ranks"] = with_tables(["weekly", "player_ranks"], f"""
 
 # -- replace, log ----------------------------------------------------------------------------------
 
-ORACLES["replace_full"] = with_tables(
-    ["teams"], "SELECT team_abbr, team_name, team_division, CAST(NULL AS VARCHAR) AS team_color FROM teams"
-)
+ORACLES["replace_full"] = with_tables(["players"], """
+    SELECT gsis_id, nullif(display_name, 'nan') AS display_name, position,
+           TRY_CAST(draft_number AS INTEGER) AS draft_number, TRY_CAST(weight AS INTEGER) AS weight,
+           CAST(NULL AS VARCHAR) AS college_name FROM players""")
 _NEW_GAMES = f"SELECT game_id, season, week, home_score + 1 AS home_score, 'new' AS note FROM schedules WHERE season >= {SEASON}"
 ORACLES["replace_season"] = with_tables(["schedules"], f"""
     SELECT game_id, season, week, home_score, CAST(NULL AS VARCHAR) AS note FROM schedules WHERE season < {SEASON}
@@ -532,10 +533,6 @@ ORACLES["summary_sample"] = with_tables(_SUMMARY_TABLES, f"""{_SUMMARY}
 _SIZES = {"teams": "teams", "schedules": "schedules", "weekly_stats": "weekly", "rosters": "rosters", "data_refresh_log": "refresh_log"}
 
 
-def _column_count(cte: str) -> str:
-    return f"(SELECT count(*) FROM (DESCRIBE {SQL[cte]}))"
-
-
 def _width(cte: str) -> int:
     from tallyfield.registry import standins as s
 
@@ -588,11 +585,13 @@ ORACLES["dq_season_lists"] = with_tables(
     f"SELECT table_name, string_agg(CAST(season AS VARCHAR), ',' ORDER BY season) AS seasons "
     f"FROM ({_season_counts(_SEASONED)}) GROUP BY table_name",
 )
-ORACLES["dq_schema"] = """
+_LISTED = ("customer", "orders", "lineitem", "events")
+ORACLES["dq_schema"] = f"""
     SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name,
            CASE WHEN data_type IN ('BIGINT', 'DOUBLE') THEN lower(data_type) WHEN data_type = 'INTEGER' THEN 'int'
-                WHEN data_type = 'VARCHAR' THEN 'string' ELSE 'timestamp' END AS column_type
-    FROM information_schema.columns WHERE table_name IN ('customer', 'orders', 'lineitem', 'events')"""
+                WHEN data_type = 'VARCHAR' THEN 'string' ELSE 'timestamp' END AS column_type,
+           CASE table_name {' '.join(f"WHEN '{n}' THEN (SELECT count(*) FROM {n})" for n in _LISTED)} END AS row_count
+    FROM information_schema.columns WHERE table_name IN {_LISTED}"""
 ORACLES["check_counts"] = with_tables(_SUMMARY_TABLES, f"""{_SUMMARY}
     SELECT a AS left_rows, b AS right_rows, a = b AS passed
     FROM (SELECT (SELECT count(*) FROM seasonal) AS a, (SELECT count(*) FROM summary) AS b)""")

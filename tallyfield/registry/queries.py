@@ -226,8 +226,8 @@ def _second_load(games: DataFrame) -> DataFrame:
 
 def replace_full(spark, sf):
     # A full replacement keeps nothing of the earlier rows: what counts is the batch, typed.
-    return t.align(t.typed(s.teams(spark, sf), "teams"), "teams").select(
-        "team_abbr", "team_name", "team_division", "team_color"
+    return t.align(t.typed(s.players(spark, sf), "players"), "players").select(
+        "gsis_id", "display_name", "position", "draft_number", "weight", "college_name"
     )
 
 
@@ -503,9 +503,12 @@ def dq_season_lists(spark, sf):
 
 
 def dq_schema(spark, sf):
-    out = quality.describe(spark, {n: s.read(spark, sf, n) for n in ("customer", "orders", "lineitem", "events")})
+    """Columns of every table beside the table's size."""
+    tables = {n: s.read(spark, sf, n) for n in ("customer", "orders", "lineitem", "events")}
+    sizes = quality.table_sizes(tables).select("table_name", "row_count")
     # The files hold zone-less timestamps; whether Spark says so depends on a session setting.
-    return out.withColumn("column_type", F.replace("column_type", F.lit("_ntz")))
+    columns = quality.describe(spark, tables).withColumn("column_type", F.replace("column_type", F.lit("_ntz")))
+    return columns.join(sizes, "table_name")
 
 
 def check_counts(spark, sf):

@@ -8,7 +8,7 @@ table; only season totals are aggregated.
     seasonal_stats          weekly_stats summed by player and season
     rosters, ranked players supplier x season
     schedules               orders
-    teams                   nation
+    teams, players          nation, customer
     injuries, refresh log   events
     raw ranks, roster names part
 """
@@ -123,6 +123,14 @@ TEAMS: Columns = {
     "team_division": _tag("Division ", "n_regionkey"),
 }
 
+PLAYERS: Columns = {
+    "gsis_id": _tag("P", "c_custkey"),
+    "display_name": "CASE WHEN c_custkey % 9 = 0 THEN 'nan' ELSE c_name END",
+    "position": "c_mktsegment",
+    "draft_number": "CAST(nullif(c_custkey % 260, 5) AS STRING)",
+    "weight": "CASE WHEN c_custkey % 4 = 0 THEN 'heavy' ELSE CAST(150 + c_nationkey AS STRING) END",
+}
+
 INJURIES: Columns = {
     "season": f"CAST({FIRST_SEASON} + event_id % 7 AS INT)",
     "week": "CAST(1 + dayofmonth(ts) % 22 AS INT)",
@@ -259,6 +267,10 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(read(spark, sf_dir, "nation"), TEAMS)
 
 
+def players(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project(read(spark, sf_dir, "customer"), PLAYERS)
+
+
 def injuries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(read(spark, sf_dir, "events"), INJURIES)
 
@@ -314,6 +326,7 @@ SQL = {
     "plays": _select(PLAYS, "lineitem"),
     "schedules": _select(SCHEDULES, "orders"),
     "teams": _select(TEAMS, "nation"),
+    "players": _select(PLAYERS, "customer"),
     "injuries": _select(INJURIES, "events"),
     "refresh_log": _select(REFRESH_LOG, "events"),
     "raw_ranks": _select(RAW_RANKS, "part"),

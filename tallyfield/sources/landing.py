@@ -8,29 +8,36 @@ inference pass and a bad cell costs its value, not its row.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfield.functions.scoring import score
-from tallyfield.functions.typing import rename_reserved, typed
-from tallyfield.schemas import TABLES
+from tallyfield.functions.typing import rename_reserved, to_int, typed
+from tallyfield.schemas import RESERVED_RENAMES, TABLES
 
 
 @dataclass(frozen=True)
 class Landing:
+    """``extra_columns`` names undeclared columns to take from JSON, by table; the other
+    formats say themselves which columns they have."""
+
     spark: SparkSession
     root: str
     format: str = "parquet"
+    extra_columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     def raw(self, table: str) -> DataFrame:
         reader = self.spark.read.format(self.format)
         if self.format == "csv":
             reader = reader.option("header", True).option("inferSchema", False)
         elif self.format == "json":
-            reader = reader.option("primitivesAsString", True)
+            landed_as = {new: old for old, new in RESERVED_RENAMES.items()}
+            names = [landed_as.get(c, c) for c in TABLES[table].types] + list(self.extra_columns.get(table, ()))
+            reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         return reader.load(f"{self.root.rstrip('/')}/{table}")
 
     def read(
@@ -44,8 +51,14 @@ class Landing:
         df = self.raw(table)
         spec = TABLES[table]
         if seasons is not None and spec.by_season and "season" in df.columns:
-            df = df.where(F.col("season").isin([int(s) for s in seasons]))
+            df = df.where(_whole_number(df, "season").isin([int(s) for s in seasons]))
         if week is not None and "week" in df.columns:
-            df = df.where(F.col("week") == int(week))
+            df = df.where(_whole_number(df, "week") == int(week))
         df = typed(rename_reserved(df), table)
         return score(df) if spec.scored else df
+
+
+def _whole_number(df: DataFrame, name: str) -> Column:
+    """The column itself if it holds numbers, so that filters reach the scan; text is parsed."""
+    kind = df.schema[name].dataType
+    return F.col(name) if isinstance(kind, T.NumericType) else to_int(name, kind)

@@ -77,6 +77,18 @@ def test_text_landing(spark, tmp_path):
     ]
 
 
+def test_json_landing(spark, tmp_path):
+    (tmp_path / "pbp_data").mkdir()
+    (tmp_path / "pbp_data" / "a.json").write_text(
+        '{"game_id": "g", "season": 2020, "desc": "run", "touchdown": 1, "epa": 0.5, "odd": 1}\n'
+        '{"game_id": "h", "season": "x", "desc": "pass"}\n{"game_id": "i", "season": 2021}\n'
+    )
+    landing = Landing(spark, str(tmp_path), "json", {"pbp_data": ("epa",)})
+    r = landing.read("pbp_data", [2020]).collect()
+    assert [(x.game_id, x.season, x.play_description, x.touchdown, x.epa) for x in r] == [("g", 2020, "run", 1.0, 0.5)]
+    assert landing.read("pbp_data").count() == 3
+
+
 def test_rankings_and_summary(spark, store, tmp_path):
     (tmp_path / "FantasyPros_2021_preseason_tiers.xls").write_text(
         "\nx\t\ny\t\nz\t\n\nRank\tPlayer Name\tPosition\tADP\n1\tBo Two\tWR1\t4\n2\tCy III Three\tWR2\t5\n3\tNo Body\tQB1\t6\n"
