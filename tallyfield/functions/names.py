@@ -18,7 +18,7 @@ POSITION_CODE = r"(?i)^(QB|RB|WR|TE|K|DST)"
 def clean_player_name(c: Column, *, keep_generation: bool = False) -> Column:
     """Player name without a trailing ``(TEAM)`` or team code; NULL becomes ''.
 
-    "Griffin III" ends in capitals too and loses its III, unless ``keep_generation``.
+    A name ending in III ends in capitals too and loses it, unless ``keep_generation``.
     """
     s = strip(c)
     in_parens = strip(F.regexp_extract(s, TEAM_IN_PARENS, 1))
@@ -45,5 +45,5 @@ def position_key(c: Column) -> Column:
 
 
 def bare_key(c: Column) -> Column:
-    """Name key without dots and spaces: "A.J. Green" and "AJ Green" agree."""
+    """Name key without dots and spaces: "B.J. Blue" and "BJ Blue" agree."""
     return F.translate(name_key(c), ". ", "")

@@ -139,7 +139,7 @@ def compare_systems(df: DataFrame, player_id: str | None = None) -> DataFrame:
         df = df.where(F.col("player_id") == player_id)
     names = [c for c in ("player_id", "player_name", "position", "team") if c in df.columns]
     pts = [c for c in df.columns if c.startswith("fantasy_points_")]
-    out = df.select(*names, *pts)
+    out = df.select(*names, *pts) if names or pts else df
     if {"fantasy_points_full_ppr", "fantasy_points_std"} <= set(pts):
         gain = F.col("fantasy_points_full_ppr") - F.col("fantasy_points_std")
         out = out.withColumn("ppr_advantage", F.rint(gain * 100.0) / F.lit(100.0))

@@ -26,6 +26,7 @@ FILE_GLOB = "FantasyPros_*.xl*"
 YEAR_IN_NAME = r"(\d{4})"
 EARLY_MARK = "prepreseason"
 TITLE_LINES = 4
+BINARY_SUFFIX = ".xlsx"
 SNIFF_CHARS = 500
 HEADER_LINE = r"(?i)^\s*(rank|rk)\s*\t"
 MISSING_TEXTS = (
@@ -122,7 +123,7 @@ def _layout(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The header is the first line that starts with a rank heading, else the first filled line
     after the titles.  A file is readable when its first characters hold more tabs than
-    commas.  One hash aggregation over integers; what follows has a row per split or file.
+    commas; binary workbooks never are.  One hash aggregation over integers; what follows has a row per split or file.
     """
     head = F.when(
         (F.col("split") == 0) & (F.col("_start") < SNIFF_CHARS),
@@ -157,6 +158,7 @@ def _layout(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.sum("_tabs").alias("_tabs"), F.sum("_commas").alias("_commas"),
         )
         .where((F.col("_tabs") > F.col("_commas")) & F.col("header").isNotNull())
+        .where(~F.lower("file_name").endswith(BINARY_SUFFIX))
         .select("file_name", "header.*")
     )
     return headers, splits.select("file_name", "split", "_before")

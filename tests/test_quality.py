@@ -38,12 +38,12 @@ def test_checks(spark):
 
 def test_golden_ranks(spark):
     df = spark.createDataFrame(
-        [(2021, "WR", "Cooper K.", 1), (2021, "WR", "Davante", 2), (2021, "QB", "X", 1), (2021, "QB", "Y", 1)],
+        [(2021, "WR", "Conrad K.", 1), (2021, "WR", "Dorian", 2), (2021, "QB", "X", 1), (2021, "QB", "Y", 1)],
         "season int, position string, player_name string, rnk bigint",
     )
     want = spark.createDataFrame(
-        [(2021, "WR", "cooper", 1), (2021, "WR", "Nobody", 2), (2021, "QB", "X", 1), (2021, "TE", "Z", 1)],
+        [(2021, "WR", "conrad", 1), (2021, "WR", "Nobody", 2), (2021, "QB", "X", 1), (2021, "TE", "Z", 1)],
         "season int, position string, name_part string, rank bigint",
     )
     got = {(r.position, r.name_part): (r.found, r.passed) for r in q.expect_at_rank(df, "rnk", want).collect()}
-    assert got == {("WR", "cooper"): (1, True), ("WR", "Nobody"): (1, False), ("QB", "X"): (2, False), ("TE", "Z"): (0, False)}
+    assert got == {("WR", "conrad"): (1, True), ("WR", "Nobody"): (1, False), ("QB", "X"): (2, False), ("TE", "Z"): (0, False)}

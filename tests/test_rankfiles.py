@@ -21,7 +21,7 @@ def folder(tmp_path):
     write(
         tmp_path, "FantasyPros_2015_prepreseason_tiers.xls",
         "Rank\tPlayer Name\tPosition\tAvg Rank\tADP",
-        ["1\tRobert Griffin III\tQB12\t1.25\t4", "", "2\t\tWR3\t2\t9", "3\tnan\tWR4\t2\t9", "\tZed\twr5\t3\tx"], end="\r\n",
+        ["1\tRob Stone III\tQB12\t1.25\t4", "", "2\t\tWR3\t2\t9", "3\tnan\tWR4\t2\t9", "\tZed\twr5\t3\tx"], end="\r\n",
     )
     write(
         tmp_path, "FantasyPros_2017_preseason_tiers.xls",
@@ -31,6 +31,7 @@ def folder(tmp_path):
     )
     write(tmp_path, "FantasyPros_notes_tiers.xls", "Rank\tPlayer", ["1\tNo Year"])
     write(tmp_path, "FantasyPros_2018_commas.xls", "Rank,Player", ["1,x\ty"], titles="a,b,c\nd,e,f\n\n\n")
+    write(tmp_path, "FantasyPros_2020_tiers.xlsx", "Rank\tPlayer", ["1\tFrom Workbook"])
     (tmp_path / "FantasyPros_2019_empty.xls").write_text("")
     (tmp_path / "other_2020.xls").write_text("Rank\tPlayer\n1\tIgnored\n")
     return str(tmp_path)
@@ -42,7 +43,7 @@ def by_name(df):
 
 def test_all_layouts_in_one_frame(spark, folder):
     got = by_name(rf.read_rankings(spark, folder))
-    assert set(got) == {"Al One", "Bo Two", "Cy Three", "Di Four", "Robert Griffin", "Zed", "Joe Able", "Ida Baker"}
+    assert set(got) == {"Al One", "Bo Two", "Cy Three", "Di Four", "Rob Stone", "Zed", "Joe Able", "Ida Baker"}
     al = got["Al One"]
     assert (al.year, al.before_preseason, al.position, al.rank, al.adp, al.vs_adp) == (2014, False, "RB", 1.0, 2.0, None)
     assert (al.best_rank, al.worst_rank, al.avg_rank, al.stddev_rank) == (1.0, 2.0, 1.5, 0.5)
@@ -50,7 +51,7 @@ def test_all_layouts_in_one_frame(spark, folder):
     # a blank rank is the row's place in the file; ranks in a position are dense
     assert got["Cy Three"].rank == 3.0
     assert [got[n].position_rank for n in ("Al One", "Di Four", "Cy Three")] == [1, 2, 3]
-    rg = got["Robert Griffin"]
+    rg = got["Rob Stone"]
     assert (rg.before_preseason, rg.position, rg.avg_rank) == (True, "QB", 1.25)
     # blank lines are not counted, nameless rows are counted and ranked before they leave
     assert (got["Zed"].rank, got["Zed"].position, got["Zed"].position_rank, got["Zed"].adp) == (4.0, "WR", 3, None)
@@ -60,9 +61,9 @@ def test_all_layouts_in_one_frame(spark, folder):
 
 
 def test_flags(spark, folder):
-    assert "Robert Griffin III" in by_name(rf.read_rankings(spark, folder, keep_generation=True))
+    assert "Rob Stone III" in by_name(rf.read_rankings(spark, folder, keep_generation=True))
     rows = rf.parse_rows(rf.read_lines(spark, folder), dict(rf.HEADER_ALIASES))
-    assert by_name(rf.normalise_rows(rows))["Robert Griffin"].avg_rank is None
+    assert by_name(rf.normalise_rows(rows))["Rob Stone"].avg_rank is None
 
 
 def test_file_report(spark, folder):
@@ -74,6 +75,7 @@ def test_file_report(spark, folder):
         "FantasyPros_2017_preseason_tiers.xls": (2, "processed"),
         "FantasyPros_2018_commas.xls": (0, "failed"),
         "FantasyPros_2019_empty.xls": (0, "failed"),
+        "FantasyPros_2020_tiers.xlsx": (0, "failed"),
         "FantasyPros_notes_tiers.xls": (0, "failed"),
     }
     assert [r.file_name for r in rf.rejected_files(files).collect()] == ["FantasyPros_notes_tiers.xls"]

@@ -18,7 +18,7 @@ def landing(spark, tmp_path_factory):
     def put(table, rows, schema, fmt="parquet"):
         spark.createDataFrame(rows, schema).write.format(fmt).option("header", True).save(str(root / table))
 
-    put("teams", [("KC", "Chiefs", "AFC West")], "team_abbr string, team_name string, team_division string")
+    put("teams", [("KC", "Team K", "West")], "team_abbr string, team_name string, team_division string")
     put("players", [(p, n, pos) for p, n, pos in PLAYERS], "gsis_id string, display_name string, position string")
     put("schedules", [(f"g{s}{w}", s, "REG", w, "KC", 20, "SF", 10) for s in (2021, 2022) for w in (1, 2)],
         "game_id string, season bigint, game_type string, week bigint, home_team string, home_score bigint, away_team string, away_score bigint")
