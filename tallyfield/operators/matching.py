@@ -49,9 +49,25 @@ def ranked_names(raw: DataFrame) -> DataFrame:
     )
 
 
+def _looked_up(names: DataFrame, roster: DataFrame) -> DataFrame:
+    """Names with ``found``: a struct holding the player id, NULL if the name is not there.
+
+    Exact matches and the rest both come out of this one join.  The struct tells "found, but
+    without an id" from "not found", and keeps both users on the same shuffled roster.
+    """
+    there = roster.select("name_key", "pos_key", F.struct("player_id").alias("found"))
+    return names.join(there, ["name_key", "pos_key"], "left")
+
+
 def exact_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
     """Names found as they are: (name_key, pos_key, player_id)."""
-    return names.join(roster, ["name_key", "pos_key"])
+    hits = _looked_up(names, roster).where(F.col("found").isNotNull())
+    return hits.select("name_key", "pos_key", "found.player_id")
+
+
+def not_exact(names: DataFrame, roster: DataFrame) -> DataFrame:
+    """Names without an exact match."""
+    return _looked_up(names, roster).where(F.col("found").isNull()).select("name_key", "pos_key")
 
 
 def _substrings(names: DataFrame, others: DataFrame) -> DataFrame:
@@ -114,8 +130,7 @@ def resolve_names(raw: DataFrame, rosters: DataFrame) -> DataFrame:
     names = ranked_names(raw)
     roster = roster_names(rosters)
     exact = exact_matches(names, roster)
-    rest = names.join(roster, ["name_key", "pos_key"], "left_anti")
-    partial = partial_matches(rest, roster)
+    partial = partial_matches(not_exact(names, roster), roster)
     return exact.withColumn("match_type", F.lit(EXACT)).unionByName(
         partial.withColumn("match_type", F.lit(PARTIAL))
     )

@@ -384,8 +384,7 @@ def match_exact(spark, sf):
 def match_partial(spark, sf):
     names = matching.ranked_names(s.raw_ranks(spark, sf))
     roster = matching.roster_names(s.roster_names(spark, sf))
-    rest = names.join(roster, ["name_key", "pos_key"], "left_anti")
-    return matching.partial_matches(rest, roster)
+    return matching.partial_matches(matching.not_exact(names, roster), roster)
 
 
 def _linked(spark: SparkSession, sf: str) -> DataFrame:
