@@ -123,13 +123,19 @@ LINKED_RANKS = RAW_RANKS + ", player_id string"
 
 #: Ordered name rules for play columns that are not declared; first hit wins.
 PLAY_RULES = (
+    (r"^(quarter_end|sp|goal_to_go|shotgun|no_huddle|qb_dropback|qb_kneel|qb_spike|qb_scramble|timeout)$", "boolean"),
+    (r"^(punt_blocked|incomplete_pass|complete_pass|touchback|interception|fumble|fumble_out_of_bounds)$", "boolean"),
+    (r"^(assist_tackle|tackle_with_assist|lateral_(reception|rush|return|recovery)|replay_or_challenge)$", "boolean"),
+    (r"^(series_success|drive_inside20|drive_ended_with_score|div_game|first_down)$", "boolean"),
+    (r"^(first_down|third_down|fourth_down)_", "boolean"),
     (r"(^|_)(id|name|team|desc|description|formation|personnel|location|gap)$", "string"),
     (r"_(result|transition|coach|weather|stadium|clock_start|clock_end)$", "string"),
-    (r"(^|_)(epa|wpa|wp|prob|oe|cp|cpoe|xpass)(_post)?$", "double"),
+    (r"(^|_)(ep|epa|wpa|wp|prob|oe|cp|cpoe|xpass)(_post)?$", "double"),
     (r"^(lateral_)?(passing|receiving|rushing|penalty|return)_yards$", "double"),
-    (r"_(timeouts_remaining|seconds_remaining|score|score_post|score_differential)$", "int"),
-    (r"^(first_down|third_down|fourth_down)_", "boolean"),
-    (r"^(shotgun|no_huddle|qb_dropback|qb_kneel|qb_spike|qb_scramble|goal_to_go)$", "boolean"),
+    (r"(^|_)(timeouts_remaining|seconds_remaining|score|score_differential)(_post)?$", "int"),
+    (r"^(drive|fixed_drive|series|order_sequence|play_clock|jersey_number|kick_distance|ydsnet)$", "int"),
+    (r"^(result|total|temp|wind)$", "int"),
+    (r"^drive_(play_count|first_downs|quarter_(start|end)|yards_penalized|(start|end)_yard_line)$", "int"),
     (r"_(attempt|touchdown|td|conv)$", "double"),
 )
 

@@ -64,7 +64,12 @@ def test_play_rules():
     assert declared_type("pbp_data", "solo_tackle_1_player_id", num) == text
     assert declared_type("pbp_data", "total_home_comp_yac_epa", text) == num
     assert declared_type("pbp_data", "home_wp_post", text) == num
-    assert declared_type("pbp_data", "shotgun", num) == T.BooleanType()
+    for flag in ("shotgun", "fumble", "drive_ended_with_score", "third_down_failed", "lateral_rush", "first_down"):
+        assert declared_type("pbp_data", flag, num) == T.BooleanType()
+    for count in ("home_timeouts_remaining", "score_differential_post", "drive_quarter_end", "total", "posteam_score"):
+        assert declared_type("pbp_data", count, num) == T.IntegerType()
+    assert declared_type("pbp_data", "two_point_conv_result", num) == text
+    assert declared_type("pbp_data", "pass_touchdown", text) == num
     assert declared_type("weekly_stats", "unheard_of", num) == num
 
 
