@@ -35,12 +35,14 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder for intermediate tables.
+    """A new folder for intermediate tables, inside the shared folder named by spark.checkpoint.dir.
 
-    On a cluster it lies in the shared folder named by spark.checkpoint.dir; only without one
-    (tests on one machine) is it a local temporary folder.
+    On one machine (master ``local...``) a temporary folder serves where none is named; on a
+    cluster a missing setting is an error, as executors would write to disks of their own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="run-")
+    if not shared:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"

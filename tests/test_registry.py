@@ -4,8 +4,8 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry_point
-
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+from tallyfield.registry.oracles import ORACLES as SQL
+from tallyfield.registry.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,8 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
