@@ -41,6 +41,10 @@ LEAST_LEAD = 0.0005
 
 UNKNOWN = "und"
 
+#: A run before the text that always compresses: without it short texts are stored as they are,
+#: and no dictionary would show.
+CARRIER = b"\n" * 256 + b" "
+
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -82,7 +86,7 @@ def classify(text: str | None, packers) -> tuple[str, float, bool]:
     raw = letters(text)
     if not raw or not packers:
         return UNKNOWN, 0.0, True
-    sizes = sorted((len(packer.compress(raw)), lang) for lang, packer in packers)
+    sizes = sorted((len(packer.compress(CARRIER + raw + b" ")), lang) for lang, packer in packers)
     if len(sizes) == 1:
         return sizes[0][1], 1.0, False
     lead = (sizes[1][0] - sizes[0][0]) / sizes[1][0]

@@ -1,11 +1,12 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tallyfield.llm import exact_dedup, language_id, minhash, packing, token_store
+from tallyfield.llm import bpe_tree, exact_dedup, language_id, minhash, packing, token_store
 
 QUERIES = {
     "op1_minhash": minhash.query,
     "op2_packing": packing.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op5_bpe_tree": bpe_tree.query,
     "op7_token_store": token_store.query,
     "op10_language_id": language_id.query,
 }
