@@ -1,6 +1,15 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tallyfield.llm import bpe_tree, exact_dedup, language_id, minhash, packing, token_store
+from tallyfield.llm import (
+    bpe_tree,
+    exact_dedup,
+    html_main,
+    language_id,
+    minhash,
+    packing,
+    quality,
+    token_store,
+)
 
 QUERIES = {
     "op1_minhash": minhash.query,
@@ -8,6 +17,8 @@ QUERIES = {
     "op3_exact_dedup": exact_dedup.query,
     "op5_bpe_tree": bpe_tree.query,
     "op7_token_store": token_store.query,
+    "op8_quality": quality.query,
+    "op9_html_main": html_main.query,
     "op10_language_id": language_id.query,
 }
 
