@@ -7,6 +7,7 @@ from tallyfield.llm import (
     language_id,
     minhash,
     packing,
+    pii,
     quality,
     token_store,
 )
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_packing": packing.query,
     "op3_exact_dedup": exact_dedup.query,
     "op5_bpe_tree": bpe_tree.query,
+    "op6_pii": pii.query,
     "op7_token_store": token_store.query,
     "op8_quality": quality.query,
     "op9_html_main": html_main.query,
