@@ -10,12 +10,14 @@ from tallyfield.llm import (
     pii,
     quality,
     token_store,
+    warc_fixity,
 )
 
 QUERIES = {
     "op1_minhash": minhash.query,
     "op2_packing": packing.query,
     "op3_exact_dedup": exact_dedup.query,
+    "op4_warc_fixity": warc_fixity.query,
     "op5_bpe_tree": bpe_tree.query,
     "op6_pii": pii.query,
     "op7_token_store": token_store.query,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_language_id": language_id.query,
 }
 
-ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_warc_fixity": warc_fixity.ORACLE}
