@@ -132,8 +132,8 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     found = find_copies(docs, id_col, text_col)
-    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")).distinct())
-    same = docs[id_col].eqNullSafe(gone["_gone"]) & (F.sha2(F.coalesce(docs[text_col], F.lit("")), 256) == gone["_sha"])
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("__copy_id"), F.col("text_sha256").alias("__copy_sha")).distinct())
+    same = docs[id_col].eqNullSafe(gone["__copy_id"]) & (F.sha2(F.coalesce(docs[text_col], F.lit("")), 256) == gone["__copy_sha"])
     return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
 
 

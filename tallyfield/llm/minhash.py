@@ -255,8 +255,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     found = near_duplicates(docs, id_col, text_col)
-    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("__near_id")).distinct())
+    return docs.join(gone.hint("shuffle_hash"), docs[id_col].eqNullSafe(gone["__near_id"]), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,16 +228,17 @@ def _added(docs: DataFrame, scanned: DataFrame, text_col: str) -> DataFrame:
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with every span of their text replaced by its kind in angle brackets."""
     added = _added(docs, stored(_scanned(docs, id_col, text_col)), text_col)
-    text = F.col("_text")
+    added = added.toDF("__pii_id", "__pii_hash", "__pii_added")
+    text = F.col("__pii_text")
     every = F.array_sort(F.transform(
         F.concat(
-            F.transform("_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))),
-            F.coalesce("added", F.array().cast("array<struct<kind:string,start:int,end:int>>")),
+            F.transform("__pii_base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))),
+            F.coalesce("__pii_added", F.array().cast("array<struct<kind:string,start:int,end:int>>")),
         ),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
     ))
     clean = F.aggregate(
-        "_every",
+        "__pii_every",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda done, s: F.when(s["start"] < done["at"], F.struct(
             F.greatest(done["at"], s["end"]).alias("at"), done["out"].alias("out")
@@ -251,11 +252,11 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text))),
     )
     columns = docs.columns
-    rows = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_base", base_spans(text))
-    rows = rows.withColumn("_key", F.xxhash64("_text"))
-    same = rows[id_col].eqNullSafe(added["_id"]) & (rows["_key"] == added["_hash"])
-    rows = rows.join(added.hint("shuffle_hash"), same, "left").withColumn("_every", every)
-    new = F.when(F.size("_every") > 0, clean).otherwise(F.col(text_col))
+    rows = docs.withColumn("__pii_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("__pii_base", base_spans(text))
+    rows = rows.withColumn("__pii_key", F.xxhash64("__pii_text"))
+    same = rows[id_col].eqNullSafe(added["__pii_id"]) & (rows["__pii_key"] == added["__pii_hash"])
+    rows = rows.join(added.hint("shuffle_hash"), same, "left").withColumn("__pii_every", every)
+    new = F.when(F.size("__pii_every") > 0, clean).otherwise(F.col(text_col))
     return rows.withColumn(text_col, new).select(*columns)
 
 
