@@ -6,9 +6,10 @@ Two sets of similarity 0.75 agree in no band with a chance of about 2 in a milli
 
 Texts of equal sets are one class, represented by its smallest id. Representatives that share a
 band are compared without forming all pairs of a bucket: first each with the bucket's smallest
-id; what is linked then forms components. Only buckets that still hold several components are
-looked at again, in blocks of bounded size, and give the pairs from different components whose
-signatures agree enough. Every pair is confirmed on the full shingle sets.
+id, if their signatures agree enough; what is linked then forms components. Only buckets that
+still hold several components are looked at again, in blocks of bounded size: there the full sets
+of different components are compared, and only links that join components come out. Every link is
+confirmed on the full shingle sets.
 
 Defined results: null texts and texts without words have no shingle and are linked with nothing.
 Rows without an id take part through equal sets only: they belong to the smallest id of their
@@ -39,8 +40,8 @@ THRESHOLD = 75
 #: Share of agreeing signature values below which a pair is not confirmed: six standard errors under the threshold.
 LEAST_AGREEMENT = 0.57
 
-#: Members of a bucket whose open pairs one task compares, and those small enough for a plain join.
-BLOCK, FEW = 1024, 6
+#: Documents of a block; a task holds two at most.
+BLOCK = 512
 
 #: Rows of the matrix that is hashed at once.
 CHUNK = 512
@@ -140,23 +141,44 @@ def _confirm(id_type: pa.DataType):
     return confirm
 
 
-def _open_pairs(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block (or of two) that lie in different components and may be similar."""
-    members = members.sort_values("rep", ignore_index=True)
-    signs = np.frombuffer(b"".join(members["signature"]), np.uint8).reshape(len(members), -1)
-    size, comp = members["n_shingles"].to_numpy(), members["component"].to_numpy()
-    own, rep = members["own"].to_numpy(), members["rep"].to_numpy()
-    two = members["block_a"].iloc[0] != members["block_b"].iloc[0]
-    out = []
-    for at in range(len(members) - 1):
-        rest = slice(at + 1, None)
-        near = (comp[rest] != comp[at]) & (100 * np.minimum(size[rest], size[at]) >= THRESHOLD * np.maximum(size[rest], size[at]))
+def _cluster_links(sets: list[np.ndarray], comp: np.ndarray, own: np.ndarray, two: bool) -> list[tuple[int, int]]:
+    """Links that join different components: each set is compared with all later ones at once."""
+    size = np.array([len(values) for values in sets])
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(size)[:-1]])
+    root = np.unique(comp, return_inverse=True)[1]
+    mark, out = np.zeros(int(place.max()) + 1, np.int32), []
+    for at in range(len(sets) - 1):
+        later = slice(at + 1, None)
+        may = (root[later] != root[at]) & (
+            100 * np.minimum(size[later], size[at]) >= THRESHOLD * np.maximum(size[later], size[at])
+        )
         if two:
-            near &= own[rest] != own[at]
-        places = np.flatnonzero(near) + at + 1
-        if len(places):
-            places = places[(signs[places] == signs[at]).mean(axis=1) >= LEAST_AGREEMENT]
-            out += [(rep[at], rep[place]) for place in places]
+            may &= own[later] != own[at]
+        if not may.any():
+            continue
+        mine = place[begin[at] : begin[at] + size[at]]
+        mark[mine] = 1
+        common = np.add.reduceat(mark[place[begin[at + 1] :]], begin[later] - begin[at + 1])
+        mark[mine] = 0
+        linked = may & (100 * common >= THRESHOLD * (size[later] + size[at] - common))
+        for other in np.flatnonzero(linked) + at + 1:
+            if root[other] != root[at]:
+                out.append((at, int(other)))
+                root[root == root[other]] = root[at]
+    return out
+
+
+def _block_links(members: pd.DataFrame) -> pd.DataFrame:
+    """Confirmed links inside the clusters (or between the two blocks of one) that a task holds."""
+    out = []
+    for _, cluster in members.groupby("cluster"):
+        cluster = cluster.sort_values("rep", ignore_index=True)
+        two = cluster["block_a"].iloc[0] != cluster["block_b"].iloc[0]
+        sets = [shingles(text) for text in cluster["text"]]
+        found = _cluster_links(sets, cluster["component"].to_numpy(), cluster["own"].to_numpy(), two)
+        rep = cluster["rep"].to_numpy()
+        out += [(rep[a], rep[b]) for a, b in found]
     return pd.DataFrame(out, columns=["a", "b"]).astype(members["rep"].dtype)
 
 
@@ -173,49 +195,55 @@ class Linker:
         joined = pairs.join(signs, "a").join(signs.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         return joined.mapInArrow(_agree(self.arrow), f"a {self.sql}, b {self.sql}").distinct()
 
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """Texts of the documents in the one column given; the texts' other rows move, but are not sorted."""
+        wanted = stored(wanted.toDF("want").distinct())
+        return stored(self.source.join(wanted.hint("shuffle_hash"), self.source["doc_id"] == wanted["want"], "left_semi"))
+
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that the full sets confirm; only texts of the pairs' documents move twice."""
-        pairs = stored(pairs)
-        wanted = stored(pairs.select(F.col("a").alias("want")).union(pairs.select("b")).distinct())
-        texts = stored(
-            self.source.join(wanted.hint("shuffle_hash"), self.source["doc_id"] == wanted["want"], "left_semi")
-        )
+        """The pairs that the full sets confirm."""
+        texts = self.texts(pairs.select("a").union(pairs.select("b")))
         joined = pairs.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
         return stored(joined.mapInArrow(_confirm(self.arrow), f"a {self.sql}, b {self.sql}").distinct())
 
-
-def _open(members: DataFrame, reps: DataFrame, parts: DataFrame, done: DataFrame, sql: str) -> DataFrame:
-    """Candidate pairs left in buckets that still hold several components."""
-    marked = members.join(parts, members["rep"] == parts["node"], "left").select(
-        "key", "rep", F.coalesce("component", "rep").alias("component")
-    )
-    marked = stored(marked)
-    counts = (
-        marked.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("n > 2 AND low <> high")
-        .select("key", "n")
-    )
-    left = stored(marked.join(counts, "key"))
-    few = left.where(F.col("n") <= FEW)
-    other = few.select("key", F.col("rep").alias("b"), F.col("component").alias("cb"))
-    plain = (
-        few.join(other, "key").where("rep < b AND component <> cb").select(F.col("rep").alias("a"), "b").distinct()
-    )
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    many = (
-        left.where(F.col("n") > FEW)
-        .withColumn("blocks", blocks)
-        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "key", "rep", "component", "own",
-            F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
+    def left_over(self, members: DataFrame, parts: DataFrame) -> DataFrame:
+        """Links that the stars missed, from buckets that still hold several components.
+
+        Buckets with members in common are one cluster, so that a document's text goes to each
+        pair of blocks once, however many bands it shares. Small clusters share tasks.
+        """
+        marked = stored(members.join(parts, members["rep"] == parts["node"], "left").select(
+            "key", "pivot", "rep", F.coalesce("component", "rep").alias("component")
+        ))
+        mixed_keys = (
+            marked.groupBy("key")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("n > 2 AND low <> high")
+            .select("key")
         )
-        .join(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "signature"), "rep")
-    )
-    blocked = many.groupBy("key", "block_a", "block_b").applyInPandas(_open_pairs, f"a {sql}, b {sql}").distinct()
-    return plain.union(blocked).distinct().join(done, ["a", "b"], "left_anti")
+        left = stored(marked.join(mixed_keys, "key").select("pivot", "rep", "component").distinct())
+        clusters = stored(connected_components(left.select(F.col("pivot").alias("a"), F.col("rep").alias("b"))))
+        nodes = stored(left.select("rep", "component").distinct().join(
+            clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "rep"
+        ))
+        sizes = nodes.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+        tasks = max(1, nodes.count() // BLOCK)
+        small = F.col("n") <= BLOCK
+        dealt = (
+            nodes.join(sizes, "cluster")
+            .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+            .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select(
+                "cluster", "rep", "component", "own",
+                F.when(small, F.pmod(F.xxhash64("cluster"), F.lit(tasks))).otherwise(-1).alias("task"),
+                F.when(~small, F.col("cluster")).alias("alone"),
+                F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
+            )
+        )
+        texts = self.texts(nodes.select("rep")).toDF("rep", "text")
+        work = dealt.join(texts, "rep").groupBy("task", "alone", "block_a", "block_b")
+        return stored(work.applyInPandas(_block_links, f"a {self.sql}, b {self.sql}").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,8 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = stored(linker.alike(stars))
     links = linker.confirmed(tried)
     parts = stored(connected_components(links))
-    rest = linker.alike(_open(members, reps, parts, tried, sql))
-    more = linker.confirmed(rest)
+    more = linker.left_over(members, parts)
     if not more.isEmpty():
         parts = stored(connected_components(links.union(more)))
     of_class = classes.join(parts, classes["rep"] == parts["node"], "left").select(
@@ -253,10 +280,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns; rows without an id cannot be named and stay."""
     found = near_duplicates(docs, id_col, text_col)
-    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("__near_id")).distinct())
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col].eqNullSafe(gone["__near_id"]), "left_anti")
+    gone = stored(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__near_id")).distinct())
+    return docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["__near_id"], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

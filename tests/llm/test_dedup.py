@@ -106,7 +106,6 @@ def test_near_against_brute_force(docs, monkeypatch):
     rows = corpus()
     near_is_right(rows, minhash.near_duplicates(docs(rows).repartition(4)).collect())
     monkeypatch.setattr(minhash, "BLOCK", 8)
-    monkeypatch.setattr(minhash, "FEW", 3)
     near_is_right(rows, minhash.near_duplicates(docs(rows).repartition(4)).collect())
 
 
@@ -126,7 +125,7 @@ def test_near_edges(docs):
     assert minhash.near_duplicates(docs([])).count() == 0
     left = minhash.drop_near(docs(EDGES))
     assert left.columns == docs([]).columns
-    assert sorted(str(r["doc_id"]) for r in left.collect()) == ["1", "2", "3", "7", "None"]
+    assert sorted(str(r["doc_id"]) for r in left.collect()) == ["1", "2", "3", "7", "None", "None"]
 
 
 def test_min_and_max_estimate_similarity():
