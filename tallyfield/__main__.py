@@ -25,7 +25,7 @@ from tallyfield.sources import rankfiles
 from tallyfield.sources.landing import Landing
 from tallyfield.sources.warehouse import Warehouse, export
 
-#: Rows printed of a result; write a larger one with --output.
+#: Rows of a result that are printed unless --limit says otherwise.
 SHOWN = 1000
 
 
@@ -34,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--store", required=True, help="folder of the stored tables")
     p.add_argument("--landing", help="folder of the landing data, one sub-folder per table")
     p.add_argument("--format", default="parquet", choices=("parquet", "orc", "csv", "json"), help="landing format")
+    p.add_argument("--limit", type=int, default=SHOWN, help="rows printed of a result; 0 prints all")
+    p.add_argument("--output", help="write results here instead: a target ending in .csv or .parquet, else JSON lines")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("extract").add_argument("seasons", nargs="+", type=int)
     one = sub.add_parser("refresh-season")
@@ -44,25 +46,46 @@ def _parser() -> argparse.ArgumentParser:
     week.add_argument("week", type=int)
     sub.add_parser("refresh-raw-ecr").add_argument("--ranks", required=True, help="folder of the rank files")
     sub.add_parser("refresh-transformed-ecr")
-    sub.add_parser("refresh-summary").add_argument("--run-tests", action="store_true")
+    summary = sub.add_parser("refresh-summary")
+    summary.add_argument("--run-tests", action="store_true")
+    summary.add_argument("--expect", help="CSV file: season, position, rank_column, expected_rank, name_part")
     q = sub.add_parser("query")
     text = q.add_mutually_exclusive_group(required=True)
     text.add_argument("--sql")
     text.add_argument("--file")
-    q.add_argument("--output", help="target ending in .csv or .parquet, else JSON lines")
+    q.add_argument("--output", dest="query_output", help="as the option of the same name before the command")
     sub.add_parser("validate")
     sub.add_parser("schema")
     return p
 
 
-def _show(df: DataFrame) -> None:
-    df.show(SHOWN, truncate=False)
+class _Out:
+    """Prints results, or writes each to a folder of its own."""
+
+    def __init__(self, limit: int, output: str | None):
+        self.limit, self.output, self.written = limit, output, 0
+
+    def __call__(self, df: DataFrame) -> None:
+        if self.output:
+            stem, dot, ending = self.output.rpartition(".")
+            again = f"{stem}-{self.written + 1}{dot}{ending}" if dot else f"{self.output}-{self.written + 1}"
+            export(df, again if self.written else self.output)
+            self.written += 1
+            return
+        rows = df.limit(self.limit + 1).collect() if self.limit else df.collect()
+        shown = rows[: self.limit] if self.limit else rows
+        print("\t".join(df.columns))
+        for row in shown:
+            print("\t".join("NULL" if v is None else str(v) for v in row))
+        if len(rows) > len(shown):
+            print(f"... more rows than {self.limit}; use --limit or --output")
 
 
 def run(spark: SparkSession, argv: list[str]) -> int:
     """Run one command in ``spark``; returns the exit code."""
     args = _parser().parse_args(argv)
     store = Warehouse(spark, args.store)
+    _show = _Out(args.limit, getattr(args, "query_output", None) or args.output)
     if args.command in ("extract", "refresh-season", "refresh-week"):
         if not args.landing:
             raise SystemExit("--landing is needed")
@@ -98,13 +121,20 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         if not all(counts.values()):
             return 1
         if args.run_tests:
-            checks = reports.summary_checks(store.read("seasonal_stats"), store.read("smry_season"))
+            summary = store.read("smry_season")
+            checks = reports.summary_checks(store.read("seasonal_stats"), summary)
             _show(checks)
-            return int(checks.where("NOT passed").count() > 0)
+            failed = checks.where("NOT passed").count()
+            for expected, tops in reports.golden_ranks(spark, summary, args.expect) if args.expect else ():
+                _show(expected)
+                for top in tops:
+                    failed += 1
+                    _show(top)
+            return int(failed > 0)
     elif args.command == "query":
         store.register_views()
-        result = store.query(args.sql) if args.sql else store.query_file(args.file)
-        export(result, args.output) if args.output else _show(result)
+        for result in [store.query(args.sql)] if args.sql else store.query_file(args.file):
+            _show(result)
     elif args.command == "validate":
         _show(reports.validation_report(store.frames()))
     elif args.command == "schema":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -133,9 +135,10 @@ def rename_reserved(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in RESERVED_RENAMES.items() if k in df.columns})
 
 
-def with_audit(df: DataFrame) -> DataFrame:
-    """Add created_at / updated_at where the batch lacks them."""
-    missing = {c: F.current_timestamp() for c in AUDIT_COLUMNS if c not in df.columns}
+def with_audit(df: DataFrame, at: datetime | None = None) -> DataFrame:
+    """Add created_at / updated_at where the batch lacks them; one time for all rows."""
+    now = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    missing = {c: now for c in AUDIT_COLUMNS if c not in df.columns}
     return df.withColumns(missing) if missing else df
 
 

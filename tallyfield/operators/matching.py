@@ -71,7 +71,7 @@ def not_exact(names: DataFrame, roster: DataFrame) -> DataFrame:
 
 
 def _substrings(names: DataFrame, others: DataFrame) -> DataFrame:
-    """Each name with its substrings (``part``) of every length found in ``others``.
+    """Each name with its distinct substrings (``part``) of every length found in ``others``.
 
     The lengths are one small array for the whole table (names are a few dozen letters), read
     as a scalar subquery.
@@ -79,15 +79,11 @@ def _substrings(names: DataFrame, others: DataFrame) -> DataFrame:
     lengths = (
         others.where(F.col("name_key") != "").agg(F.collect_set(F.length("name_key"))).scalar()
     )
-    sized = (
-        names.withColumn("_lengths", lengths)
-        .select(*names.columns, F.explode("_lengths").alias("_size"))
-        .where(F.col("_size") <= F.length("name_key"))
-    )
-    starts = F.sequence(F.lit(1), F.length("name_key") - F.col("_size") + 1)
-    return sized.select("*", F.explode(starts).alias("_at")).select(
-        *names.columns, F.substring(F.col("name_key"), F.col("_at"), F.col("_size")).alias("part")
+    parts = F.expr(
+        "explode(array_distinct(flatten(transform(filter(_lengths, n -> n <= length(name_key)), "
+        "n -> transform(sequence(1, length(name_key) - n + 1), at -> substring(name_key, at, n))))))"
     )
+    return names.withColumn("_lengths", lengths).select(*names.columns, parts.alias("part"))
 
 
 def partial_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
@@ -108,15 +104,16 @@ def partial_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
     holds_roster = _substrings(names, roster).hint("merge").join(
         roster.withColumnRenamed("name_key", "part"), ["pos_key", "part"]
     )
+    # A short ranked name is part of many roster names: one id for each part is enough.
     in_roster = (
-        _substrings(roster, names)
+        smallest(_substrings(roster, names), "pos_key", "part")
         .select("pos_key", "player_id", F.col("part").alias("name_key"))
         .hint("merge")
         .join(names, ["name_key", "pos_key"])
     )
     # A blank name is contained in every name of its position, as LIKE '%%' has it.
     blank = F.col("name_key") == ""
-    holds_blank = names.join(roster.where(blank).drop("name_key"), "pos_key")
+    holds_blank = names.join(smallest(roster.where(blank), "pos_key"), "pos_key")
     blank_names = names.where(blank).join(smallest(roster, "pos_key"), "pos_key")
 
     found = bare.select(out)

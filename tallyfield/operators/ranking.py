@@ -6,11 +6,11 @@ rows hold a larger value, so we work on the histogram of values instead:
 
 1. count rows per (group, value): combined map-side, so a value shared by a third of all
    rows travels as one row per task;
-2. cut the value axis into buckets of fixed width; running counts inside a bucket and over
-   the bucket totals are two small windows;
+2. cut each group's distinct values into buckets at their own quantiles; running counts inside
+   a bucket and over the bucket totals are two small windows, whatever the values' spread;
 3. join rank-per-value back on (group, value).
 
-Widths are a tuning knob only: any width gives the same ranks.
+The number of buckets is a tuning knob only: any boundaries give the same ranks.
 """
 
 from __future__ import annotations
@@ -20,12 +20,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 100.0
+BUCKETS = 128
 
 # Buckets outside every real one: NULL always comes last, NaN above every number.
 _EDGE = 2**62
-# Values beyond this many buckets share the outermost one, infinities among them.
-_FAR = 4e18
 
 
 def _same(pairs: Mapping[str, str]) -> Column:
@@ -33,16 +31,25 @@ def _same(pairs: Mapping[str, str]) -> Column:
     return F.expr(" AND ".join(f"`{a}` <=> `{b}`" for a, b in pairs.items()))
 
 
+def bucketed(hist: DataFrame, groups: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Adds ``_place``: how many of its group's quantiles of distinct values a value has reached."""
+    steps = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    number = "CASE WHEN NOT isnan(_v) THEN _v END"
+    cuts = hist.groupBy(*groups).agg(F.expr(f"percentile_approx({number}, array({steps}))").alias("_cuts"))
+    cuts = cuts.withColumnsRenamed({g: f"_c_{g}" for g in groups})
+    place = "CAST(coalesce(size(filter(_cuts, c -> c <= _v)), 0) AS BIGINT) AS _place"
+    return hist.join(cuts, _same({g: f"_c_{g}" for g in groups})).selectExpr(*hist.columns, place)
+
+
 def _rank_of_values(
-    hist: DataFrame, groups: Sequence[str], *, width: float, method: str, descending: bool
+    hist: DataFrame, groups: Sequence[str], *, buckets: int, method: str, descending: bool
 ) -> DataFrame:
     """``hist`` holds one row per (groups, _v) with a count _n; adds ``_rank``."""
     order = "DESC NULLS LAST" if descending else "ASC NULLS LAST"
     null_bucket = -_EDGE if descending else _EDGE + 1
-    keyed = hist.selectExpr(
+    keyed = bucketed(hist, groups, buckets).selectExpr(
         "*",
-        f"CASE WHEN _v IS NULL THEN {null_bucket}L WHEN isnan(_v) THEN {_EDGE}L "
-        f"ELSE CAST(floor(least(greatest(_v / {width!r}D, -{_FAR!r}D), {_FAR!r}D)) AS BIGINT) END AS _b",
+        f"CASE WHEN _v IS NULL THEN {null_bucket}L WHEN isnan(_v) THEN {_EDGE}L ELSE _place END AS _b",
         f"{'_n' if method == 'rank' else '1L'} AS _w",
     )
     by = ", ".join(f"`{g}`" for g in groups)
@@ -70,7 +77,7 @@ def rank_within(
     *,
     method: str = "rank",
     descending: bool = True,
-    width: float = BUCKET_WIDTH,
+    buckets: int = BUCKETS,
     row_key: Sequence[str] = (),
     only: Column | None = None,
 ) -> DataFrame:
@@ -84,7 +91,7 @@ def rank_within(
     if method not in ("rank", "dense_rank"):
         raise ValueError(f"unknown ranking method: {method}")
     groups = list(groups)
-    opts = dict(width=width, method=method, descending=descending)
+    opts = dict(buckets=buckets, method=method, descending=descending)
     names = list(measures)
     vals = [f"_m{i}" for i in range(len(names))]
     tagged = df.withColumns({v: measures[n].cast("double") for v, n in zip(vals, names)})

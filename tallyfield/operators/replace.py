@@ -7,18 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfield.operators.sizes import broadcast_if_small
-
 
 def replace_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``existing`` without the key values present in ``batch``, plus ``batch``.
 
-    The keys are load units (season, week), so few that they are broadcast after a check of
-    their number; the stored rows stay where they are.  Rows with a NULL key are never
+    The keys are load units (season, week), few enough for adaptive execution to broadcast them
+    once it has measured them; the stored rows then stay where they are.  Rows with a NULL key are never
     replaced.  Columns are matched by name; a new one is NULL in earlier rows.
     """
     arriving = batch.select(*keys).dropna().distinct()
-    survivors = existing.join(broadcast_if_small(arriving), list(keys), "left_anti")
+    survivors = existing.join(arriving, list(keys), "left_anti")
     return survivors.unionByName(batch, allowMissingColumns=True)
 
 

@@ -27,14 +27,14 @@ def load_table(warehouse: Warehouse, landing: Landing, table: str, seasons: Sequ
     """
     units = list(seasons) if TABLES[table].by_season else [ALL_SEASONS]
     try:
-        rows = warehouse.insert(landing.read(table, seasons or None), table)
+        rows, by_season = warehouse.insert_counted(landing.read(table, seasons or None), table, seasons)
     except Exception as e:
         message = f"{table}: {type(e).__name__}: {e}"
-        for season in units:
-            warehouse.log_refresh(table, season, None, SEASON_TYPE, "FAILED", message)
+        warehouse.log_refreshes([(table, unit, None, SEASON_TYPE, "FAILED", message, 0) for unit in units])
         raise
-    for season in units:
-        warehouse.log_refresh(table, season, None, SEASON_TYPE, "SUCCESS", records_processed=rows)
+    done = [(table, unit, None, SEASON_TYPE, "SUCCESS", None, by_season.get(unit, rows)) for unit in units]
+    if done:
+        warehouse.log_refreshes(done)
     return rows
 
 

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.operators.quality import (
+    expect_at_rank,
     high_null_columns,
     null_profile,
     repeated_rows,
     same_count,
     season_coverage,
     table_size,
+    top_of_ranking,
     unique_on,
 )
+from tallyfield.plans.season_summary import RANK_PREFIXES
 from tallyfield.schemas import COVERAGE_TABLES, DUPLICATE_CHECKED
 
 AFTER_LOAD, ON_VALIDATE = 50.0, 10.0
@@ -61,3 +64,24 @@ def summary_checks(seasonal: DataFrame, summary: DataFrame) -> DataFrame:
     counts = same_count(seasonal, summary).select(F.lit("record_counts").alias("check"), "passed")
     keys = unique_on(summary, ["player_id", "season"]).select(F.lit("no_duplicates").alias("check"), "passed")
     return counts.unionByName(keys)
+
+
+def golden_ranks(spark: SparkSession, summary: DataFrame, path: str) -> Iterator[tuple[DataFrame, list[DataFrame]]]:
+    """For each rank column of a CSV file of expectations: the checks, and the top of each ranking that failed.
+
+    Columns of the file: season, position, rank_column, expected_rank, name_part.
+    """
+    given = spark.read.csv(
+        path, header=True, schema="season int, position string, rank_column string, expected_rank bigint, name_part string"
+    )
+    for column in sorted(r[0] for r in given.select("rank_column").distinct().collect()):
+        prefix = column.removesuffix("_tot_rnk").removesuffix("_ppg_rnk")
+        expected = given.where(F.col("rank_column") == column).select(
+            "season", "position", F.col("expected_rank").alias("rank"), "name_part"
+        )
+        checked = expect_at_rank(summary, column, expected)
+        failed = checked.where("NOT passed").select("season", "position").distinct().collect()
+        yield (
+            checked.withColumn("rank_column", F.lit(column)),
+            [top_of_ranking(summary, column, r["season"], r["position"], RANK_PREFIXES[prefix]) for r in failed],
+        )

@@ -81,12 +81,13 @@ def position_ranks(base: DataFrame, totals: bool = True, per_game_ranks: bool =
 def rankings_by_player(linked: DataFrame) -> DataFrame:
     """Expert rankings turned sideways: one row per player and season, both phases.
 
-    Of several entries in a phase the best-ranked one that has the value is taken.
+    Of several entries in a phase the best-ranked one that has the value is taken, of equally
+    ranked ones (those without a rank come last) the smallest value.
     """
     cells = [
         F.expr(
             f"min_by({v}, CASE WHEN before_preseason = {early} AND {v} IS NOT NULL "
-            "THEN coalesce(rank, double('Infinity')) END)"
+            f"THEN struct(coalesce(rank, double('Infinity')) AS at, {v} AS v) END)"
         ).alias(f"{prefix}_{v}")
         for prefix, early in RANKING_PHASES.items() for v in RANKING_VALUES
     ]

@@ -351,12 +351,24 @@ ORACLES["store_replace_week"] = with_tables(["weekly"], f"""
            CAST(CASE WHEN season >= {SEASON} AND week % 2 = 0 THEN 0 ELSE sum(attempts) END AS INTEGER) AS attempts
     FROM weekly GROUP BY player_id, season, week""")
 ORACLES["export_roundtrip"] = ORACLES["q07_running_back_workload"]
-ORACLES["append_log"] = with_tables(["refresh_log", "schedules"], """
-    WITH new AS (SELECT season, count(*) AS n FROM schedules GROUP BY season)
-    SELECT id, table_name, season, status, CAST(records_processed AS BIGINT) AS records_processed FROM refresh_log
+ORACLES["append_log"] = with_tables(["refresh_log", "schedules"], f"""
+    WITH asked AS (SELECT unnest([{SEASON}, {SEASON} + 1]) AS season)
+    SELECT id, table_name, season, status, records_processed FROM refresh_log
     UNION ALL
-    SELECT (SELECT max(id) FROM refresh_log) + row_number() OVER (ORDER BY season), 'schedules', season, 'SUCCESS', n
-    FROM new""")
+    SELECT (SELECT max(id) FROM refresh_log) + row_number() OVER (ORDER BY a.season), 'schedules', a.season, 'SUCCESS',
+           CAST((SELECT count(*) FROM schedules g WHERE g.season = a.season AND (g.season > {SEASON} OR g.week <= 2)) AS INTEGER)
+    FROM asked a""")
+ORACLES["store_new_column"] = with_tables(["rosters"], f"""
+    SELECT player_id, season, position, CASE WHEN season >= {SEASON} THEN upper(position) END AS nickname FROM rosters""")
+ORACLES["query_file"] = with_tables(["weekly"], f"""
+    SELECT 'first; statement' AS part, count(*) AS n FROM weekly WHERE season = {SEASON}
+    UNION ALL SELECT 'second', count(DISTINCT player_id) FROM weekly""")
+ORACLES["typed_plays"] = (
+    f"SELECT {_tag('P', 'event_id')} AS play_id, {_dbl('num')} AS air_yards, {_dbl('num')} AS sack, {_dbl('num')} AS spread_line, "
+    f"{_int('num')} AS series, {_flag('flag')} AS shotgun, strftime(TRY_CAST(day AS DATE), '%Y-%m-%d') AS game_date, "
+    f"{_clean('cell')} AS stadium FROM ("
+    + _texts(num=rq._TEXT_NUMBER, day=rq._TEXT_DATE, cell=rq._TEXT_CELL, flag=rq._TEXT_FLAG) + ")"
+)
 _LAST = (
     "strftime(max(refresh_date), '%Y-%m-%d %H:%M:%S.%f') AS last_refresh FROM refresh_log "
     f"WHERE table_name = 'weekly_stats' AND season = {SEASON} AND status = 'SUCCESS'"
@@ -501,7 +513,7 @@ _PPG_RANKS = ", ".join(f"{_rank(_per_game(c))} AS {p}_ppg_rnk" for p, c in ss.RA
 _PIVOT = (
     "SELECT player_id, year AS season, "
     + ", ".join(
-        f"arg_min({v}, rank) FILTER (WHERE before_preseason = {str(early).lower()} AND {v} IS NOT NULL) AS {prefix}_{v}"
+        f"min({{'at': coalesce(rank, CAST('Infinity' AS DOUBLE)), 'v': {v}}}) FILTER (WHERE before_preseason = {str(early).lower()} AND {v} IS NOT NULL)['v'] AS {prefix}_{v}"
         for prefix, early in ss.RANKING_PHASES.items() for v in ss.RANKING_VALUES
     )
     + " FROM player_ranks GROUP BY player_id, year"
@@ -655,3 +667,5 @@ ORACLES["summary_checks"] = with_tables(_SUMMARY_TABLES, f"""{_SUMMARY}
 ORACLES["sql_params"] = with_tables(["weekly"], f"""
     SELECT team, position, count(*) AS games, sum(passing_yards) AS yards FROM weekly
     WHERE season = {SEASON} AND week <= 10 GROUP BY team, position HAVING count(*) >= 2""")
+# The same lines written to files, one with a title line full of commas, and read back.
+ORACLES["rankfile_read"] = ORACLES["rank_clean"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from tallyfield.operators.ranking import rank_within
 from tallyfield.plans import queries as q
 from tallyfield.plans import ranks, reports
 from tallyfield.plans import season_summary as ss
+from tallyfield.plans.refresh import load_table
 from tallyfield.registry import standins as s
 from tallyfield.session import scratch_dir
 from tallyfield.sources import rankfiles
+from tallyfield.sources.landing import Landing
 from tallyfield.sources.warehouse import Warehouse, export, last_refresh, player_positions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -271,14 +274,48 @@ def export_roundtrip(spark, sf):
 
 
 def append_log(spark, sf):
-    log = s.refresh_log(spark, sf)
-    finished = (
-        _games(spark, sf).groupBy("season").agg(F.count(F.lit(1)).alias("records_processed"))
-        .select(F.lit("schedules").alias("table_name"), "season", F.lit("SUCCESS").alias("status"), "records_processed")
+    """Two seasons of unequal size loaded by the real job: one log entry each, numbered onward."""
+    folder = scratch_dir(spark)
+    games = s.schedules(spark, sf).where((F.col("season") != SEASON) | (F.col("week") <= 2))
+    games.write.parquet(f"{folder}/landing/schedules")
+    store = Warehouse(spark, f"{folder}/store")
+    s.refresh_log(spark, sf).write.parquet(store.path("data_refresh_log"))
+    load_table(store, Landing(spark, f"{folder}/landing"), "schedules", [SEASON, SEASON + 1])
+    return store.read("data_refresh_log").select("id", "table_name", "season", "status", "records_processed")
+
+
+def store_new_column(spark, sf):
+    """A later batch brings a column nobody declared; the plain read shows it, NULL before."""
+    rosters = s.rosters(spark, sf).select("player_id", "season", "position")
+    store = Warehouse(spark, scratch_dir(spark))
+    store.insert(rosters, "rosters")
+    late = rosters.where(F.col("season") >= SEASON)
+    store.insert(late.withColumn("nickname", F.upper("position")), "rosters")
+    return store.read("rosters").select("player_id", "season", "position", "nickname")
+
+
+def query_file(spark, sf):
+    """A script of two statements, run from the shared folder."""
+    folder = scratch_dir(spark)
+    script = (
+        f"-- sizes; of the season\nSELECT 'first; statement' AS part, count(*) AS n FROM weekly_stats WHERE season = {SEASON};"
+        "\nSELECT 'second' AS part, count(DISTINCT player_id) AS n FROM weekly_stats;\n"
     )
-    new = replace.next_ids(log, finished, ["table_name", "season"])
-    old = log.select("id", "table_name", "season", "status", F.col("records_processed").cast("bigint").alias("records_processed"))
-    return old.unionByName(new.select(old.columns))
+    spark.createDataFrame([(script,)], "value string").coalesce(1).write.option("lineSep", "\n\n").text(f"{folder}/sql")
+    store = Warehouse(spark, f"{folder}/store")
+    store.insert(s.weekly(spark, sf), "weekly_stats")
+    store.register_views(["weekly_stats"])
+    return reduce(DataFrame.unionByName, store.query_file(f"{folder}/sql"))
+
+
+def typed_plays(spark, sf):
+    """Text cells of plays into their declared types."""
+    landed = _texts(
+        spark, sf, play_id=s._tag("P", "event_id"), air_yards=_TEXT_NUMBER, sack=_TEXT_NUMBER, spread_line=_TEXT_NUMBER,
+        series=_TEXT_NUMBER, shotgun=_TEXT_FLAG, game_date=_TEXT_DATE, stadium=_TEXT_CELL,
+    ).drop("event_id")
+    out = t.typed(landed, "pbp_data")
+    return out.withColumn("game_date", F.date_format("game_date", "yyyy-MM-dd"))
 
 
 def last_refresh_time(spark, sf):
@@ -357,6 +394,23 @@ def rank_clean(spark, sf):
     return rankfiles.normalise_rows(rankfiles.parse_rows(rank_lines(spark, sf)))
 
 
+def rankfile_read(spark, sf):
+    """The same lines as text files, one with a long title full of commas, read back from their folder."""
+    folder = scratch_dir(spark)
+    lines = rank_lines(spark, sf)
+    long_title = F.when((F.col("at") == 3) & F.col("file_name").contains("1995"), F.repeat(F.lit("title, "), 300))
+    files = spark._jvm.org.apache.hadoop.fs
+    for name in _LINE_LAYOUTS:
+        one = lines.where(F.col("file_name") == name).withColumn("value", F.coalesce(long_title, F.col("value")))
+        one.repartition(1).sortWithinPartitions("at").select("value").write.text(f"{folder}/parts/{name}")
+        root = files.Path(f"{folder}/parts/{name}")
+        store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(files.Path(f"{folder}/ranks"))
+        part = next(f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith("part-"))
+        store.rename(part, files.Path(f"{folder}/ranks/{name}"))
+    return rankfiles.read_rankings(spark, f"{folder}/ranks", "ranks_*")
+
+
 def rank_position(spark, sf):
     """Dense position ranks over the raw rankings table."""
     return rank_within(
@@ -615,6 +669,10 @@ QUERIES: dict[str, Query] = {
     "rank_total": rank_total,
     "rank_ppg": rank_ppg,
     "rank_pivot": rank_pivot,
+    "rankfile_read": rankfile_read,
+    "store_new_column": store_new_column,
+    "query_file": query_file,
+    "typed_plays": typed_plays,
     "season_summary": season_summary,
     "summary_sample": summary_sample,
     "dq_counts": dq_counts,

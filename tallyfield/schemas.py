@@ -6,7 +6,6 @@ TIME -> string.  Columns are matched by name, never by position.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -96,8 +95,7 @@ INJURIES = """
     practice_secondary_injury string, practice_status string, date_modified timestamp
 """
 
-# The play table has close to 400 columns.  Only those the queries read are declared;
-# PLAY_RULES types whatever else a landing file brings.
+# The columns that queries read come first.
 PLAYS = """
     play_id string, game_id string, home_team string, away_team string,
     season_type string, week int, posteam string, defteam string, yardline_100 int,
@@ -108,6 +106,56 @@ PLAYS = """
     fantasy_player_name string, fantasy_player_id string
 """
 
+# Of the play table's other columns those that are not text, by type; what is not named here is
+# stored as it is found, text as text.
+PLAY_NUMBERS = """
+    air_yards yards_after_catch no_score_prob opp_fg_prob opp_safety_prob opp_td_prob fg_prob
+    safety_prob td_prob extra_point_prob two_point_conversion_prob ep epa total_home_epa
+    total_away_epa total_home_rush_epa total_away_rush_epa total_home_pass_epa
+    total_away_pass_epa air_epa yac_epa comp_air_epa comp_yac_epa total_home_comp_air_epa
+    total_away_comp_air_epa total_home_comp_yac_epa total_away_comp_yac_epa
+    total_home_raw_air_epa total_away_raw_air_epa total_home_raw_yac_epa total_away_raw_yac_epa
+    wp def_wp home_wp away_wp wpa vegas_wpa vegas_home_wpa home_wp_post away_wp_post vegas_wp
+    vegas_home_wp total_home_rush_wpa total_away_rush_wpa total_home_pass_wpa
+    total_away_pass_wpa air_wpa yac_wpa comp_air_wpa comp_yac_wpa total_home_comp_air_wpa
+    total_away_comp_air_wpa total_home_comp_yac_wpa total_away_comp_yac_wpa
+    total_home_raw_air_wpa total_away_raw_air_wpa total_home_raw_yac_wpa total_away_raw_yac_wpa
+    punt_inside_twenty punt_in_endzone punt_out_of_bounds punt_downed punt_fair_catch
+    kickoff_inside_twenty kickoff_in_endzone kickoff_out_of_bounds kickoff_downed
+    kickoff_fair_catch fumble_forced fumble_not_forced solo_tackle safety penalty
+    tackled_for_loss fumble_lost own_kickoff_recovery own_kickoff_recovery_td qb_hit
+    rush_attempt pass_attempt sack pass_touchdown rush_touchdown return_touchdown
+    extra_point_attempt two_point_attempt field_goal_attempt kickoff_attempt punt_attempt
+    passing_yards receiving_yards rushing_yards lateral_receiving_yards lateral_rushing_yards
+    fumble_recovery_1_yards fumble_recovery_2_yards return_yards penalty_yards
+    defensive_two_point_attempt defensive_two_point_conv defensive_extra_point_attempt
+    defensive_extra_point_conv cp cpoe play_deleted special_teams_play drive_real_start_time
+    drive_time_of_possession drive_play_id_started drive_play_id_ended spread_line total_line
+    aborted_play success passer_jersey_number rusher_jersey_number receiver_jersey_number pass
+    rush special play out_of_bounds home_opening_kickoff qb_epa xyac_epa xyac_mean_yardage
+    xyac_median_yardage xyac_success xyac_fd xpass pass_oe defenders_in_box
+    number_of_pass_rushers n_offense n_defense ngs_air_yards time_to_throw
+"""
+
+PLAY_COUNTS = """
+    quarter_seconds_remaining half_seconds_remaining game_seconds_remaining drive ydsnet
+    kick_distance home_timeouts_remaining away_timeouts_remaining posteam_timeouts_remaining
+    defteam_timeouts_remaining total_home_score total_away_score posteam_score defteam_score
+    score_differential posteam_score_post defteam_score_post score_differential_post series
+    order_sequence play_clock fixed_drive drive_play_count drive_first_downs drive_quarter_start
+    drive_quarter_end drive_yards_penalized drive_start_yard_line drive_end_yard_line away_score
+    home_score result total temp wind jersey_number
+"""
+
+PLAY_FLAGS = """
+    quarter_end sp goal_to_go shotgun no_huddle qb_dropback qb_kneel qb_spike qb_scramble
+    timeout punt_blocked first_down_rush first_down_pass first_down_penalty third_down_converted
+    third_down_failed fourth_down_converted fourth_down_failed incomplete_pass touchback
+    interception fumble_out_of_bounds fumble complete_pass assist_tackle lateral_reception
+    lateral_rush lateral_return lateral_recovery tackle_with_assist replay_or_challenge
+    series_success drive_inside20 drive_ended_with_score div_game first_down
+"""
+
 REFRESH_LOG = """
     id int, table_name string, season int, week int, season_type string,
     refresh_date timestamp, status string, error_message string, records_processed int
@@ -121,24 +169,6 @@ RAW_RANKS = """
 
 LINKED_RANKS = RAW_RANKS + ", player_id string"
 
-#: Ordered name rules for play columns that are not declared; first hit wins.
-PLAY_RULES = (
-    (r"^(quarter_end|sp|goal_to_go|shotgun|no_huddle|qb_dropback|qb_kneel|qb_spike|qb_scramble|timeout)$", "boolean"),
-    (r"^(punt_blocked|incomplete_pass|complete_pass|touchback|interception|fumble|fumble_out_of_bounds)$", "boolean"),
-    (r"^(assist_tackle|tackle_with_assist|lateral_(reception|rush|return|recovery)|replay_or_challenge)$", "boolean"),
-    (r"^(series_success|drive_inside20|drive_ended_with_score|div_game|first_down)$", "boolean"),
-    (r"^(first_down|third_down|fourth_down)_", "boolean"),
-    (r"(^|_)(id|name|team|desc|description|formation|personnel|location|gap)$", "string"),
-    (r"_(result|transition|coach|weather|stadium|clock_start|clock_end)$", "string"),
-    (r"(^|_)(ep|epa|wpa|wp|prob|oe|cp|cpoe|xpass)(_post)?$", "double"),
-    (r"^(lateral_)?(passing|receiving|rushing|penalty|return)_yards$", "double"),
-    (r"(^|_)(timeouts_remaining|seconds_remaining|score|score_differential)(_post)?$", "int"),
-    (r"^(drive|fixed_drive|series|order_sequence|play_clock|jersey_number|kick_distance|ydsnet)$", "int"),
-    (r"^(result|total|temp|wind)$", "int"),
-    (r"^drive_(play_count|first_downs|quarter_(start|end)|yards_penalized|(start|end)_yard_line)$", "int"),
-    (r"_(attempt|touchdown|td|conv)$", "double"),
-)
-
 #: Columns renamed because the plain name is a SQL keyword.
 RESERVED_RENAMES = {
     "desc": "play_description",
@@ -164,6 +194,14 @@ _SQL_TYPES: dict[str, T.DataType] = {
 }
 
 
+#: Type of each play column named above.
+PLAY_TYPES = {
+    name: kind
+    for kind, names in (("double", PLAY_NUMBERS), ("int", PLAY_COUNTS), ("boolean", PLAY_FLAGS))
+    for name in names.split()
+}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """One stored table.
@@ -239,14 +277,12 @@ def table_schema(table: str, found: T.StructType) -> tuple[T.StructType, list[st
 
 
 def declared_type(table: str, column: str, found: T.DataType) -> T.DataType:
-    """Type of ``column`` in ``table``: declared name first, then rules, then what was found."""
+    """Type of ``column`` in ``table``: declared name first, then what was found."""
     spec = TABLES.get(table)
     if spec is not None and column in spec.types:
         return spec.types[column]
-    if table == "pbp_data":
-        for pattern, ddl in PLAY_RULES:
-            if re.search(pattern, column):
-                return _SQL_TYPES[ddl]
+    if table == "pbp_data" and column in PLAY_TYPES:
+        return _SQL_TYPES[PLAY_TYPES[column]]
     return fallback_type(found)
 
 

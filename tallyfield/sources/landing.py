@@ -22,8 +22,8 @@ from tallyfield.schemas import RESERVED_RENAMES, TABLES
 
 @dataclass(frozen=True)
 class Landing:
-    """``extra_columns`` names undeclared columns to take from JSON, by table; the other
-    formats say themselves which columns they have."""
+    """``extra_columns`` names the undeclared columns to take from JSON, by table, and so saves
+    the pass over the data that collects them; the other formats say which columns they have."""
 
     spark: SparkSession
     root: str
@@ -36,7 +36,13 @@ class Landing:
             reader = reader.option("header", True).option("inferSchema", False)
         elif self.format == "json":
             landed_as = {new: old for old, new in RESERVED_RENAMES.items()}
-            names = [landed_as.get(c, c) for c in TABLES[table].types] + list(self.extra_columns.get(table, ()))
+            names = [landed_as.get(c, c) for c in TABLES[table].types]
+            # JSON rows name their own columns: without a list of them, one pass collects the names.
+            more = self.extra_columns.get(table)
+            if more is None:
+                path = f"{self.root.rstrip('/')}/{table}"
+                more = self.spark.read.option("primitivesAsString", True).json(path).columns
+            names += [n for n in more if n not in names and n != "_corrupt_record"]
             reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         return reader.load(f"{self.root.rstrip('/')}/{table}")
 

@@ -27,7 +27,6 @@ YEAR_IN_NAME = r"(\d{4})"
 EARLY_MARK = "prepreseason"
 TITLE_LINES = 4
 BINARY_SUFFIX = ".xlsx"
-SNIFF_CHARS = 500
 HEADER_LINE = r"(?i)^\s*(rank|rk)\s*\t"
 MISSING_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -102,19 +101,17 @@ def is_early(name: Column) -> Column:
 
 
 def _number_lines(lines: DataFrame) -> DataFrame:
-    """Running counts inside each split: line_no, filled_no (blank lines apart), char offset.
+    """Running counts inside each split: line_no, and filled_no without blank lines.
 
     One window over (file, split); a split is bounded by spark.sql.files.maxPartitionBytes.
     Everything below builds on this frame, so its shuffle is made once and reused.
     """
     upto = Window.partitionBy("file_name", "split").orderBy("at")
-    above = upto.rowsBetween(Window.unboundedPreceding, -1)
     filled = (F.trim("value") != "").cast("int")
     return lines.select(
         "file_name", "split", "value",
         F.row_number().over(upto).alias("line_no"),
         F.sum(filled).over(upto.rowsBetween(Window.unboundedPreceding, 0)).alias("filled_no"),
-        F.coalesce(F.sum(F.length("value") + 1).over(above), F.lit(0)).alias("_start"),
     )
 
 
@@ -122,44 +119,36 @@ def _layout(numbered: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Where each readable file's header is, and how many filled lines precede each split.
 
     The header is the first line that starts with a rank heading, else the first filled line
-    after the titles.  A file is readable when its first characters hold more tabs than
-    commas; binary workbooks never are.  One hash aggregation over integers; what follows has a row per split or file.
+    after the titles, if that holds a tab; a file with neither is not readable, nor is a binary
+    one (a NUL anywhere, or a workbook's name).  One hash aggregation; what follows has a row per
+    split or file.
     """
-    head = F.when(
-        (F.col("split") == 0) & (F.col("_start") < SNIFF_CHARS),
-        F.substring(F.col("value"), F.lit(1), (F.lit(SNIFF_CHARS) - F.col("_start")).cast("int")),
-    )
     titled = F.col("value").rlike(HEADER_LINE)
     after_titles = (F.trim("value") != "") & ((F.col("split") > 0) | (F.col("line_no") > TITLE_LINES))
-
-    def occurrences(ch: str) -> Column:
-        return F.sum(F.length(head) - F.length(F.replace(head, F.lit(ch), F.lit(""))))
-
-    def first(cond: Column, what: str) -> Column:
-        return F.min(F.when(cond, F.col(what)))
+    line = F.struct("line_no", "filled_no", F.col("value").contains("\t").alias("tab"))
 
     splits = numbered.groupBy("file_name", "split").agg(
         F.max("filled_no").alias("_filled"),
-        occurrences("\t").alias("_tabs"), occurrences(",").alias("_commas"),
-        first(titled, "line_no").alias("_titled"), first(titled, "filled_no").alias("_titled_filled"),
-        first(after_titles, "line_no").alias("_after"), first(after_titles, "filled_no").alias("_after_filled"),
+        F.max(F.col("value").contains("\0")).alias("_binary"),
+        F.min(F.when(titled, line)).alias("_titled"),
+        F.min(F.when(after_titles, line)).alias("_after"),
     )
     earlier = Window.partitionBy("file_name").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_filled").over(earlier), F.lit(0)))
 
-    def place(line: str, filled: str) -> Column:
-        at = F.struct("split", F.col(line).alias("line_no"), (F.col("_before") + F.col(filled)).alias("filled"))
-        return F.min(F.when(F.col(line).isNotNull(), at))
+    def place(found: str) -> Column:
+        at = F.struct(
+            "split", F.col(found)["line_no"].alias("line_no"),
+            (F.col("_before") + F.col(found)["filled_no"]).alias("filled"), F.col(found)["tab"].alias("tab"),
+        )
+        return F.min(F.when(F.col(found).isNotNull(), at))
 
     headers = (
         splits.groupBy("file_name")
-        .agg(
-            F.coalesce(place("_titled", "_titled_filled"), place("_after", "_after_filled")).alias("header"),
-            F.sum("_tabs").alias("_tabs"), F.sum("_commas").alias("_commas"),
-        )
-        .where((F.col("_tabs") > F.col("_commas")) & F.col("header").isNotNull())
+        .agg(F.coalesce(place("_titled"), place("_after")).alias("header"), F.max("_binary").alias("_binary"))
+        .where(F.col("header.tab") & ~F.col("_binary"))
         .where(~F.lower("file_name").endswith(BINARY_SUFFIX))
-        .select("file_name", "header.*")
+        .select("file_name", "header.split", "header.line_no", "header.filled")
     )
     return headers, splits.select("file_name", "split", "_before")
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyfield.functions.typing import align, rename_reserved, with_audit
+from tallyfield.operators.replace import next_ids
 from tallyfield.schemas import REFRESH_STATUSES, TABLES, TableSpec
 
 LOG_TABLE = "data_refresh_log"
@@ -29,18 +33,54 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(table))
-        except AnalysisException:
-            return False
-        return True
-
-    def read(self, table: str, *, merge_schema: bool = False) -> DataFrame:
-        """A stored table, declared columns first; those no batch has brought yet are NULL.
+        return self._schema_at(self.path(table)) is not None
 
-        Only the footer of one file is looked at unless ``merge_schema`` asks for all.
+    def _schema_at(self, path: str) -> T.StructType | None:
+        """Schema of a stored folder; None if there is none, or nothing in it."""
+        try:
+            return self.spark.read.parquet(path).schema
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def _columns_path(self, table: str) -> str:
+        """A file without rows whose schema is the union of all columns ever stored in a table."""
+        return f"{self.root}/_columns/{table}"
+
+    def columns(self, table: str) -> T.StructType | None:
+        """All columns stored so far; read off the files of tables stored without that record."""
+        known = self._schema_at(self._columns_path(table))
+        if known is None and self.exists(table):
+            known = self.spark.read.option("mergeSchema", True).parquet(self.path(table)).schema
+        return known
+
+    def _add_columns(self, rows: DataFrame, table: str, *, anew: bool) -> DataFrame:
+        """Record a batch's columns; those stored before keep their types."""
+        known = None if anew else self.columns(table)
+        types = {f.name: f.dataType for f in known} if known else {}
+        rows = rows.select(*[
+            F.col(f"`{f.name}`").try_cast(types[f.name]).alias(f.name)
+            if types.get(f.name, f.dataType) != f.dataType else F.col(f"`{f.name}`")
+            for f in rows.schema
+        ])
+        fields = [*(known or []), *[f for f in rows.schema if f.name not in types]]
+        if known is None or len(fields) > len(known) or self._schema_at(self._columns_path(table)) is None:
+            union = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+            self.spark.createDataFrame([], union).coalesce(1).write.mode("overwrite").parquet(self._columns_path(table))
+        return rows
+
+    def read(self, table: str) -> DataFrame:
+        """A stored table with every column that any batch brought, declared columns first.
+
+        What a batch did not bring is NULL in its rows. The columns come from the record beside
+        the data, so no footer is looked at.
         """
-        df = self.spark.read.option("mergeSchema", merge_schema).parquet(self.path(table))
+        known = self._schema_at(self._columns_path(table))
+        if known is None:
+            df = self.spark.read.option("mergeSchema", True).parquet(self.path(table))
+        else:
+            df = self.spark.read.schema(known).parquet(self.path(table))
         return align(df, table) if table in TABLES else df
 
     def tables(self) -> list[str]:
@@ -56,49 +96,70 @@ class Warehouse:
 
         An empty batch writes nothing.  ``replace=False`` appends.
         """
-        if batch.isEmpty():
-            return 0
+        return self.insert_counted(batch, table, replace=replace)[0]
+
+    def insert_counted(
+        self, batch: DataFrame, table: str, seasons: Iterable[int] = (), *, replace: bool = True
+    ) -> tuple[int, dict[int, int]]:
+        """As insert(), with the rows of each of some seasons, all counted in the one write."""
         spec = TABLES[table]
-        rows = align(with_audit(rename_reserved(batch)), table)
-        if spec.full_replace and replace:
-            return self._write(rows, spec, "overwrite")
+        at = datetime.now(timezone.utc).replace(tzinfo=None)
+        rows = align(with_audit(rename_reserved(batch), at), table)
+        whole = spec.full_replace and replace
+        # Only small tables are replaced as a whole; the test stops at the first row.
+        if whole and batch.isEmpty():
+            return 0, {int(s): 0 for s in seasons}
+        rows = self._add_columns(rows, table, anew=whole)
+        if whole:
+            return self._write(rows, spec, "overwrite", seasons)[::2]
         if spec.replace_by and replace:
-            return self._replace_partitions(rows, spec)
-        return self._write(rows, spec, "append")
+            return self._replace_partitions(rows, spec, seasons)
+        return self._write(rows, spec, "append", seasons)[::2]
 
-    def _replace_partitions(self, rows: DataFrame, spec: TableSpec) -> int:
+    def _replace_partitions(self, rows: DataFrame, spec: TableSpec, seasons: Iterable[int]) -> tuple[int, dict[int, int]]:
         """Overwrite exactly the partitions in the batch.
 
         Rows lacking a partition value are added, never used to replace others: their
-        partition would otherwise be overwritten by each batch.
+        partition would otherwise be overwritten by each batch.  They are counted on the way,
+        and the batch is read a second time only if there are any.
         """
         whole = F.lit(True)
         for k in spec.replace_by:
             whole = whole & F.col(k).isNotNull()
-        written = self._write(rows.where(whole), spec, "overwrite", dynamic=True)
-        loose = rows.where(~whole)
-        # The test reads the key columns only and stops at the first hit.
-        return written if loose.isEmpty() else written + self._write(loose, spec, "append")
+        n, kept, by_season = self._write(rows, spec, "overwrite", seasons, keep=whole)
+        if n > kept:
+            self._write(rows.where(~whole), spec, "append", ())
+        return n, by_season
 
-    def _write(self, rows: DataFrame, spec: TableSpec, mode: str, *, dynamic: bool = False) -> int:
-        keys = spec.replace_by
+    def _write(
+        self, rows: DataFrame, spec: TableSpec, mode: str, seasons: Iterable[int], *, keep: Column | None = None
+    ) -> tuple[int, int, dict[int, int]]:
+        """Write rows; returns how many came, how many were kept, and how many came of each season.
+
+        With ``keep`` only rows it holds for are written, and only their partitions replaced.
+        """
+        seen, keys, seasons = Observation(), spec.replace_by, [int(s) for s in seasons]
         if keys:
             # Rebalance gathers a partition's rows into few files and lets adaptive execution
             # split one that is far larger than the rest.
             rows = rows.hint("rebalance", *keys)
+        counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.lit(True) if keep is None else keep).alias("kept")]
+        if "season" in rows.columns:
+            counts += [F.count_if(F.col("season") == s).alias(f"s{s}") for s in seasons]
         # Counted on the way through; above the hint, so that an empty batch counts as 0.
-        seen = Observation()
-        writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+        rows = rows.observe(seen, *counts)
+        writer = (rows if keep is None else rows.where(keep)).write.mode(mode)
         if keys:
             writer = writer.partitionBy(*keys)
-        if dynamic:
+        if keep is not None:
             writer = writer.option("partitionOverwriteMode", "dynamic")
         writer.parquet(self.path(spec.name))
-        return int(seen.get["n"])
+        got = seen.get
+        return int(got["n"]), int(got["kept"]), {s: int(got.get(f"s{s}", got["n"])) for s in seasons}
 
     def rebuild(self, df: DataFrame, table: str) -> None:
         """Drop and rebuild a derived table. ``df`` must not read the table itself."""
-        df.write.mode("overwrite").parquet(self.path(table))
+        self._add_columns(df, table, anew=True).write.mode("overwrite").parquet(self.path(table))
 
     # -- refresh log -------------------------------------------------------------------
 
@@ -112,15 +173,17 @@ class Warehouse:
         error_message: str | None = None, records_processed: int = 0,
     ) -> None:
         """Append one entry; its id follows the largest so far."""
-        if status not in REFRESH_STATUSES:
-            raise ValueError(f"status must be one of {REFRESH_STATUSES}, not {status!r}")
-        last = self._log().agg(F.coalesce(F.max("id"), F.lit(0)).alias("id")).first()["id"]
-        entry = [(last + 1, table, season, week, season_type, None, status, error_message, records_processed)]
-        (
-            self.spark.createDataFrame(entry, LOG_COLUMNS)
-            .withColumn("refresh_date", F.current_timestamp())
-            .coalesce(1).write.mode("append").parquet(self.path(LOG_TABLE))
-        )
+        self.log_refreshes([(table, season, week, season_type, status, error_message, records_processed)])
+
+    def log_refreshes(self, entries: Sequence[tuple]) -> None:
+        """Append entries (table, season, week, season type, status, message, rows) at once, in order."""
+        for entry in entries:
+            if entry[4] not in REFRESH_STATUSES:
+                raise ValueError(f"status must be one of {REFRESH_STATUSES}, not {entry[4]!r}")
+        rows = [(i, *e[:4], None, *e[4:]) for i, e in enumerate(entries)]
+        new = self.spark.createDataFrame(rows, LOG_COLUMNS).withColumn("refresh_date", F.current_timestamp())
+        numbered = next_ids(self._log(), new, ["id"]).withColumn("id", F.col("id").cast("int"))
+        numbered.select(*new.columns).coalesce(1).write.mode("append").parquet(self.path(LOG_TABLE))
 
     def last_refresh(self, table: str, season: int, week: int | None = None):
         """Time of the last successful refresh, or None."""
@@ -144,9 +207,28 @@ class Warehouse:
         """Run SQL over the registered views; ``?`` marks take ``params`` in order."""
         return self.spark.sql(sql, args=list(params)) if params else self.spark.sql(sql)
 
-    def query_file(self, path: str, params: Sequence | None = None) -> DataFrame:
-        with open(path, encoding="utf-8") as f:
-            return self.query(f.read().strip().rstrip(";"), params)
+    def query_file(self, path: str, params: Sequence | None = None) -> list[DataFrame]:
+        """Run the statements of an SQL file on any file system; one frame each, in order.
+
+        Statements end with semicolons outside quotes and comments; ``params`` go to each.
+        """
+        text = self.spark.read.text(path, wholetext=True).first()
+        return [self.query(sql, params) for sql in statements(text[0] if text else "")]
+
+
+def statements(text: str) -> list[str]:
+    """The statements of an SQL script, without those that hold comments only."""
+    token = r"'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*|/\*.*?\*/|;"
+    found, begin, bare = [], 0, ""
+    for hit in [*re.finditer(token, text, re.DOTALL), None]:
+        at = hit.start() if hit else len(text)
+        bare += text[begin:at] if not hit or hit[0][:2] in ("--", "/*") or hit[0] == ";" else text[begin : hit.end()]
+        begin = hit.end() if hit else at
+        if not hit or hit[0] == ";":
+            if bare.strip():
+                found.append(bare.strip())
+            bare = ""
+    return found
 
 
 #: Names user queries expect -> where the stored table keeps them.

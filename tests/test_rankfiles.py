@@ -30,6 +30,11 @@ def folder(tmp_path):
         titles="\nx\ty\n\n\n\n\n",
     )
     write(tmp_path, "FantasyPros_notes_tiers.xls", "Rank\tPlayer", ["1\tNo Year"])
+    write(
+        tmp_path, "FantasyPros_2021_long_title.xls", "Rank\tPlayer Name\tPosition", ["1\tLong Title\tK"],
+        titles="\n" + "a, b, c, " * 200 + "\n\n\n\n",
+    )
+    (tmp_path / "FantasyPros_2022_binary.xls").write_bytes(b"\0\1\n\n\n\n\nRank\tPlayer\n1\tBinary\n")
     write(tmp_path, "FantasyPros_2018_commas.xls", "Rank,Player", ["1,x\ty"], titles="a,b,c\nd,e,f\n\n\n")
     write(tmp_path, "FantasyPros_2020_tiers.xlsx", "Rank\tPlayer", ["1\tFrom Workbook"])
     (tmp_path / "FantasyPros_2019_empty.xls").write_text("")
@@ -43,7 +48,7 @@ def by_name(df):
 
 def test_all_layouts_in_one_frame(spark, folder):
     got = by_name(rf.read_rankings(spark, folder))
-    assert set(got) == {"Al One", "Bo Two", "Cy Three", "Di Four", "Rob Stone", "Zed", "Joe Able", "Ida Baker"}
+    assert set(got) == {"Al One", "Bo Two", "Cy Three", "Di Four", "Rob Stone", "Zed", "Joe Able", "Ida Baker", "Long Title"}
     al = got["Al One"]
     assert (al.year, al.before_preseason, al.position, al.rank, al.adp, al.vs_adp) == (2014, False, "RB", 1.0, 2.0, None)
     assert (al.best_rank, al.worst_rank, al.avg_rank, al.stddev_rank) == (1.0, 2.0, 1.5, 0.5)
@@ -76,6 +81,8 @@ def test_file_report(spark, folder):
         "FantasyPros_2018_commas.xls": (0, "failed"),
         "FantasyPros_2019_empty.xls": (0, "failed"),
         "FantasyPros_2020_tiers.xlsx": (0, "failed"),
+        "FantasyPros_2021_long_title.xls": (1, "processed"),
+        "FantasyPros_2022_binary.xls": (0, "failed"),
         "FantasyPros_notes_tiers.xls": (0, "failed"),
     }
     assert [r.file_name for r in rf.rejected_files(files).collect()] == ["FantasyPros_notes_tiers.xls"]

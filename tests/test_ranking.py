@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyfield.operators.ranking import rank_within
+from tallyfield.operators.ranking import bucketed, rank_within
 
 
 def frame(spark, n=800, seed=3):
@@ -35,10 +35,10 @@ def same(a, b):
 
 @pytest.mark.parametrize("method", ["rank", "dense_rank"])
 @pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("width", [100.0, 0.5])
-def test_one_measure_equals_window(spark, method, descending, width):
+@pytest.mark.parametrize("buckets", [2, 128])
+def test_one_measure_equals_window(spark, method, descending, buckets):
     df = frame(spark)
-    got = rank_within(df, ["g"], {"r": F.col("v")}, method=method, descending=descending, width=width)
+    got = rank_within(df, ["g"], {"r": F.col("v")}, method=method, descending=descending, buckets=buckets)
     same(got, expected(df, {"r": "v"}, method, descending))
 
 
@@ -67,3 +67,10 @@ def test_no_window_spans_a_whole_group(spark):
 def test_unknown_method(spark):
     with pytest.raises(ValueError):
         rank_within(frame(spark), ["g"], {"r": F.col("v")}, method="ntile")
+
+
+@pytest.mark.parametrize("spread", ["rand(3)", "pow(10, rand(3) * 12)"])
+def test_buckets_follow_the_values(spark, spread):
+    hist = spark.range(20000).selectExpr("'a' AS g", f"{spread} AS _v", "1L AS _n")
+    sizes = [r["count"] for r in bucketed(hist, ["g"]).groupBy("_place").count().collect()]
+    assert max(sizes) < 20000 / 50

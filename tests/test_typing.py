@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from tallyfield.functions import names
 from tallyfield.functions import typing as t
-from tallyfield.schemas import TABLES, declared_type, table_schema
+from tallyfield.schemas import PLAY_TYPES, TABLES, declared_type, table_schema
 
 
 def values(spark, texts, column):
@@ -59,17 +59,17 @@ def test_rename_audit_align(spark):
     assert out.first().play_description == "d"
 
 
-def test_play_rules():
+def test_play_columns():
     text, num = T.StringType(), T.DoubleType()
-    assert declared_type("pbp_data", "solo_tackle_1_player_id", num) == text
-    assert declared_type("pbp_data", "total_home_comp_yac_epa", text) == num
-    assert declared_type("pbp_data", "home_wp_post", text) == num
+    for name in ("air_yards", "yards_after_catch", "sack", "success", "spread_line", "home_wp_post", "pass_touchdown"):
+        assert declared_type("pbp_data", name, text) == num
     for flag in ("shotgun", "fumble", "drive_ended_with_score", "third_down_failed", "lateral_rush", "first_down"):
-        assert declared_type("pbp_data", flag, num) == T.BooleanType()
+        assert declared_type("pbp_data", flag, text) == T.BooleanType()
     for count in ("home_timeouts_remaining", "score_differential_post", "drive_quarter_end", "total", "posteam_score"):
-        assert declared_type("pbp_data", count, num) == T.IntegerType()
-    assert declared_type("pbp_data", "two_point_conv_result", num) == text
-    assert declared_type("pbp_data", "pass_touchdown", text) == num
+        assert declared_type("pbp_data", count, text) == T.IntegerType()
+    for name in ("two_point_conv_result", "solo_tackle_1_player_id", "stadium"):
+        assert declared_type("pbp_data", name, text) == text
+    assert len(PLAY_TYPES) + len(TABLES["pbp_data"].types) == 235
     assert declared_type("weekly_stats", "unheard_of", num) == num
 
 

@@ -51,7 +51,7 @@ def test_replace_season(spark, store):
     two = spark.createDataFrame([("Y", 2023, "r", "new")], "team string, season int, player_id string, nickname string")
     store.insert(one, "rosters")
     store.insert(two, "rosters")
-    df = store.read("rosters", merge_schema=True)
+    df = store.read("rosters")
     assert state(df, "player_id", "season", "team", "nickname") == [("p", 2022, "X", None), ("r", 2023, "Y", "new")]
 
 
@@ -112,9 +112,50 @@ def test_sql_over_views(spark, store, tmp_path):
     ).collect()
     assert [tuple(r) for r in rows] == [("KC", 2)]
     sql = tmp_path / "q.sql"
-    sql.write_text("SELECT p.player_name, p.position, count(CASE WHEN p.touchdown = true THEN 1 END) AS tds\n"
+    sql.write_text("-- two; statements\nSELECT ';' AS mark;\nSELECT p.player_name, p.position, count(CASE WHEN p.touchdown = true THEN 1 END) AS tds\n"
                    "FROM pbp_data p GROUP BY ALL;\n")
-    assert [tuple(r) for r in store.query_file(str(sql)).collect()] == [("Al", "QB", 1)]
+    first, second = store.query_file(str(sql))
+    assert [tuple(r) for r in first.collect()] == [(";",)] and [tuple(r) for r in second.collect()] == [("Al", "QB", 1)]
+
+
+def test_later_columns_and_types(spark, store):
+    ddl = "player_id string, season int"
+    store.insert(spark.createDataFrame([("p", 2022, 5)], f"{ddl}, extra int"), "rosters")
+    store.insert(spark.createDataFrame([("q", 2023, "7", "new")], f"{ddl}, extra string, nickname string"), "rosters")
+    df = store.read("rosters")
+    assert dict(df.dtypes)["extra"] == "int" and len(df.columns) == len(set(df.columns))
+    assert state(df, "player_id", "extra", "nickname") == [("p", 5, None), ("q", 7, "new")]
+
+
+def test_source_is_read_once(spark, store):
+    def rows(given):
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return seen, weekly(spark, given).mapInArrow(count, weekly(spark, given).schema)
+
+    seen, batch = rows([("a", 2022, 1, 1.0), ("b", 2023, 1, 2.0)])
+    assert store.insert_counted(batch, "weekly_stats", [2022, 2023, 2024]) == (2, {2022: 1, 2023: 1, 2024: 0})
+    assert seen.value == 2
+    seen, batch = rows([("c", 2022, 1, 1.0), ("d", None, 1, 2.0)])
+    assert store.insert(batch, "weekly_stats") == 2 and seen.value == 4
+    stored = store.read("weekly_stats")
+    assert state(stored, "player_id") == [("b",), ("c",), ("d",)]
+    seen, batch = rows([])
+    assert store.insert(batch, "weekly_stats") == 0 and store.read("weekly_stats").count() == 3
+
+
+def test_only_a_missing_folder_is_no_table(spark, store, tmp_path):
+    assert not store.exists("weekly_stats")
+    broken = tmp_path / "store" / "weekly_stats"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        wh.Warehouse(spark, str(tmp_path / "store")).exists("weekly_stats")
 
 
 @pytest.mark.parametrize("ending", [".csv", ".parquet", ".json"])
@@ -144,11 +185,3 @@ def test_next_ids(spark):
     new = spark.createDataFrame([("b",), ("a",)], "t string")
     assert state(next_ids(log, new, ["t"]), "id", "t") == [(5, "a"), (6, "b")]
     assert state(next_ids(log.limit(0), new, ["t"]), "id", "t") == [(1, "a"), (2, "b")]
-
-
-def test_broadcast_only_if_small(spark):
-    from tallyfield.operators.sizes import broadcast_if_small
-
-    df = spark.range(10)
-    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_small(df, 10)) and not hinted(broadcast_if_small(df, 9))
