@@ -13,7 +13,6 @@ without an id are encoded too; an empty table gives an empty result; other colum
 
 from __future__ import annotations
 
-import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,6 +33,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters of a leaf, and of a run without white space that is encoded in one go.
 LEAF_CHARS, RUN_CHARS = 1 << 15, 1 << 12
 
+#: Rows that a worker encodes or decodes at once.
+BATCH_ROWS = 512
+
 #: First window, in characters to each side of a cut, and tokens over which both sides must agree.
 WINDOW_CHARS, AGREE_TOKENS = 64, 8
 
@@ -59,7 +61,6 @@ class TreeBpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.names = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
-        self.numbers = [str(i) for i in range(len(self.names))]
         self.parts = PartIds(self._learn)
 
     def plain(self, text: str) -> np.ndarray:
@@ -115,6 +116,13 @@ def tree_bpe(vocabulary: str | None = None) -> TreeBpe:
     return TreeBpe(vocabulary_path(vocabulary, VOCABULARY))
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of BATCH_ROWS rows: what a worker holds follows from them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _lists(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(row) for row in rows])]).astype(np.int32)
     values = np.concatenate(rows) if rows else np.zeros(0)
@@ -132,13 +140,13 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tree_bpe(vocabulary)
-        for batch in batches:
+        for batch in _small(batches):
             ids = _lists(list(encoder.encode_many(batch.column(1))))
             yield pa.record_batch([batch.column(0).cast(arrow), ids], names=["doc_id", "ids"])
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tree_bpe(vocabulary)
-        for batch in batches:
+        for batch in _small(batches):
             ids = _lists(list(encoder.encode_many(batch.column(batch.schema.get_field_index("text")))))
             yield pa.record_batch([*batch.columns, ids], names=[*batch.schema.names, "ids"])
 
@@ -169,7 +177,7 @@ def encode(
 
 
 def _rows(ids: pa.Array) -> Iterator[list[int]]:
-    bounds, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+    bounds, values = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
     for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         yield values[begin:end].tolist()
 
@@ -179,7 +187,7 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tree_bpe(vocabulary)
-        for batch in batches:
+        for batch in _small(batches):
             texts = [encoder.decode(ids) for ids in _rows(batch.column(batch.schema.get_field_index("ids")))]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
 
@@ -188,21 +196,9 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encode(table(spark, sf_dir, "documents"))
-
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = tree_bpe().numbers
-        for batch in batches:
-            rows = list(_rows(batch.column(1)))
-            named = [hashlib.sha256(" ".join([numbers[i] for i in ids]).encode()).hexdigest() for ids in rows]
-            yield pa.record_batch(
-                [batch.column(0), pa.array([len(ids) for ids in rows], pa.int64()), pa.array(named), batch.column(2)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded"],
-            )
-
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return (
-        decode(encoded)
-        .mapInArrow(digests, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded string")
-        .select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
-    )
+    decoded = decode(encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Parts kept by one Python worker; beyond it the dictionary starts anew.
-CACHE_PARTS = 500_000
+CACHE_PARTS = 300_000
 
 #: Bytes of text laid out at once; a longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
