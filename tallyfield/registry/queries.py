@@ -279,7 +279,8 @@ def append_log(spark, sf):
     games = s.schedules(spark, sf).where((F.col("season") != SEASON) | (F.col("week") <= 2))
     games.write.parquet(f"{folder}/landing/schedules")
     store = Warehouse(spark, f"{folder}/store")
-    s.refresh_log(spark, sf).write.parquet(store.path("data_refresh_log"))
+    log = s.refresh_log(spark, sf).withColumns({"id": F.col("id").cast("int"), "refresh_date": F.col("refresh_date").cast("timestamp")})
+    t.align(log, "data_refresh_log").write.parquet(store.path("data_refresh_log"))
     load_table(store, Landing(spark, f"{folder}/landing"), "schedules", [SEASON, SEASON + 1])
     return store.read("data_refresh_log").select("id", "table_name", "season", "status", "records_processed")
 
