@@ -5,17 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.operators.quality import (
     expect_at_rank,
-    high_null_columns,
-    null_profile,
+    numeric_columns,
     repeated_rows,
-    same_count,
-    season_coverage,
-    table_size,
     top_of_ranking,
     unique_on,
 )
@@ -44,26 +40,56 @@ def validation_report(
     """(table_name, metric, item, value): sizes, seasons, high-NULL columns, repeats."""
     parts = []
     for name, df in tables.items():
-        size = table_size(df, name)
-        parts.append(_long(size, "rows", None, "row_count"))
-        if name in coverage_tables:
-            parts.append(_long(season_coverage({name: df}), "season_rows", "season", "row_count"))
-        if name == LOG_TABLE:
-            continue
-        parts.append(_long(size, "columns", None, "column_count"))
-        nulls = high_null_columns(null_profile(df), null_threshold).withColumn("table_name", F.lit(name))
-        parts.append(_long(nulls, "null_percentage", "column_name", "null_percentage"))
-        if name in duplicate_tables:
+        logged = name == LOG_TABLE
+        parts.append(_profile(df, name, name in coverage_tables, None if logged else null_threshold))
+        if not logged and name in duplicate_tables:
             repeats = repeated_rows(df).withColumn("table_name", F.lit(name))
             parts.append(_long(repeats, "duplicates", None, "duplicates"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _profile(df: DataFrame, name: str, by_season: bool, null_threshold: float | None) -> DataFrame:
+    """Rows, rows of each season and high-NULL columns of one table, in one pass over it.
+
+    A row for each season comes out of the scan; the report is summed up from those few.
+    """
+    numbers = [] if null_threshold is None else numeric_columns(df)
+    counts = df.groupBy(*(["season"] if by_season else [])).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(numbers)]
+    )
+
+    def cell(metric: str, item: Column | None, hits: str) -> Column:
+        text = F.lit(None).cast("string") if item is None else item
+        return F.struct(F.lit(metric).alias("metric"), text.alias("item"), F.col(hits).alias("hits"), F.col("n").alias("n"))
+
+    cells = [cell("rows", None, "n"), *[cell("null_percentage", F.lit(c), f"_{i}") for i, c in enumerate(numbers)]]
+    if by_season:
+        cells.append(cell("season_rows", F.col("season").cast("int").cast("string"), "n"))
+    # An empty table gives no season row, but still counts 0 rows.
+    fixed = [("rows", None, 0, 0)] + ([] if null_threshold is None else [("columns", None, len(df.columns), 0)])
+    known = df.sparkSession.createDataFrame(fixed, "metric string, item string, hits bigint, n bigint")
+    summed = (
+        counts.select(F.explode(F.array(*cells)).alias("c")).select("c.*").unionByName(known)
+        .groupBy("metric", "item").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
+    )
+    share = F.col("hits").cast("double") * 100.0 / F.nullif(F.col("n"), F.lit(0))
+    is_share = F.col("metric") == "null_percentage"
+    value = F.when(is_share, F.coalesce(share, F.lit(0.0))).otherwise(F.col("hits").cast("double"))
+    return summed.select(F.lit(name).alias("table_name"), "metric", "item", value.alias("value")).where(
+        ~is_share | (F.col("value") > (null_threshold or 0.0))
+    )
+
+
 def summary_checks(seasonal: DataFrame, summary: DataFrame) -> DataFrame:
-    """The two standing checks of the season summary: row count and key uniqueness."""
-    counts = same_count(seasonal, summary).select(F.lit("record_counts").alias("check"), "passed")
-    keys = unique_on(summary, ["player_id", "season"]).select(F.lit("no_duplicates").alias("check"), "passed")
-    return counts.unionByName(keys)
+    """The two standing checks of the season summary, each table read once: row count and key uniqueness."""
+    keys = unique_on(summary, ["player_id", "season"])
+    given = seasonal.agg(F.count(F.lit(1)).alias("given"))
+    both = keys.select("total_rows", "passed").withColumn("given", given.scalar())
+    cells = F.array(
+        F.struct(F.lit("record_counts").alias("check"), (F.col("given") == F.col("total_rows")).alias("passed")),
+        F.struct(F.lit("no_duplicates").alias("check"), F.col("passed").alias("passed")),
+    )
+    return both.select(F.explode(cells).alias("c")).select("c.*")
 
 
 def golden_ranks(spark: SparkSession, summary: DataFrame, path: str) -> Iterator[tuple[DataFrame, list[DataFrame]]]:
