@@ -669,3 +669,23 @@ ORACLES["sql_params"] = with_tables(["weekly"], f"""
     WHERE season = {SEASON} AND week <= 10 GROUP BY team, position HAVING count(*) >= 2""")
 # The same lines written to files, one with a title line full of commas, and read back.
 ORACLES["rankfile_read"] = ORACLES["rank_clean"]
+ORACLES["rankfile_report"] = f"""
+    SELECT file_name, count(*) AS row_count, 'processed' AS status FROM ({ORACLES['rank_clean']}) GROUP BY file_name"""
+
+# -- load jobs -----------------------------------------------------------------------------------------------
+
+_LANDED = {
+    "teams": "teams", "players": "players", "schedules": "schedules", "pbp_data": "plays", "weekly_stats": "weekly",
+    "seasonal_stats": "seasonal", "rosters": "rosters", "injuries": "injuries",
+}
+_WHOLE = ("teams", "players")
+ORACLES["load_parquet"] = with_tables(list(_LANDED.values()), " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, count(*) AS row_count, CAST(count(*) AS BIGINT) AS logged_rows, "
+    f"CAST({1 if table in _WHOLE else 2} AS BIGINT) AS entries FROM {cte}"
+    + ("" if table in _WHOLE else f" WHERE season IN ({SEASON}, {SEASON + 1})")
+    for table, cte in _LANDED.items()
+))
+ORACLES["load_csv"] = ORACLES["load_json"] = ORACLES["load_parquet"]
+ORACLES["reload_season"] = with_tables(["weekly"], f"""
+    SELECT season, week, count(*) AS row_count, CAST(sum(attempts) AS BIGINT) AS attempts FROM weekly
+    WHERE season IN ({SEASON}, {SEASON + 1}) GROUP BY season, week""")

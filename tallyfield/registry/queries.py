@@ -15,7 +15,7 @@ from tallyfield.operators.ranking import rank_within
 from tallyfield.plans import queries as q
 from tallyfield.plans import ranks, reports
 from tallyfield.plans import season_summary as ss
-from tallyfield.plans.refresh import load_table
+from tallyfield.plans.refresh import extract_all, load_table, refresh_season, refresh_week
 from tallyfield.registry import standins as s
 from tallyfield.session import scratch_dir
 from tallyfield.sources import rankfiles
@@ -319,6 +319,56 @@ def typed_plays(spark, sf):
     return out.withColumn("game_date", F.date_format("game_date", "yyyy-MM-dd"))
 
 
+#: Table -> the stand-in that lands in it.
+LANDED = {
+    "teams": s.teams, "players": s.players, "schedules": s.schedules, "pbp_data": s.plays, "weekly_stats": s.weekly,
+    "seasonal_stats": s.seasonal, "rosters": s.rosters, "injuries": s.injuries,
+}
+
+
+def _loaded(spark, sf, kind: str) -> Warehouse:
+    """All tables written to a landing folder and loaded by the job, two seasons of the seasonal ones."""
+    folder = scratch_dir(spark)
+    for table, frame in LANDED.items():
+        frame(spark, sf).write.option("header", True).format(kind).save(f"{folder}/landing/{table}")
+    store = Warehouse(spark, f"{folder}/store")
+    extract_all(store, Landing(spark, f"{folder}/landing", kind), [SEASON, SEASON + 1])
+    return store
+
+
+def _rows_of(store: Warehouse) -> DataFrame:
+    """Rows of each stored table, and what its log entries say."""
+    log = store.read("data_refresh_log").where("status = 'SUCCESS'").groupBy("table_name").agg(
+        F.sum("records_processed").cast("bigint").alias("logged_rows"), F.count(F.lit(1)).alias("entries")
+    )
+    return quality.table_sizes(store.frames(list(LANDED))).select("table_name", "row_count").join(log, "table_name")
+
+
+def load_parquet(spark, sf):
+    return _rows_of(_loaded(spark, sf, "parquet"))
+
+
+def load_csv(spark, sf):
+    return _rows_of(_loaded(spark, sf, "csv"))
+
+
+def load_json(spark, sf):
+    return _rows_of(_loaded(spark, sf, "json"))
+
+
+def reload_season(spark, sf):
+    """A season loaded again replaces itself."""
+    folder = scratch_dir(spark)
+    s.weekly(spark, sf).write.parquet(f"{folder}/landing/weekly_stats")
+    store, landing = Warehouse(spark, f"{folder}/store"), Landing(spark, f"{folder}/landing")
+    for season in (SEASON, SEASON + 1, SEASON):
+        refresh_season(store, landing, season, ["weekly_stats"])
+    refresh_week(store, landing, SEASON, 3)
+    return store.read("weekly_stats").groupBy("season", "week").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("attempts").alias("attempts")
+    )
+
+
 def last_refresh_time(spark, sf):
     log = s.refresh_log(spark, sf)
     whole = last_refresh(log, "weekly_stats", SEASON).select(F.lit("season").alias("scope"), "last_refresh")
@@ -395,8 +445,8 @@ def rank_clean(spark, sf):
     return rankfiles.normalise_rows(rankfiles.parse_rows(rank_lines(spark, sf)))
 
 
-def rankfile_read(spark, sf):
-    """The same lines as text files, one with a long title full of commas, read back from their folder."""
+def _rank_folder(spark, sf) -> str:
+    """The same lines as text files, one with a long title full of commas; their folder."""
     folder = scratch_dir(spark)
     lines = rank_lines(spark, sf)
     long_title = F.when((F.col("at") == 3) & F.col("file_name").contains("1995"), F.repeat(F.lit("title, "), 300))
@@ -409,7 +459,19 @@ def rankfile_read(spark, sf):
         store.mkdirs(files.Path(f"{folder}/ranks"))
         part = next(f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith("part-"))
         store.rename(part, files.Path(f"{folder}/ranks/{name}"))
-    return rankfiles.read_rankings(spark, f"{folder}/ranks", "ranks_*")
+    return f"{folder}/ranks"
+
+
+def rankfile_read(spark, sf):
+    return rankfiles.read_rankings(spark, _rank_folder(spark, sf), "ranks_*")
+
+
+def rankfile_report(spark, sf):
+    """Rows read of each file found."""
+    folder = _rank_folder(spark, sf)
+    return rankfiles.file_report(
+        rankfiles.list_files(spark, folder, "ranks_*"), rankfiles.read_rankings(spark, folder, "ranks_*")
+    )
 
 
 def rank_position(spark, sf):
@@ -673,6 +735,11 @@ QUERIES: dict[str, Query] = {
     "rankfile_read": rankfile_read,
     "store_new_column": store_new_column,
     "query_file": query_file,
+    "load_parquet": load_parquet,
+    "load_csv": load_csv,
+    "load_json": load_json,
+    "reload_season": reload_season,
+    "rankfile_report": rankfile_report,
     "typed_plays": typed_plays,
     "season_summary": season_summary,
     "summary_sample": summary_sample,
