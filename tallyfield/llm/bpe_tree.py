@@ -33,6 +33,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: Characters of a leaf, and of a run without white space that is encoded in one go.
 LEAF_CHARS, RUN_CHARS = 1 << 15, 1 << 12
 
+#: Parts that a worker remembers: it shares an executor with those that decode.
+CACHE_PARTS = 300_000
+
 #: Rows that a worker encodes or decodes at once.
 BATCH_ROWS = 512
 
@@ -61,7 +64,7 @@ class TreeBpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.names = [self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size())]
-        self.parts = PartIds(self._learn)
+        self.parts = PartIds(self._learn, most=CACHE_PARTS)
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")

@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Parts kept by one Python worker; beyond it the dictionary starts anew.
-CACHE_PARTS = 300_000
+#: Parts kept by one Python worker unless it is told otherwise; beyond it the dictionary starts anew.
+CACHE_PARTS = 500_000
 
 #: Bytes of text laid out at once; a longer text is a slice of its own.
 SLICE_BYTES = 4 << 20
@@ -22,8 +22,11 @@ SLICE_BYTES = 4 << 20
 class PartIds:
     """learn(parts) gives the 16-bit ids of each part; first(part) those of a text's first part."""
 
-    def __init__(self, learn: Callable[[list[str]], list[bytes]], first: Callable[[str], bytes] | None = None):
-        self.learn, self.first = learn, first
+    def __init__(
+        self, learn: Callable[[list[str]], list[bytes]], first: Callable[[str], bytes] | None = None,
+        most: int | None = None,
+    ):
+        self.learn, self.first, self.most = learn, first, most
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
@@ -42,7 +45,7 @@ class PartIds:
         coded = split.flatten().dictionary_encode()
         codes = coded.indices.to_numpy()
         parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > CACHE_PARTS:
+        if len(self.known) > (self.most or CACHE_PARTS):
             self.known.clear()
         known = self.known
         unseen = [part for part in parts if part not in known]

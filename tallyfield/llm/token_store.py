@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from tallyfield.llm import wavelet
 from tallyfield.llm.byte_bpe import byte_bpe
-from tallyfield.llm.common import table
+from tallyfield.llm.common import stored, table
 from tallyfield.session import scratch_dir
 
 #: Tokens of a shard; a longer document is a shard of its own.
@@ -82,21 +82,16 @@ def write(
 
 
 def _unpacked(id_type: pa.DataType):
-    schema = pa.schema([
-        ("part", pa.int64()), ("shard", pa.int64()), ("doc_id", id_type), ("within", pa.int64()),
-        ("n_tokens", pa.int64()), ("tokens", pa.binary()),
-    ])
+    schema = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64()), ("tokens", pa.binary())])
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in range(batch.num_rows):
-                part, shard, doc_ids, lengths, blob = (batch.column(i)[place].as_py() for i in range(5))
+                doc_ids, lengths, blob, start = (batch.column(i)[place].as_py() for i in range(4))
                 raw = wavelet.Wavelet(blob).decode()
-                ends = list(accumulate(lengths))
-                begins = [0, *ends[:-1]]
-                docs = [raw[a:b].tobytes() for a, b in zip(begins, ends, strict=True)]
-                n = len(docs)
-                values = ([part] * n, [shard] * n, doc_ids, begins, lengths, docs)
+                begins = list(accumulate(lengths, initial=0))
+                docs = [raw[a : a + n].tobytes() for a, n in zip(begins, lengths, strict=False)]
+                values = (doc_ids, [start + a for a in begins[:-1]], lengths, docs)
                 yield pa.record_batch([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
     return unpacked
@@ -105,25 +100,26 @@ def _unpacked(id_type: pa.DataType):
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The documents of a store: id, place of its first token, and its tokens as 16-bit ids.
 
-    The places come from sums by range, of which the driver sees one number each.
+    The places come from sums by range, of which the driver sees one number each. Places of shards
+    are a written table, so that Spark knows its size when it chooses how to join it to the files.
     """
     files = spark.read.parquet(path)
     kind = files.schema["doc_ids"].dataType.elementType
-    docs = files.select("part", "shard", "doc_ids", "lengths", "tokens").mapInArrow(
-        _unpacked(to_arrow_type(kind)),
-        f"part long, shard long, doc_id {kind.simpleString()}, within long, n_tokens long, tokens binary",
-    )
     sizes = sorted((r["part"], r["n"]) for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     begins = accumulate((n for _, n in sizes), initial=0)
     ranges = spark.createDataFrame(
         [(part, begin) for (part, _), begin in zip(sizes, begins, strict=False)], "part long, range_start long"
     )
     before = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    places = files.select(
-        "part", "shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("shard_start")
-    ).join(F.broadcast(ranges), "part")
-    return docs.join(places, ["part", "shard"]).select(
-        "doc_id", (F.col("range_start") + F.col("shard_start") + F.col("within")).alias("start"), "n_tokens", "tokens"
+    places = stored(
+        files.select("part", "shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("shard_start"))
+        .join(ranges, "part")
+        .select("part", "shard", (F.col("range_start") + F.col("shard_start")).alias("start"))
+    )
+    return (
+        files.join(places, ["part", "shard"])
+        .select("doc_ids", "lengths", "tokens", "start")
+        .mapInArrow(_unpacked(to_arrow_type(kind)), f"doc_id {kind.simpleString()}, start long, n_tokens long, tokens binary")
     )
 
 
