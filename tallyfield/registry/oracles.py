@@ -9,7 +9,7 @@ from __future__ import annotations
 from tallyfield.functions import scoring
 from tallyfield.plans import season_summary as ss
 from tallyfield.registry import queries as rq
-from tallyfield.registry.standins import SQL, STATS, WEEKLY, _tag, with_tables
+from tallyfield.registry.standins import GIVEN, SQL, STATS, WEEKLY, _tag, with_tables
 
 SEASON = rq.SEASON
 PREVIOUS = SEASON - 1
@@ -597,7 +597,7 @@ ORACLES["dq_season_lists"] = with_tables(
     f"SELECT table_name, string_agg(CAST(season AS VARCHAR), ',' ORDER BY season) AS seasons "
     f"FROM ({_season_counts(_SEASONED)}) GROUP BY table_name",
 )
-_LISTED = ("customer", "orders", "lineitem", "events")
+_LISTED = GIVEN
 ORACLES["dq_schema"] = f"""
     SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name,
            CASE WHEN data_type IN ('BIGINT', 'DOUBLE') THEN lower(data_type) WHEN data_type = 'INTEGER' THEN 'int'

@@ -620,7 +620,7 @@ def dq_season_lists(spark, sf):
 
 def dq_schema(spark, sf):
     """Columns of every table beside the table's size."""
-    tables = {n: s.read(spark, sf, n) for n in ("customer", "orders", "lineitem", "events")}
+    tables = {n: s.read(spark, sf, n) for n in s.GIVEN}
     sizes = quality.table_sizes(tables).select("table_name", "row_count")
     # The files hold zone-less timestamps; whether Spark says so depends on a session setting.
     columns = quality.describe(spark, tables).withColumn("column_type", F.replace("column_type", F.lit("_ntz")))

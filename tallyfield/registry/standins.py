@@ -24,6 +24,9 @@ Columns = Mapping[str, str]
 
 FIRST_SEASON, LAST_SEASON = 1995, 2001
 
+#: The given tables that the stand-ins are made of.
+GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
 
 def _position(key: str) -> str:
     return (
