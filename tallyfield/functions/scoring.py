@@ -121,7 +121,7 @@ def top_performers(
     system: str = DEFAULT_SYSTEM,
     position: str | None = None,
     top_n: int = 10,
-    tie_break: tuple[str, ...] = ("player_id",),
+    tie_break: tuple[str, ...] = ("player_id", "season", "week"),
 ) -> DataFrame:
     """The ``top_n`` rows by one system's points, for one position if given."""
     if position:
