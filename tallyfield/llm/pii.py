@@ -162,7 +162,7 @@ def _word_counts(docs: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
 def _discover(docs: DataFrame, scanned: DataFrame, text_col: str) -> DataFrame:
     """Spans beyond the base: (doc_id, text_hash, kind, start, end)."""
     graph = stored(_graph(scanned))
-    edges = graph.select("kind", "value", "side", "word").distinct()
+    edges = graph.groupBy("kind", "value", "side", "word").agg(F.count(F.lit(1)).alias("times"))
     seeds = graph.where("kind <> ''").groupBy("value").agg(F.min("kind").alias("known"))
     support = (
         edges.where("kind <> ''").groupBy("side", "word").agg(F.countDistinct("value").alias("seeds"))
@@ -175,7 +175,7 @@ def _discover(docs: DataFrame, scanned: DataFrame, text_col: str) -> DataFrame:
         scored = (
             links.join(known, "value")
             .groupBy("side", "word", "n", F.col("known").alias("kind"))
-            .agg(F.countDistinct("value").alias("support"), F.sum("score").alias("mass"))
+            .agg(F.countDistinct("value").alias("support"), F.sum(F.col("times") * F.col("score")).alias("mass"))
             .withColumn("precision", F.least(F.col("mass") / F.col("n"), F.lit(0.99)))
             .where((F.col("support") >= LEAST_SUPPORT) & (F.col("precision") >= LEAST_PATTERN))
         )

@@ -54,6 +54,14 @@ def test_bootstrap_finds_unseen_and_leaves_clean(docs):
     assert (0, rows[0][1].replace("4111111111111111", "<CARD>")) in texts
 
 
+def test_bootstrap_weighs_occurrences(docs):
+    rows = [(i, "contact: help@x.org") for i in range(1000)]
+    rows += [(2000 + i, f"contact: name{i}@x.org") for i in range(10)]
+    rows += [(3000, "contact: sales7(at)x.org"), (3001, "call: sales8(at)x.org")]
+    found = {r["doc_id"]: text_of(r["added"]) for r in pii.find(docs(rows)).collect() if r["added"]}
+    assert found == {3000: "email:9:24"}
+
+
 def test_masked_keeps_rows_whole(docs):
     rows = EDGES + list(enumerate(random_texts(3, 200), 100))
     got = sorted((str(r["doc_id"]), str(r["text"])) for r in pii.masked(docs(rows)).collect())
