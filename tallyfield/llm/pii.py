@@ -5,7 +5,8 @@ They seed the bootstrap: the words beside them are lexical patterns, and every i
 token of the corpus (one with a digit or @) is linked with the words beside it. Each round scores
 a pattern by the share of all its occurrences in the corpus that stand beside known identifiers
 of one kind, and an unknown token by the patterns that it is linked with; what scores high becomes
-known and counts in the next round. The score's base is every occurrence of the word, so an
+known and counts in the next round, also as support of patterns that no base span stands beside;
+rounds go on until one finds nothing. The score's base is every occurrence of the word, so an
 ordinary word that happens to precede an address finds nothing, and clean text stays as it is.
 
 Defined results: null and empty texts have no span. Rows are told apart by id and text, so rows
@@ -40,8 +41,8 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 #: Identifier-like tokens, and how many characters beside one are searched for a whole word.
 TOKEN, CONTEXT_CHARS = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+", 64
 
-#: Rounds of the bootstrap; known identifiers a pattern needs, and scores that accept a pattern and a token.
-ROUNDS, LEAST_SUPPORT, LEAST_PATTERN, LEAST_TOKEN = 3, 5, 0.5, 0.8
+#: Known identifiers a pattern needs, and scores that accept a pattern and a token.
+LEAST_SUPPORT, LEAST_PATTERN, LEAST_TOKEN = 5, 0.5, 0.8
 
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
@@ -162,37 +163,35 @@ def _word_counts(docs: DataFrame, text_col: str, words: DataFrame) -> DataFrame:
 def _discover(docs: DataFrame, scanned: DataFrame, text_col: str) -> DataFrame:
     """Spans beyond the base: (doc_id, text_hash, kind, start, end)."""
     graph = stored(_graph(scanned))
-    edges = graph.groupBy("kind", "value", "side", "word").agg(F.count(F.lit(1)).alias("times"))
+    edges = stored(graph.groupBy("value", "side", "word").agg(F.count(F.lit(1)).alias("times")))
+    # Whatever becomes known, a pattern has no more values and no more occurrences than these.
+    most = edges.groupBy("side", "word").agg(F.count(F.lit(1)).alias("values"), F.sum("times").alias("most"))
+    most = stored(most.where(F.col("values") >= LEAST_SUPPORT))
+    counted = _word_counts(docs, text_col, most.select("word").distinct())
+    able = most.join(counted, "word").where(F.col("most") / F.col("n") >= LEAST_PATTERN).select("side", "word", "n")
+    links = stored(edges.join(stored(able), ["side", "word"]))
     seeds = graph.where("kind <> ''").groupBy("value").agg(F.min("kind").alias("known"))
-    support = (
-        edges.where("kind <> ''").groupBy("side", "word").agg(F.countDistinct("value").alias("seeds"))
-    ).where(F.col("seeds") >= LEAST_SUPPORT)
-    counted = stored(_word_counts(docs, text_col, support.select("word").distinct()))
-    links = stored(edges.join(counted, "word"))
-    known = stored(seeds.withColumn("score", F.lit(1.0)))
-    patterns = None
-    for _ in range(ROUNDS):
+    known = stored(seeds.join(links.select("value"), "value", "left_semi").withColumn("score", F.lit(1.0)))
+    while True:
         scored = (
             links.join(known, "value")
             .groupBy("side", "word", "n", F.col("known").alias("kind"))
-            .agg(F.countDistinct("value").alias("support"), F.sum(F.col("times") * F.col("score")).alias("mass"))
+            .agg(F.count(F.lit(1)).alias("support"), F.sum(F.col("times") * F.col("score")).alias("mass"))
             .withColumn("precision", F.least(F.col("mass") / F.col("n"), F.lit(0.99)))
             .where((F.col("support") >= LEAST_SUPPORT) & (F.col("precision") >= LEAST_PATTERN))
         )
         patterns = stored(scored.select("side", "word", F.col("kind").alias("known"), "precision"))
         if patterns.isEmpty():
             break
-        found = (
-            links.where("kind = ''")
+        found = stored(
+            links.join(known.select("value"), "value", "left_anti")
             .join(patterns, ["side", "word"])
             .groupBy("value", "known")
             .agg((1 - F.exp(F.sum(F.log(1 - F.col("precision"))))).alias("score"))
             .where(F.col("score") >= LEAST_TOKEN)
             .groupBy("value")
             .agg(F.max_by("known", F.struct("score", "known")).alias("known"), F.max("score").alias("score"))
-            .join(known.select("value"), "value", "left_anti")
         )
-        found = stored(found)
         if found.isEmpty():
             break
         known = stored(known.union(found.select(known.columns)))

@@ -62,6 +62,17 @@ def test_bootstrap_weighs_occurrences(docs):
     assert found == {3000: "email:9:24"}
 
 
+def test_bootstrap_goes_on_from_discovered(docs):
+    tokens = [[f"u{i}@x.org" for i in range(6)]] + [[f"tok{step}x{i}" for i in range(6)] for step in range(1, 6)]
+    rows = []
+    for step in range(5):
+        known = " ".join(f"cue{'abcde'[step]} {token} the the the the" for token in tokens[step])
+        rows += [(100 * step + i, known) for i in range(90)]
+        rows += [(1000 + 10 * step + i, f"cue{'abcde'[step]} {token} the") for i, token in enumerate(tokens[step + 1])]
+    found = {r["doc_id"]: text_of(r["added"]) for r in pii.find(docs(rows)).collect() if r["doc_id"] >= 1000}
+    assert found == {1000 + 10 * step + i: "email:5:11" for step in range(5) for i in range(6)}
+
+
 def test_masked_keeps_rows_whole(docs):
     rows = EDGES + list(enumerate(random_texts(3, 200), 100))
     got = sorted((str(r["doc_id"]), str(r["text"])) for r in pii.masked(docs(rows)).collect())
