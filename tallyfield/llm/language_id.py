@@ -2,7 +2,9 @@
 
 Each language has a zstandard dictionary of raw text. A text is compressed with every dictionary
 and belongs to the language that makes it smallest; if the runner-up comes close, the operator
-rejects it. Letters alone count: texts and dictionaries are lower-cased, and whatever is no letter
+rejects it. A text longer than BLOCK_BYTES is compressed block by block, all of it, and the sizes are
+summed: a dictionary helps by some bytes each time it is used, so that the lead of a text
+compressed as a whole would shrink with its length. Letters alone count: texts and dictionaries are lower-cased, and whatever is no letter
 becomes one space, so that shouting, tables and junk marks look like any other text.
 
 The dictionaries come from a bounded sample: about SAMPLE_DOCS labelled documents of each
@@ -36,8 +38,12 @@ PIECE_CHARS, DICTIONARY_BYTES = 1024, 1 << 16
 
 LEVEL = 9
 
-#: Lead over the runner-up, as a share of its size, under which a text is rejected.
-LEAST_LEAD = 0.0005
+#: Bytes of a text that are compressed on their own.
+BLOCK_BYTES = 2048
+
+#: Lead over the runner-up, as a share of its size, under which a text is rejected. Of 2,499 held-out
+#: documents of sf0.1, wrong predictions lead by at most 0.017, right ones but a tie by 0.027 or more.
+LEAST_LEAD = 0.025
 
 UNKNOWN = "und"
 
@@ -86,7 +92,8 @@ def classify(text: str | None, packers) -> tuple[str, float, bool]:
     raw = letters(text)
     if not raw or not packers:
         return UNKNOWN, 0.0, True
-    sizes = sorted((len(packer.compress(CARRIER + raw + b" ")), lang) for lang, packer in packers)
+    pieces = [CARRIER + raw[at : at + BLOCK_BYTES] + b" " for at in range(0, len(raw), BLOCK_BYTES)]
+    sizes = sorted((sum(len(packer.compress(piece)) for piece in pieces), lang) for lang, packer in packers)
     if len(sizes) == 1:
         return sizes[0][1], 1.0, False
     lead = (sizes[1][0] - sizes[0][0]) / sizes[1][0]

@@ -208,6 +208,21 @@ def test_language_query(spark, sf_dir):
     assert sum(r["rejected"] for r in got) / len(got) < 0.01 and all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_language_margin(documents):
+    found = language_id.learn(documents.where(~language_id.held_out()))
+    packers = language_id._packers(tuple(sorted(found.items())))
+    draw = random.Random(9)
+    junk = [" ".join("".join(draw.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(n)) for n in [5, 20, 60, 300] * 10]
+    assert sum(language_id.classify(text, packers)[2] for text in junk) >= 34
+    held = documents.where(language_id.held_out()).collect()
+    for lang in found:
+        clean = " ".join(r["text"] for r in held if r["lang"] == lang and language_id.classify(r["text"], packers)[0] == lang)
+        for size in (20_000, 16_000_000 if lang == "en" else 500_000):
+            text = (clean * (size // len(clean) + 1))[:size]
+            got, lead, rejected = language_id.classify(text, packers)
+            assert got == lang and lead > 0.05 and not rejected
+
+
 def test_language_edges(docs):
     rows = [*EDGES, (8, "12 !! 34"), (9, "日本語")]
     none = language_id.learn(docs(rows))
