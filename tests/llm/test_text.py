@@ -198,6 +198,29 @@ def test_main_text(spark):
     assert html_main.extract(frame.limit(0)).count() == 0
 
 
+def test_main_text_of_a_large_host(spark):
+    draw = random.Random(11)
+    words = [[f"own{i}word{k}" for k in range(12)] for i in range(60)]
+    for pair in range(30):  # each passage stands on two pages
+        passage = [f"both{pair}word{k}" for k in range(draw.choice([5, 6, 9]))]
+        for page in draw.sample(range(60), 2):
+            words[page] = words[page][:6] + passage + words[page][6:]
+    pages_of = {}
+    for i, row in enumerate(words):
+        for at in range(len(row) - 5):
+            pages_of.setdefault(tuple(row[at : at + 6]), set()).add(i)
+    want = []
+    for i, row in enumerate(words):
+        gone = {at + k for at in range(len(row) - 5) if len(pages_of[tuple(row[at : at + 6])]) > 1 for k in range(6)}
+        want.append((i, " ".join(word for at, word in enumerate(row) if at not in gone)))
+    rows = [(i, f"http://h.example/{i}", f"<div>{' '.join(row)}</div>") for i, row in enumerate(words)]
+    rows += [(100, "http://other.example/", rows[0][2]), (0, rows[0][1], rows[0][2])]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1000, 7):
+        got = sorted((r["page_id"], r["text"]) for r in html_main.extract(frame, size).collect())
+        assert got == sorted([*want, want[0], (100, " ".join(words[0]))])
+
+
 def test_language_query(spark, sf_dir):
     folder = "/root/testdata/sf0.01"
     got = language_id.query(spark, folder).collect()
