@@ -43,9 +43,9 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 tokens."""
+    """Pieces of sequences of 2048 tokens, with their ids as little-endian 32-bit integers."""
     ship(spark)
-    return packing.pack(docs).drop("ids")
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [

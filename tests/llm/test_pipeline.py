@@ -1,5 +1,7 @@
 """The pipeline, each stage against a plain version on its own input."""
 
+import zlib
+
 import brute
 
 import corpus_pipeline
@@ -41,6 +43,14 @@ def test_run(spark, sf_dir):
     assert sorted(again[0]) == sorted(again[1]) and again[0]
 
 
+def test_ids_are_in_the_result(spark, docs):
+    rows = [(1, "the house on the hill and the sea"), (2, "word " * 3000), (3, "")]
+    pieces = stages.packed(spark, docs(rows), "").collect()
+    assert {p["doc_id"] for p in pieces} == {1, 2, 3}
+    for piece in pieces:
+        assert len(piece["ids"]) == 4 * piece["length"] and zlib.crc32(piece["ids"]) == piece["ids_crc32"]
+
+
 def test_edges(spark, docs):
     rows = [(1, None), (2, ""), (3, "word " * 80), (3, "word " * 80), (None, "the house on the hill and the sea"), (4, "x" * 90000)]
     for given in ([], rows):
