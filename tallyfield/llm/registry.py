@@ -3,12 +3,15 @@
 from tallyfield.llm import (
     bpe_tree,
     exact_dedup,
+    hard_negatives,
     html_main,
     language_id,
     minhash,
     packing,
+    periodic_runs,
     pii,
     quality,
+    quality_classifier,
     token_store,
     warc_fixity,
 )
@@ -24,6 +27,15 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_html_main": html_main.query,
     "op10_language_id": language_id.query,
+    "op11_periodic_runs": periodic_runs.query,
+    "op12_quality_trees": quality_classifier.query,
+    "op13_hard_negatives": hard_negatives.query,
 }
 
-ORACLES = {"op3_exact_dedup": exact_dedup.ORACLE, "op4_warc_fixity": warc_fixity.ORACLE}
+ORACLES = {
+    "op3_exact_dedup": exact_dedup.ORACLE,
+    "op4_warc_fixity": warc_fixity.ORACLE,
+    "op11_periodic_runs": periodic_runs.query,
+    "op12_quality_trees": quality_classifier.query,
+    "op13_hard_negatives": hard_negatives.ORACLE,
+}
