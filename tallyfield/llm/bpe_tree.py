@@ -69,15 +69,17 @@ class TreeBpe:
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
 
-    def _learn(self, parts: list[str]) -> list[bytes]:
+    def _learn(self, given: pa.Array) -> pa.Array:
         """Ids of parts between spaces; the vocabulary drops white space and never crosses it."""
+        parts = given.to_pylist()
         short = self.tokenizer.encode_batch_fast(
             [part if len(part) <= RUN_CHARS else "" for part in parts], add_special_tokens=False
         )
-        return [
+        ids = [
             np.array(found.ids, "<u2").tobytes() if len(part) <= RUN_CHARS else self.tree(part).tobytes()
             for part, found in zip(parts, short, strict=True)
         ]
+        return pa.array(ids, pa.large_binary())
 
     def encode_many(self, texts: pa.Array) -> Iterator[np.ndarray]:
         return self.parts.encode(pc.fill_null(texts, ""))

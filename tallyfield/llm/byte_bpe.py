@@ -24,7 +24,7 @@ from tallyfield.llm.parts import PartIds
 VOCABULARY = "byte_bpe_50k.json"
 
 #: Unseen parts encoded as one text.
-PARTS_AT_ONCE = 512
+PARTS_AT_ONCE = 32
 
 _CUT = re.compile(r"(?= \S)")
 _ODD = re.compile(r" (?:\s|\Z)")
@@ -57,20 +57,23 @@ class ByteBpe:
     def _whole(self, text: str) -> bytes:
         return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, parts: list[str]) -> list[bytes]:
+    def _learn(self, parts: pa.Array) -> pa.Array:
         """Ids of parts that follow a space."""
-        joined = [" " + " ".join(parts[at : at + PARTS_AT_ONCE]) for at in range(0, len(parts), PARTS_AT_ONCE)]
-        if any(self._has_special(text) or _ODD.search(text) for text in joined):
-            return [self._whole(" " + part) for part in parts]
-        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, "<u2") for e in encoded])
-        ends = np.cumsum([len(part.encode()) + 1 for part in parts])
-        cuts = 2 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")
-        raw, begin, out = ids.tobytes(), 0, []
-        for cut in cuts.tolist():
-            out.append(raw[begin:cut])
-            begin = cut
-        return out
+        given = parts.to_numpy(zero_copy_only=False).tolist()
+        cuts = [given[at : at + PARTS_AT_ONCE] for at in range(0, len(given), PARTS_AT_ONCE)]
+        joined = [" " + " ".join(some) for some in cuts]
+        plain = [not (self._has_special(text) or _ODD.search(text)) for text in joined]
+        encoded = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(joined, plain, strict=True) if p], add_special_tokens=False))
+        out = []
+        for place, some in enumerate(cuts):
+            if plain[place]:
+                out.append(np.array(next(encoded).ids, "<u2"))
+            else:
+                out.append(np.frombuffer(b"".join([self._whole(" " + part) for part in some]), "<u2"))
+        ids = np.concatenate(out)
+        ends = np.cumsum(pc.binary_length(parts).to_numpy().astype(np.int64) + 1)
+        offsets = np.append(0, 2 * np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
 
     def _odd(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join([self._whole(part) for part in _CUT.split(text)]), "<u2")

@@ -14,7 +14,7 @@ empty table gives an empty store; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 from pyspark.sql.window import Window
 
 from tallyfield.llm import wavelet
@@ -71,18 +71,19 @@ def write(
     """Write the store: files of ascending document ids."""
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # By id, then by text, so that rows of one id or of none may lie in several ranges.
+    ordered = source.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     schema = (
         f"part long, shard long, n_tokens long, doc_ids array<{kind.simpleString()}>, "
         "lengths array<long>, tokens binary"
     )
-    ordered.mapInArrow(_shards(to_arrow_type(kind), end_id, vocabulary), schema).write.option(
+    ordered.select("doc_id", "text").mapInArrow(_shards(to_arrow_type(kind), end_id, vocabulary), schema).write.option(
         "maxRecordsPerFile", 1
     ).option("compression", "none").parquet(path)
 
 
-def _unpacked(id_type: pa.DataType):
-    schema = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64()), ("tokens", pa.binary())])
+def _unpacked(id_type: pa.DataType, name: str, kind: pa.DataType, value: Callable[[np.ndarray], object]):
+    schema = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64()), (name, kind)])
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,21 +91,21 @@ def _unpacked(id_type: pa.DataType):
                 doc_ids, lengths, blob, start = (batch.column(i)[place].as_py() for i in range(4))
                 raw = wavelet.Wavelet(blob).decode()
                 begins = list(accumulate(lengths, initial=0))
-                docs = [raw[a : a + n].tobytes() for a, n in zip(begins, lengths, strict=False)]
+                docs = [value(raw[a : a + n]) for a, n in zip(begins, lengths, strict=False)]
                 values = (doc_ids, [start + a for a in begins[:-1]], lengths, docs)
                 yield pa.record_batch([pa.array(v, f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
     return unpacked
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The documents of a store: id, place of its first token, and its tokens as 16-bit ids.
+def _opened(spark: SparkSession, path: str, name: str, kind: pa.DataType, value: Callable[[np.ndarray], object]) -> DataFrame:
+    """A value of each document's tokens, with its id, the place of its first token and their number.
 
     The places come from sums by range, of which the driver sees one number each. Places of shards
     are a written table, so that Spark knows its size when it chooses how to join it to the files.
     """
     files = spark.read.parquet(path)
-    kind = files.schema["doc_ids"].dataType.elementType
+    id_type = files.schema["doc_ids"].dataType.elementType
     sizes = sorted((r["part"], r["n"]) for r in files.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     begins = accumulate((n for _, n in sizes), initial=0)
     ranges = spark.createDataFrame(
@@ -116,31 +117,23 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         .join(ranges, "part")
         .select("part", "shard", (F.col("range_start") + F.col("shard_start")).alias("start"))
     )
-    return (
-        files.join(places, ["part", "shard"])
-        .select("doc_ids", "lengths", "tokens", "start")
-        .mapInArrow(_unpacked(to_arrow_type(kind)), f"doc_id {kind.simpleString()}, start long, n_tokens long, tokens binary")
-    )
+    work = _unpacked(to_arrow_type(id_type), name, kind, value)
+    schema = f"doc_id {id_type.simpleString()}, start long, n_tokens long, {name} {from_arrow_type(kind).simpleString()}"
+    shards = files.join(places, ["part", "shard"]).select("doc_ids", "lengths", "tokens", "start")
+    return shards.mapInArrow(work, schema)
 
 
-def _checksums(id_type: pa.DataType):
-    def checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = [zlib.crc32(np.frombuffer(raw, "<u2").astype("<u4")) for raw in batch.column(3).to_pylist()]
-            yield pa.record_batch(
-                [batch.column(0).cast(id_type), batch.column(1), batch.column(2), pa.array(sums, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of a store: id, place of its first token, and its tokens as 16-bit ids."""
+    return _opened(spark, path, "tokens", pa.binary(), lambda ids: ids.tobytes())
+
 
-    return checksums
+def checksums(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of a store with the crc32 of their ids as little-endian 32-bit integers."""
+    return _opened(spark, path, "ids_crc32", pa.int64(), lambda ids: zlib.crc32(ids.astype("<u4")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark) + "/tokens"
     write(table(spark, sf_dir, "documents"), path)
-    docs = read(spark, path)
-    kind = docs.schema["doc_id"].dataType
-    return docs.mapInArrow(
-        _checksums(to_arrow_type(kind)),
-        f"doc_id {kind.simpleString()}, start long, n_tokens long, ids_crc32 long",
-    )
+    return checksums(spark, path)

@@ -32,14 +32,14 @@ def build(ids: np.ndarray) -> bytes:
     blocks = -(-len(row) // BLOCK_BITS)
     zeros, ones, sizes, data = [], [], [], []
     for level in range(LEVELS):
-        bit = (row >> (LEVELS - 1 - level)) & 1 == 1
+        bit = row & np.uint16(1 << (LEVELS - 1 - level)) != 0
         row = np.concatenate([row[~bit], row[bit]])
-        zeros.append(len(bit) - int(bit.sum()))
+        zeros.append(len(bit) - int(np.count_nonzero(bit)))
         before = 0
         for at in range(0, len(bit), BLOCK_BITS):
             block = bit[at : at + BLOCK_BITS]
             ones.append(before)
-            before += int(block.sum())
+            before += int(np.count_nonzero(block))
             data.append(packer.compress(np.packbits(block, bitorder="little").tobytes()))
             sizes.append(len(data[-1]))
     return b"".join([
@@ -72,13 +72,13 @@ class Wavelet:
     def _open(self, level: int, block: int) -> np.ndarray:
         raw = self.opener.decompress(self.blob[self.begins[level, block] : self.ends[level, block]])
         size = min(BLOCK_BITS, self.n - block * BLOCK_BITS)
-        return np.unpackbits(np.frombuffer(raw, np.uint8), count=size, bitorder="little").astype(bool)
+        return np.unpackbits(np.frombuffer(raw, np.uint8), count=size, bitorder="little").view(bool)
 
     def _ones_before(self, level: int, place: int) -> int:
         if place >= self.n:
             return self.n - self.zeros[level]
         block, rest = divmod(place, BLOCK_BITS)
-        return int(self.ones[level, block]) + int(self._block(level, block)[:rest].sum())
+        return int(self.ones[level, block]) + int(np.count_nonzero(self._block(level, block)[:rest]))
 
     def _bits(self, token: int):
         return ((level, token >> (LEVELS - 1 - level) & 1) for level in range(LEVELS))

@@ -158,3 +158,39 @@ def test_token_store_query(spark, sf_dir, documents, byte_level):
         assert (one["doc_id"], one["start"], one["n_tokens"]) == (row["doc_id"], at, len(ids))
         assert one["ids_crc32"] == zlib.crc32(ids.tobytes())
         at += len(ids)
+
+
+def test_cache_keeps_parts_in_use(monkeypatch):
+    learned = []
+
+    def learn(unseen):
+        learned.append(unseen.to_pylist())
+        return pa.array([part.encode()[:2] for part in learned[-1]], pa.large_binary())
+
+    cache = parts.PartIds(learn, most=4)
+    for text in ("aa bb cc", "aa dd", "aa ee ff", "bb aa", "gg hh ii jj kk ll", "kk"):
+        assert [ids.tobytes().decode() for ids in cache.encode(pa.array([text]))] == [text.replace(" ", "")]
+        assert len(cache.keys) == len(cache.ids) <= 4
+    # bb was pushed out by ee and ff; aa never; of the long text the first four are kept.
+    assert learned == [["aa", "bb", "cc"], ["dd"], ["ee", "ff"], ["bb"], ["gg", "hh", "ii", "jj", "kk", "ll"], ["kk"]]
+
+
+def test_empty_and_special_texts_among_many(byte_level):
+    given = ["plain words here"] * 40 + ["", "a <|endoftext|> b", "x"] + [f"word{i} other{i}" for i in range(300)]
+    want = [e.ids for e in byte_level.encode_batch(given, add_special_tokens=False)]
+    assert [ids.tolist() for ids in byte_bpe().encode_many(pa.array(given))] == want
+
+
+def test_store_of_one_id(spark, docs, byte_level, tmp_path):
+    rows = [(7, f"text {i}") for i in range(50)] + [(None, f"none {i % 3}") for i in range(50)]
+    path = str(tmp_path / "one")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    token_store.write(docs(rows).repartition(6), path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = token_store.read(spark, path).orderBy("start").collect()
+    want = sorted((str(i), byte_level.encode(t).ids + [2]) for i, t in rows)
+    assert sorted((str(r["doc_id"]), np.frombuffer(r["tokens"], "<u2").tolist()) for r in got) == want
+    assert [r["doc_id"] for r in got] == [None] * 50 + [7] * 50
+    assert spark.read.parquet(path).select("part").distinct().count() > 2
+    sums = {(r["start"], r["ids_crc32"]) for r in token_store.checksums(spark, path).collect()}
+    assert sums == {(r["start"], zlib.crc32(np.frombuffer(r["tokens"], "<u2").astype("<u4"))) for r in got}
