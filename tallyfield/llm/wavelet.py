@@ -11,6 +11,8 @@ import struct
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 LEVELS = 16
@@ -28,19 +30,20 @@ _HEAD = struct.Struct("<4sQI")
 def build(ids: np.ndarray) -> bytes:
     """The blob of a sequence of 16-bit ids."""
     packer = zstandard.ZstdCompressor(level=1)
-    row = ids.astype("<u2")
+    row = pa.array(ids.astype("<u2"))
     blocks = -(-len(row) // BLOCK_BITS)
     zeros, ones, sizes, data = [], [], [], []
     for level in range(LEVELS):
-        bit = row & np.uint16(1 << (LEVELS - 1 - level)) != 0
-        row = np.concatenate([row[~bit], row[bit]])
+        bit = row.to_numpy() & np.uint16(1 << (LEVELS - 1 - level)) != 0
+        packed = np.packbits(bit, bitorder="little")
+        mask = pa.Array.from_buffers(pa.bool_(), len(bit), [None, pa.py_buffer(packed)])
+        row = pa.concat_arrays([row.filter(pc.invert(mask)), row.filter(mask)])
         zeros.append(len(bit) - int(np.count_nonzero(bit)))
         before = 0
         for at in range(0, len(bit), BLOCK_BITS):
-            block = bit[at : at + BLOCK_BITS]
             ones.append(before)
-            before += int(np.count_nonzero(block))
-            data.append(packer.compress(np.packbits(block, bitorder="little").tobytes()))
+            before += int(np.count_nonzero(bit[at : at + BLOCK_BITS]))
+            data.append(packer.compress(packed[at // 8 : (at + BLOCK_BITS) // 8].tobytes()))
             sizes.append(len(data[-1]))
     return b"".join([
         _HEAD.pack(MAGIC, len(ids), blocks),
