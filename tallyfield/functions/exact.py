@@ -26,6 +26,18 @@ def avg2(c: Column) -> Column:
     return F.sum(hundredths(c)) / F.lit(100.0) / F.nullif(F.count(c), F.lit(0))
 
 
+def stddev2(c: Column) -> Column:
+    """Sample standard deviation of a two-decimal amount from exact moments; NULL for fewer than two values.
+
+    Sums of hundredths and of their squares are integers of up to 38 digits, so the variance is one
+    ratio of integers: its bits do not depend on the order of rows or on how they were dealt out.
+    """
+    n, whole = F.count(c).cast("decimal(19,0)"), hundredths(c).cast("decimal(19,0)")
+    total, squares = F.sum(whole).cast("decimal(38,0)"), F.sum(whole * whole)
+    above = n * squares - total * total
+    return F.sqrt(ratio(above, n * (n - F.lit(1)))) / F.lit(100.0)
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b in doubles, NULL when b is zero."""
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))

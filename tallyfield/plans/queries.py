@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.functions.exact import avg2, hundredths, ratio, sum2
+from tallyfield.functions.exact import avg2, hundredths, ratio, stddev2, sum2
 from tallyfield.operators.team_games import team_games
 
 # --- fixed values ---
@@ -88,7 +88,7 @@ def volatility(
         .groupBy(*PLAYER)
         .agg(
             avg2(pts).alias("avg_points"),
-            F.stddev_samp(pts).alias("volatility"),
+            stddev2(pts).alias("volatility"),
             F.min(pts).alias("min_points"),
             F.max(pts).alias("max_points"),
             _count().alias("_games"),
@@ -262,7 +262,7 @@ def consistency(
     return (
         _season(weekly, season, positions)
         .groupBy(*PLAYER)
-        .agg(_count().alias("games"), avg2(pts).alias("avg_points"), F.stddev_samp(pts).alias("std_dev"))
+        .agg(_count().alias("games"), avg2(pts).alias("avg_points"), stddev2(pts).alias("std_dev"))
         .where((F.col("games") >= min_games) & (F.col("avg_points") > min_points))
         .withColumn("coefficient_of_variation", F.round(ratio(F.col("std_dev"), F.col("avg_points")), 3))
         .orderBy(F.asc_nulls_last("coefficient_of_variation"))

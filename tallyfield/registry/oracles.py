@@ -49,6 +49,12 @@ def _sum2(x: str) -> str:
     return f"CAST(sum(CAST({x} AS DECIMAL(18, 2))) AS DOUBLE)"
 
 
+def _stddev2(x: str) -> str:
+    """Sample standard deviation of hundredths, from integers."""
+    h, n = f"CAST(round({x} * 100) AS HUGEINT)", f"count({x})"
+    return f"sqrt(CAST({n} * sum({h} * {h}) - sum({h}) * sum({h}) AS DOUBLE) / nullif({n} * ({n} - 1), 0)) / 100"
+
+
 def _big(x: str) -> str:
     return f"CAST(sum({x}) AS BIGINT)"
 
@@ -175,7 +181,7 @@ ORACLES["q02_system_comparison"] = _from_weekly(f"""
 ORACLES["q03_volatility"] = _from_weekly(f"""
     SELECT player_name, position, team,
            {_avg2('fantasy_points_std')} AS avg_points,
-           round(stddev_samp(fantasy_points_std), 6) AS volatility,
+           {_stddev2('fantasy_points_std')} AS volatility,
            min(fantasy_points_std) AS min_points, max(fantasy_points_std) AS max_points
     FROM scored WHERE season = {SEASON} AND position = 'RB'
     GROUP BY player_name, position, team HAVING count(*) >= 10
@@ -256,8 +262,8 @@ ORACLES["q09_division_standings"] = with_tables(["teams", "schedules"], f"""
 
 ORACLES["q10_consistency"] = _from_weekly(f"""
     SELECT player_name, position, team, count(*) AS games, {_avg2('fantasy_points_std')} AS avg_points,
-           round(stddev_samp(fantasy_points_std), 6) AS std_dev,
-           round(stddev_samp(fantasy_points_std) / nullif({_avg2('fantasy_points_std')}, 0), 3) AS coefficient_of_variation
+           {_stddev2('fantasy_points_std')} AS std_dev,
+           round({_stddev2('fantasy_points_std')} / nullif({_avg2('fantasy_points_std')}, 0), 3) AS coefficient_of_variation
     FROM scored WHERE season = {SEASON} AND position IN {_SKILL}
     GROUP BY player_name, position, team
     HAVING count(*) >= 10 AND {_avg2('fantasy_points_std')} > 5

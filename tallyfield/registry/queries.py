@@ -35,11 +35,6 @@ def scored(spark: SparkSession, sf: str, *seasons: int) -> DataFrame:
     return scoring.score(s.weekly(spark, sf, *seasons))
 
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread measures are compared to six decimals: their last bits depend on row order."""
-    return df.withColumns({c: F.round(c, 6) for c in columns})
-
-
 # -- scoring ------------------------------------------------------------------------------
 
 
@@ -158,7 +153,7 @@ def q02(spark, sf):
 
 
 def q03(spark, sf):
-    return _rounded(q.volatility(scored(spark, sf, SEASON), SEASON), "volatility")
+    return q.volatility(scored(spark, sf, SEASON), SEASON)
 
 
 def q04(spark, sf):
@@ -186,7 +181,7 @@ def q09(spark, sf):
 
 
 def q10(spark, sf):
-    return _rounded(q.consistency(scored(spark, sf, SEASON), SEASON), "std_dev")
+    return q.consistency(scored(spark, sf, SEASON), SEASON)
 
 
 def q11(spark, sf):
