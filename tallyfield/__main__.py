@@ -5,7 +5,7 @@
     refresh-week SEASON WEEK    reload one week of the weekly stats     (--landing)
     refresh-raw-ecr             rebuild raw rankings from rank files    (--ranks)
     refresh-transformed-ecr     link rankings to player ids
-    refresh-summary             rebuild the season summary              (--run-tests)
+    refresh-summary             rebuild the season summary              (--run-tests, --changed)
     query                       run SQL                                 (--sql or --file, --output)
     validate                    quality report of all tables
     schema                      columns of all tables
@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_parser("refresh-transformed-ecr")
     summary = sub.add_parser("refresh-summary")
     summary.add_argument("--run-tests", action="store_true")
+    summary.add_argument("--changed", action="store_true", help="only seasons whose inputs have changed")
     summary.add_argument("--expect", help="CSV file: season, position, rank_column, expected_rank, name_part")
     q = sub.add_parser("query")
     text = q.add_mutually_exclusive_group(required=True)
@@ -115,7 +116,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         _show(ranks.match_types(linked, store.read("rosters")))
         _show(ranks.unmatched_names(raw, linked))
     elif args.command == "refresh-summary":
-        counts = refresh.refresh_summaries(store)
+        counts = refresh.refresh_summaries(store, only_changed=args.changed)
         for table, n in counts.items():
             print(f"{table}: {n:,} rows")
         if not all(counts.values()):
@@ -136,7 +137,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         for result in [store.query(args.sql)] if args.sql else store.query_file(args.file):
             _show(result)
     elif args.command == "validate":
-        _show(reports.validation_report(store.frames()))
+        _show(reports.kept_report(store))
     elif args.command == "schema":
         _show(quality.describe(spark, store.frames()))
     return 0

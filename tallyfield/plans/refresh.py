@@ -6,11 +6,14 @@ import logging
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallyfield.operators.fingerprints import changed_groups, input_fingerprints
 from tallyfield.plans.ranks import linked_rankings
 from tallyfield.plans.season_summary import season_summary
 from tallyfield.schemas import LOAD_TABLES, SEASON_TABLES, TABLES
 from tallyfield.sources.landing import Landing
+from tallyfield.sources.profiles import inside
 from tallyfield.sources.rankfiles import FILE_GLOB, read_rankings
 from tallyfield.sources.warehouse import Warehouse
 
@@ -86,20 +89,62 @@ def refresh_linked_rankings(warehouse: Warehouse) -> None:
     warehouse.rebuild(linked_rankings(raw, rosters), "ecr_rankings")
 
 
-def _season_summary(w: Warehouse) -> DataFrame:
-    return season_summary(w.read("seasonal_stats"), w.read("rosters"), w.read("ecr_rankings"))
+def _season_summary(w: Warehouse, seasons: Sequence[int | None] | None = None) -> DataFrame:
+    """The summary of all seasons or of some, from those seasons of the inputs alone."""
 
+    def only(df: DataFrame, column: str) -> DataFrame:
+        return df if seasons is None else df.where(inside([column], [(s,) for s in seasons]))
 
-#: Summary tables and how each is built.
-SUMMARIES: dict[str, Callable[[Warehouse], DataFrame]] = {"smry_season": _season_summary}
+    return season_summary(*[only(w.read(t), column) for t, column in SUMMARY_INPUTS["smry_season"].items()])
 
 
-def refresh_summaries(warehouse: Warehouse) -> dict[str, int]:
+#: Summary tables and how each is built, of all seasons or of some.
+SUMMARIES: dict[str, Callable[..., DataFrame]] = {"smry_season": _season_summary}
+
+#: Inputs of each summary, with the column that says which of its seasons a row is for. The first one
+#: decides which seasons the summary has.
+SUMMARY_INPUTS = {"smry_season": {"seasonal_stats": "season", "rosters": "season", "ecr_rankings": "year"}}
+
+
+def _input_prints(warehouse: Warehouse, table: str) -> DataFrame:
+    return input_fingerprints({t: (warehouse.read(t), c) for t, c in SUMMARY_INPUTS[table].items()})
+
+
+def rebuild_summary(warehouse: Warehouse, table: str, only_changed: bool = False) -> list[int | None]:
+    """Rebuild a summary, or only the seasons whose inputs have changed; returns the seasons built.
+
+    Fingerprints of each input's seasons are kept beside the table, and renewed after its rows: a
+    job lost in between builds the same seasons again. All of it is built where no fingerprint is
+    kept, a season has gone, or no season is left as it was.
+    """
+    prints, base = f"inputs-{table}", next(iter(SUMMARY_INPUTS[table]))
+    staged = warehouse.versions.stage(_input_prints(warehouse, table).coalesce(1), prints)
+    now = warehouse.versions.staged(prints, staged)
+    of_base = F.col("input") == base
+    seasons = [r["season"] for r in now.where(of_base).select("season").distinct().collect()]
+    known = warehouse.versions.current(prints) if only_changed and warehouse.exists(table) else None
+    built = seasons
+    if known:
+        before = warehouse.spark.read.parquet(known)
+        had = {r["season"] for r in before.where(of_base).select("season").distinct().collect()}
+        differ = {r["season"] for r in changed_groups(before, now).collect()}
+        if had <= set(seasons) and not set(seasons) <= differ:
+            built = [s for s in seasons if s in differ]
+    if len(built) < len(seasons):
+        if built:
+            warehouse.rebuild_partitions(SUMMARIES[table](warehouse, built), table, "season")
+    else:
+        warehouse.rebuild(SUMMARIES[table](warehouse), table, ["season"])
+    warehouse.versions.switch(prints, staged)
+    return sorted(built, key=lambda s: (s is None, s))
+
+
+def refresh_summaries(warehouse: Warehouse, only_changed: bool = False) -> dict[str, int]:
     """Rebuild every summary table; returns rows per table, 0 where it failed."""
     counts = {}
-    for table, build in SUMMARIES.items():
+    for table in SUMMARIES:
         try:
-            warehouse.rebuild(build(warehouse), table)
+            rebuild_summary(warehouse, table, only_changed)
             counts[table] = warehouse.read(table).count()
         except Exception:
             logger.exception("summary %s failed", table)

@@ -17,6 +17,8 @@ from tallyfield.operators.quality import (
 )
 from tallyfield.plans.season_summary import RANK_PREFIXES
 from tallyfield.schemas import COVERAGE_TABLES, DUPLICATE_CHECKED
+from tallyfield.sources import profiles
+from tallyfield.sources.warehouse import Warehouse
 
 AFTER_LOAD, ON_VALIDATE = 50.0, 10.0
 LOG_TABLE = "data_refresh_log"
@@ -48,15 +50,41 @@ def validation_report(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _profile(df: DataFrame, name: str, by_season: bool, null_threshold: float | None) -> DataFrame:
-    """Rows, rows of each season and high-NULL columns of one table, in one pass over it.
+def kept_report(
+    store: Warehouse, tables: Sequence[str] | None = None, *, null_threshold: float = ON_VALIDATE,
+    duplicate_tables: Sequence[str] = DUPLICATE_CHECKED, coverage_tables: Sequence[str] = COVERAGE_TABLES,
+) -> DataFrame:
+    """The validation report from the profiles kept at load; only repeats, and the log, read data."""
+    parts = []
+    for name in tables if tables is not None else store.tables():
+        df = store.read(name)
+        if name == LOG_TABLE:
+            parts.append(_profile(df, name, False, None))
+            continue
+        numbers = numeric_columns(df)
+        # A column that a partition's rows lacked is NULL in all of them.
+        hits = [F.coalesce(F.col("nulls")[c], F.col("row_count")).alias(f"_{i}") for i, c in enumerate(numbers)]
+        counts = profiles.of(store, name).select("season", F.col("row_count").alias("n"), *hits)
+        parts.append(_summed(counts, numbers, len(df.columns), name, name in coverage_tables, null_threshold))
+        if name in duplicate_tables:
+            repeats = repeated_rows(df).withColumn("table_name", F.lit(name))
+            parts.append(_long(repeats, "duplicates", None, "duplicates"))
+    return reduce(DataFrame.unionByName, parts)
 
-    A row for each season comes out of the scan; the report is summed up from those few.
-    """
+
+def _profile(df: DataFrame, name: str, by_season: bool, null_threshold: float | None) -> DataFrame:
+    """Rows, rows of each season and high-NULL columns of one table, in one pass over it."""
     numbers = [] if null_threshold is None else numeric_columns(df)
     counts = df.groupBy(*(["season"] if by_season else [])).agg(
         F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(numbers)]
     )
+    return _summed(counts, numbers, len(df.columns), name, by_season, null_threshold)
+
+
+def _summed(
+    counts: DataFrame, numbers: Sequence[str], width: int, name: str, by_season: bool, null_threshold: float | None
+) -> DataFrame:
+    """The report of one table from few rows of counts: n, NULLs as _0, _1, ..., and season where asked for."""
 
     def cell(metric: str, item: Column | None, hits: str) -> Column:
         text = F.lit(None).cast("string") if item is None else item
@@ -66,8 +94,8 @@ def _profile(df: DataFrame, name: str, by_season: bool, null_threshold: float |
     if by_season:
         cells.append(cell("season_rows", F.col("season").cast("int").cast("string"), "n"))
     # An empty table gives no season row, but still counts 0 rows.
-    fixed = [("rows", None, 0, 0)] + ([] if null_threshold is None else [("columns", None, len(df.columns), 0)])
-    known = df.sparkSession.createDataFrame(fixed, "metric string, item string, hits bigint, n bigint")
+    fixed = [("rows", None, 0, 0)] + ([] if null_threshold is None else [("columns", None, width, 0)])
+    known = counts.sparkSession.createDataFrame(fixed, "metric string, item string, hits bigint, n bigint")
     summed = (
         counts.select(F.explode(F.array(*cells)).alias("c")).select("c.*").unionByName(known)
         .groupBy("metric", "item").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))

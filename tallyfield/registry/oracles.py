@@ -9,7 +9,7 @@ from __future__ import annotations
 from tallyfield.functions import scoring
 from tallyfield.plans import season_summary as ss
 from tallyfield.registry import queries as rq
-from tallyfield.registry.standins import GIVEN, SQL, STATS, WEEKLY, _tag, with_tables
+from tallyfield.registry.standins import ALL_GIVEN, SQL, STATS, WEEKLY, _tag, with_tables
 
 SEASON = rq.SEASON
 PREVIOUS = SEASON - 1
@@ -338,8 +338,16 @@ ORACLES["q16_stats_with_ranks"] = with_tables(["weekly", "player_ranks"], f"""
 
 ORACLES["replace_full"] = with_tables(["players"], """
     SELECT gsis_id, nullif(display_name, 'nan') AS display_name, position,
-           TRY_CAST(draft_number AS INTEGER) AS draft_number, TRY_CAST(weight AS INTEGER) AS weight,
-           CAST(NULL AS VARCHAR) AS college_name FROM players""")
+           TRY_CAST(draft_number AS INTEGER) + 1 AS draft_number, CAST(NULL AS INTEGER) AS weight,
+           upper(position) AS nickname FROM players WHERE position <> 'K'""")
+ORACLES["rebuild_interrupted"] = with_tables(["player_ranks"], """
+    WITH r AS (SELECT player_id, year, before_preseason, rank FROM player_ranks)
+    SELECT 'before' AS at, player_id, year, count(*) AS entries, sum(rank) AS ranks FROM r GROUP BY player_id, year
+    UNION ALL SELECT 'lost', player_id, year, count(*), sum(rank) FROM r GROUP BY player_id, year
+    UNION ALL SELECT 'after', player_id, year, count(*), sum(rank + 1) FROM r WHERE NOT before_preseason GROUP BY player_id, year""")
+ORACLES["store_empty_batch"] = with_tables(["teams", "schedules"], """
+    SELECT 'teams' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS written FROM teams
+    UNION ALL SELECT 'schedules', count(*), CAST(0 AS BIGINT) FROM schedules""")
 _NEW_GAMES = f"SELECT game_id, season, week, home_score + 1 AS home_score, 'new' AS note FROM schedules WHERE season >= {SEASON}"
 ORACLES["replace_season"] = with_tables(["schedules"], f"""
     SELECT game_id, season, week, home_score, CAST(NULL AS VARCHAR) AS note FROM schedules WHERE season < {SEASON}
@@ -603,11 +611,12 @@ ORACLES["dq_season_lists"] = with_tables(
     f"SELECT table_name, string_agg(CAST(season AS VARCHAR), ',' ORDER BY season) AS seasons "
     f"FROM ({_season_counts(_SEASONED)}) GROUP BY table_name",
 )
-_LISTED = GIVEN
+_LISTED = ALL_GIVEN
 ORACLES["dq_schema"] = f"""
     SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name,
            CASE WHEN data_type IN ('BIGINT', 'DOUBLE') THEN lower(data_type) WHEN data_type = 'INTEGER' THEN 'int'
-                WHEN data_type = 'VARCHAR' THEN 'string' ELSE 'timestamp' END AS column_type,
+                WHEN data_type = 'VARCHAR' THEN 'string' WHEN data_type = 'FLOAT[]' THEN 'array<float>'
+                ELSE 'timestamp' END AS column_type,
            CASE table_name {' '.join(f"WHEN '{n}' THEN (SELECT count(*) FROM {n})" for n in _LISTED)} END AS row_count
     FROM information_schema.columns WHERE table_name IN {_LISTED}"""
 ORACLES["check_counts"] = with_tables(_SUMMARY_TABLES, f"""{_SUMMARY}
@@ -663,6 +672,40 @@ def _report_part(name: str, cte: str) -> str:
 ORACLES["validate_report"] = with_tables(
     list(_SIZES.values()), " UNION ALL ".join(_report_part(n, c) for n, c in _SIZES.items())
 )
+_KEPT_COLUMNS = {"schedules": ("season", "week", "home_score", "bonus"), "weekly_stats": ("season", "week", "attempts", "passing_yards")}
+_KEPT_TABLES = f"""
+    WITH schedules_now AS (
+      SELECT season, week, CASE WHEN season >= {SEASON} AND week % 3 = 0 THEN NULL ELSE home_score END AS home_score,
+             CASE WHEN season >= {SEASON} THEN week END AS bonus FROM schedules),
+    weekly_now AS (
+      SELECT season, week, sum(passing_yards) AS passing_yards,
+             CASE WHEN season >= {SEASON} AND week % 2 = 0 THEN NULL ELSE sum(attempts) END AS attempts
+      FROM weekly GROUP BY player_id, season, week)"""
+
+
+def _kept_part(name: str, cte: str) -> str:
+    nulls = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, 'null_percentage' AS metric, '{c}' AS item, "
+        f"coalesce(CAST(count(*) - count({c}) AS DOUBLE) * 100.0 / nullif(count(*), 0), 0) AS value FROM {cte}"
+        for c in _KEPT_COLUMNS[name]
+    )
+    return f"""
+    SELECT '{name}' AS table_name, 'rows' AS metric, CAST(NULL AS VARCHAR) AS item, CAST(count(*) AS DOUBLE) AS value FROM {cte}
+    UNION ALL SELECT '{name}', 'season_rows', CAST(season AS VARCHAR), CAST(count(*) AS DOUBLE) FROM {cte} GROUP BY season
+    UNION ALL {nulls}"""
+
+
+ORACLES["validate_kept"] = with_tables(
+    ["schedules", "weekly"],
+    f"{_KEPT_TABLES} {_kept_part('schedules', 'schedules_now')} UNION ALL {_kept_part('weekly_stats', 'weekly_now')}",
+)
+ORACLES["summary_by_change"] = with_tables(_SUMMARY_TABLES, _SUMMARY.replace(
+    f"scored AS ({_SEASONAL_SCORED})",
+    f"scored AS (SELECT * REPLACE (CASE WHEN season = {SEASON} THEN 1000.0 - fantasy_points_std ELSE fantasy_points_std END "
+    f"AS fantasy_points_std) FROM ({_SEASONAL_SCORED}))",
+) + f"""
+    SELECT player_id, season, position, games, fantasy_points_std, std_tot_rnk, halfppr_ppg_rnk, passing_yards_per_game,
+           ecr_rank, season = {SEASON} AS rebuilt FROM summary""")
 ORACLES["summary_checks"] = with_tables(_SUMMARY_TABLES, f"""{_SUMMARY}
     SELECT 'record_counts' AS "check", (SELECT count(*) FROM seasonal) = (SELECT count(*) FROM summary) AS passed
     UNION ALL

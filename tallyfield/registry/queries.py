@@ -15,7 +15,7 @@ from tallyfield.operators.ranking import rank_within
 from tallyfield.plans import queries as q
 from tallyfield.plans import ranks, reports
 from tallyfield.plans import season_summary as ss
-from tallyfield.plans.refresh import extract_all, load_table, refresh_season, refresh_week
+from tallyfield.plans.refresh import extract_all, load_table, rebuild_summary, refresh_season, refresh_week
 from tallyfield.registry import standins as s
 from tallyfield.session import scratch_dir
 from tallyfield.sources import rankfiles
@@ -223,10 +223,45 @@ def _second_load(games: DataFrame) -> DataFrame:
 
 
 def replace_full(spark, sf):
-    # A full replacement keeps nothing of the earlier rows: what counts is the batch, typed.
-    return t.align(t.typed(s.players(spark, sf), "players"), "players").select(
-        "gsis_id", "display_name", "position", "draft_number", "weight", "college_name"
+    """Two loads of all players through the store; of the first one nothing stays."""
+    store = Warehouse(spark, scratch_dir(spark))
+    players = t.typed(s.players(spark, sf), "players")
+    store.insert(players, "players")
+    later = players.where("position <> 'K'").select(
+        "gsis_id", "display_name", "position", (F.col("draft_number") + 1).alias("draft_number"), F.upper("position").alias("nickname")
     )
+    store.insert(later, "players")
+    return store.read("players").select("gsis_id", "display_name", "position", "draft_number", "weight", "nickname")
+
+
+def rebuild_interrupted(spark, sf):
+    """Linked rankings before a rebuild, after one that was lost just before its switch, and after a whole one."""
+    store = Warehouse(spark, scratch_dir(spark))
+    linked = s.player_ranks(spark, sf)
+    store.rebuild(linked, "ecr_rankings")
+    later = linked.where("NOT before_preseason").withColumn("rank", F.col("rank") + 1)
+
+    def seen(at: str) -> DataFrame:
+        found = store.read("ecr_rankings").groupBy("player_id", "year")
+        return found.agg(F.count(F.lit(1)).alias("entries"), F.sum("rank").alias("ranks")).withColumn("at", F.lit(at))
+
+    before = seen("before")
+    store.versions.stage(later, "ecr_rankings")  # written, and then nothing more: the job is gone
+    lost = seen("lost")
+    store.rebuild(later, "ecr_rankings")
+    return before.unionByName(lost).unionByName(seen("after"))
+
+
+def store_empty_batch(spark, sf):
+    """Batches without rows change nothing and count 0."""
+    store = Warehouse(spark, scratch_dir(spark))
+    parts = []
+    for table, batch in (("teams", s.teams(spark, sf)), ("schedules", s.schedules(spark, sf))):
+        store.insert(batch, table)
+        written = store.insert(batch.where("false"), table)
+        size = quality.table_size(store.read(table), table).select("table_name", "row_count")
+        parts.append(size.withColumn("written", F.lit(written).cast("bigint")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def replace_season(spark, sf):
@@ -615,7 +650,7 @@ def dq_season_lists(spark, sf):
 
 def dq_schema(spark, sf):
     """Columns of every table beside the table's size."""
-    tables = {n: s.read(spark, sf, n) for n in s.GIVEN}
+    tables = {n: s.read(spark, sf, n) for n in s.ALL_GIVEN}
     sizes = quality.table_sizes(tables).select("table_name", "row_count")
     # The files hold zone-less timestamps; whether Spark says so depends on a session setting.
     columns = quality.describe(spark, tables).withColumn("column_type", F.replace("column_type", F.lit("_ntz")))
@@ -659,6 +694,46 @@ def validate_report(spark, sf):
     return reports.validation_report(_domain(spark, sf))
 
 
+def validate_kept(spark, sf):
+    """Sizes, seasons and NULL shares from the profiles kept by loads, after seasons and weeks were loaded again."""
+    store = Warehouse(spark, scratch_dir(spark))
+    games = _games(spark, sf)
+    store.insert(games, "schedules")
+    late = games.where(F.col("season") >= SEASON).withColumns({
+        "home_score": F.when(F.col("week") % 3 != 0, F.col("home_score")), "bonus": F.col("week").cast("int"),
+    })
+    store.insert(late, "schedules")
+    totals = s.weekly(spark, sf).groupBy("player_id", "season", "week").agg(
+        F.sum("passing_yards").alias("passing_yards"), F.sum("attempts").cast("int").alias("attempts")
+    )
+    store.insert(totals, "weekly_stats")
+    replaced = totals.where((F.col("season") >= SEASON) & (F.col("week") % 2 == 0))
+    store.insert(replaced.withColumn("attempts", F.lit(None).cast("int")), "weekly_stats")
+    columns = {"schedules": ["season", "week", "home_score", "bonus"], "weekly_stats": ["season", "week", "attempts", "passing_yards"]}
+    report = reports.kept_report(store, list(columns), null_threshold=-1.0, duplicate_tables=())
+    wanted = F.col("metric").isin("rows", "season_rows")
+    for table, names in columns.items():
+        wanted = wanted | ((F.col("metric") == "null_percentage") & (F.col("table_name") == table) & F.col("item").isin(names))
+    return report.where(wanted)
+
+
+def summary_by_change(spark, sf):
+    """The season summary after one season was loaded again, and which seasons that built anew."""
+    store = Warehouse(spark, scratch_dir(spark))
+    seasonal = _seasonal(spark, sf)
+    store.insert(seasonal, "seasonal_stats")
+    store.insert(s.rosters(spark, sf), "rosters")
+    store.rebuild(s.player_ranks(spark, sf), "ecr_rankings")
+    rebuild_summary(store, "smry_season")
+    again = seasonal.where(F.col("season") == SEASON).withColumn("fantasy_points_std", 1000.0 - F.col("fantasy_points_std"))
+    store.insert(again, "seasonal_stats")
+    built = rebuild_summary(store, "smry_season", only_changed=True)
+    return store.read("smry_season").select(
+        "player_id", "season", "position", "games", "fantasy_points_std", "std_tot_rnk", "halfppr_ppg_rnk",
+        "passing_yards_per_game", "ecr_rank", F.col("season").isin(built).alias("rebuilt"),
+    )
+
+
 def summary_checks(spark, sf):
     return reports.summary_checks(s.seasonal(spark, sf), season_summary(spark, sf))
 
@@ -667,12 +742,14 @@ def summary_checks(spark, sf):
 
 
 def sql_params(spark, sf):
-    """Ad-hoc SQL with positional parameters over a registered view."""
-    s.weekly(spark, sf).createOrReplaceTempView("weekly_stats_view")
-    return spark.sql(
-        "SELECT team, position, count(*) AS games, sum(passing_yards) AS yards FROM weekly_stats_view "
+    """Ad-hoc SQL with positional parameters over a stored table's view."""
+    store = Warehouse(spark, scratch_dir(spark))
+    store.insert(s.weekly(spark, sf), "weekly_stats")
+    store.register_views(["weekly_stats"])
+    return store.query(
+        "SELECT team, position, count(*) AS games, sum(passing_yards) AS yards FROM weekly_stats "
         "WHERE season = ? AND week <= ? GROUP BY team, position HAVING games >= ? ORDER BY team, position",
-        args=[SEASON, 10, 2],
+        [SEASON, 10, 2],
     )
 
 
@@ -705,6 +782,8 @@ QUERIES: dict[str, Query] = {
     "q15_weekly_trend": q15,
     "q16_stats_with_ranks": q16,
     "replace_full": replace_full,
+    "rebuild_interrupted": rebuild_interrupted,
+    "store_empty_batch": store_empty_batch,
     "replace_season": replace_season,
     "replace_season_week": replace_season_week,
     "store_replace_season": store_replace_season,
@@ -750,6 +829,8 @@ QUERIES: dict[str, Query] = {
     "check_ranks": check_ranks,
     "ranking_top": ranking_top,
     "validate_report": validate_report,
+    "validate_kept": validate_kept,
+    "summary_by_change": summary_by_change,
     "summary_checks": summary_checks,
     "sql_params": sql_params,
 }

@@ -27,6 +27,9 @@ FIRST_SEASON, LAST_SEASON = 1995, 2001
 #: The given tables that the stand-ins are made of.
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+#: Every given table.
+ALL_GIVEN = (*GIVEN, "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
 
 def _position(key: str) -> str:
     return (

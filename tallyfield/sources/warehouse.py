@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from tallyfield.functions.typing import align, rename_reserved, with_audit
 from tallyfield.operators.replace import next_ids
 from tallyfield.schemas import REFRESH_STATUSES, TABLES, TableSpec
+from tallyfield.sources import profiles
+from tallyfield.sources.switch import Switch
 
 LOG_TABLE = "data_refresh_log"
 LOG_COLUMNS = (
@@ -28,9 +30,11 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.versions = Switch(spark, self.root)
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        """Folder of a table's rows: of tables replaced as a whole, the version in use just now."""
+        return self.versions.current(table) or f"{self.root}/{table}"
 
     def exists(self, table: str) -> bool:
         return self._schema_at(self.path(table)) is not None
@@ -55,9 +59,9 @@ class Warehouse:
             known = self.spark.read.option("mergeSchema", True).parquet(self.path(table)).schema
         return known
 
-    def _add_columns(self, rows: DataFrame, table: str, *, anew: bool) -> DataFrame:
+    def _add_columns(self, rows: DataFrame, table: str) -> DataFrame:
         """Record a batch's columns; those stored before keep their types."""
-        known = None if anew else self.columns(table)
+        known = self.columns(table)
         types = {f.name: f.dataType for f in known} if known else {}
         rows = rows.select(*[
             F.col(f"`{f.name}`").try_cast(types[f.name]).alias(f.name)
@@ -76,8 +80,11 @@ class Warehouse:
         What a batch did not bring is NULL in its rows. The columns come from the record beside
         the data, so no footer is looked at.
         """
-        known = self._schema_at(self._columns_path(table))
-        if known is None:
+        version = self.versions.current(table)
+        known = None if version else self._schema_at(self._columns_path(table))
+        if version:  # written in one go: all its files have the same columns
+            df = self.spark.read.parquet(version)
+        elif known is None:
             df = self.spark.read.option("mergeSchema", True).parquet(self.path(table))
         else:
             df = self.spark.read.schema(known).parquet(self.path(table))
@@ -105,13 +112,12 @@ class Warehouse:
         spec = TABLES[table]
         at = datetime.now(timezone.utc).replace(tzinfo=None)
         rows = align(with_audit(rename_reserved(batch), at), table)
-        whole = spec.full_replace and replace
-        # Only small tables are replaced as a whole; the test stops at the first row.
-        if whole and batch.isEmpty():
-            return 0, {int(s): 0 for s in seasons}
-        rows = self._add_columns(rows, table, anew=whole)
-        if whole:
-            return self._write(rows, spec, "overwrite", seasons)[::2]
+        if spec.full_replace:
+            # Only small tables are replaced as a whole; the test stops at the first row.
+            if batch.isEmpty():
+                return 0, {int(s): 0 for s in seasons}
+            return self._write(rows, spec, "switch" if replace else "extend", seasons)[::2]
+        rows = self._add_columns(rows, table)
         if spec.replace_by and replace:
             return self._replace_partitions(rows, spec, seasons)
         return self._write(rows, spec, "append", seasons)[::2]
@@ -146,20 +152,46 @@ class Warehouse:
         counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.lit(True) if keep is None else keep).alias("kept")]
         if "season" in rows.columns:
             counts += [F.count_if(F.col("season") == s).alias(f"s{s}") for s in seasons]
+        numbers = [] if keys else profiles.numbers(rows)
+        # Of a table without partitions the profile is counted on the way, like the rows.
+        counts += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null{i}") for i, c in enumerate(numbers)]
+        if keys:
+            counts.append(F.collect_set(F.struct(*keys)).alias("partitions"))
         # Counted on the way through; above the hint, so that an empty batch counts as 0.
         rows = rows.observe(seen, *counts)
-        writer = (rows if keep is None else rows.where(keep)).write.mode(mode)
-        if keys:
-            writer = writer.partitionBy(*keys)
-        if keep is not None:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-        writer.parquet(self.path(spec.name))
+        if mode in ("switch", "extend"):
+            if mode == "extend" and self.exists(spec.name):
+                rows = self.read(spec.name).unionByName(rows, allowMissingColumns=True)
+            self.versions.replace(rows, spec.name)
+        else:
+            writer = (rows if keep is None else rows.where(keep)).write.mode(mode)
+            if keys:
+                writer = writer.partitionBy(*keys)
+            if keep is not None:
+                writer = writer.option("partitionOverwriteMode", "dynamic")
+            writer.parquet(self.path(spec.name))
         got = seen.get
+        if keys:
+            profiles.renew(self, spec.name, keys, [tuple(p) for p in got["partitions"]])
+        else:
+            found = {c: int(got[f"null{i}"]) for i, c in enumerate(numbers)}
+            profiles.add(self, spec.name, int(got["n"]), found, anew=mode == "switch")
         return int(got["n"]), int(got["kept"]), {s: int(got.get(f"s{s}", got["n"])) for s in seasons}
 
-    def rebuild(self, df: DataFrame, table: str) -> None:
-        """Drop and rebuild a derived table. ``df`` must not read the table itself."""
-        self._add_columns(df, table, anew=True).write.mode("overwrite").parquet(self.path(table))
+    def rebuild(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+        """Drop and rebuild a derived table: readers see the old rows until the new ones are whole."""
+        name = self.versions.stage(df, table, tuple(partition_by))
+        if self._schema_at(self.versions.folder(table, name)) is None:  # no row, so no partition and no file
+            name = self.versions.stage(df, table)
+        self.versions.switch(table, name)
+        profiles.forget(self, table)
+
+    def rebuild_partitions(self, df: DataFrame, table: str, key: str) -> None:
+        """Replace the partitions that ``df`` has rows of, in the version in use."""
+        rows = df.select(*self.spark.read.parquet(self.path(table)).columns).hint("rebalance", key)
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key)
+        writer.parquet(self.path(table))
+        profiles.forget(self, table)
 
     # -- refresh log -------------------------------------------------------------------
 
