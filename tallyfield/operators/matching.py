@@ -5,9 +5,8 @@ the two are equal (exact), or else equal without dots and spaces, or one contain
 (partial).  Of several ids the smallest is kept.
 
 Names repeat over years and weeks, so all matching runs on distinct (name, position) pairs;
-each roster pair already carries its smallest id.  Containment is planned as an equi-join:
-the longer name is expanded into its substrings, only of lengths that occur on the other
-side, and each is looked up by value.  No pair of names is compared that does not match.
+each roster pair already carries its smallest id.  Containment goes through an index of
+q-grams (``containment``): a pair is compared only where its rarest gram says it may match.
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions.names import bare_key, name_key, position_key
+from tallyfield.operators.containment import containing
+from tallyfield.session import stored
 
 EXACT, PARTIAL = "exact_match", "partial_match"
 
@@ -70,29 +71,8 @@ def not_exact(names: DataFrame, roster: DataFrame) -> DataFrame:
     return _looked_up(names, roster).where(F.col("found").isNull()).select("name_key", "pos_key")
 
 
-def _substrings(names: DataFrame, others: DataFrame) -> DataFrame:
-    """Each name with its distinct substrings (``part``) of every length found in ``others``.
-
-    The lengths are one small array for the whole table (names are a few dozen letters), read
-    as a scalar subquery.
-    """
-    lengths = (
-        others.where(F.col("name_key") != "").agg(F.collect_set(F.length("name_key"))).scalar()
-    )
-    parts = F.expr(
-        "explode(array_distinct(flatten(transform(filter(_lengths, n -> n <= length(name_key)), "
-        "n -> transform(sequence(1, length(name_key) - n + 1), at -> substring(name_key, at, n))))))"
-    )
-    return names.withColumn("_lengths", lengths).select(*names.columns, parts.alias("part"))
-
-
 def partial_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
-    """Names found without dots and spaces or by containment: (name_key, pos_key, player_id).
-
-    The substring sides grow by two orders of magnitude after their size is estimated, so
-    their joins are pinned to sort-merge: a broadcast chosen by the estimate could not hold
-    them, and adaptive execution still splits a skewed partition.
-    """
+    """Names found without dots and spaces or by containment: (name_key, pos_key, player_id)."""
     out = ["name_key", "pos_key", "player_id"]
 
     def smallest(df: DataFrame, *keys: str) -> DataFrame:
@@ -101,16 +81,8 @@ def partial_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
     bare = names.withColumn("bare", bare_key(F.col("name_key"))).join(
         smallest(roster.withColumn("bare", bare_key(F.col("name_key"))), "bare", "pos_key"), ["bare", "pos_key"]
     )
-    holds_roster = _substrings(names, roster).hint("merge").join(
-        roster.withColumnRenamed("name_key", "part"), ["pos_key", "part"]
-    )
-    # A short ranked name is part of many roster names: one id for each part is enough.
-    in_roster = (
-        smallest(_substrings(roster, names), "pos_key", "part")
-        .select("pos_key", "player_id", F.col("part").alias("name_key"))
-        .hint("merge")
-        .join(names, ["name_key", "pos_key"])
-    )
+    holds_roster = containing(roster, names).select(F.col("hay").alias("name_key"), "pos_key", F.col("needle_id").alias("player_id"))
+    in_roster = containing(names, roster).select(F.col("needle").alias("name_key"), "pos_key", F.col("hay_id").alias("player_id"))
     # A blank name is contained in every name of its position, as LIKE '%%' has it.
     blank = F.col("name_key") == ""
     holds_blank = names.join(smallest(roster.where(blank), "pos_key"), "pos_key")
@@ -124,10 +96,10 @@ def partial_matches(names: DataFrame, roster: DataFrame) -> DataFrame:
 
 def resolve_names(raw: DataFrame, rosters: DataFrame) -> DataFrame:
     """(name_key, pos_key, player_id, match_type) for every ranked name that has a match."""
-    names = ranked_names(raw)
-    roster = roster_names(rosters)
+    # Both are small beside their sources, and are read by every way of matching.
+    names, roster = stored(ranked_names(raw)), stored(roster_names(rosters))
     exact = exact_matches(names, roster)
-    partial = partial_matches(not_exact(names, roster), roster)
+    partial = partial_matches(stored(not_exact(names, roster)), roster)
     return exact.withColumn("match_type", F.lit(EXACT)).unionByName(
         partial.withColumn("match_type", F.lit(PARTIAL))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Adaptive execution decides on broadcasts from measured sizes, splits skewed join partitions
 #: and merges small ones; broadcasts guessed from file sizes are switched off.
@@ -46,3 +46,10 @@ def scratch_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the scratch folder and read again by whoever needs them."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
