@@ -4,16 +4,18 @@ A text's set of 5-word shingles is hashed by 120 permutations, and each gives tw
 signature, its minimum and its maximum: 240 values for 120 evaluations, cut into 48 bands of 5.
 Two sets of similarity 0.75 agree in no band with a chance of about 2 in a million.
 
-Texts of equal sets are one class, represented by its smallest id. Representatives that share a
-band are compared without forming all pairs of a bucket: first each with the bucket's smallest
-id, if their signatures agree enough; what is linked then forms components. Only buckets that
+Texts of equal sets are one class, represented by its row of the smallest id and numbered. A row is
+known by its id and its text's hash, so rows of one id and different texts are different documents.
+Representatives that share a band are compared without forming all pairs of a bucket: first each
+with the bucket's smallest number, if their signatures agree enough; what is linked then forms components. Only buckets that
 still hold several components are looked at again, in blocks of bounded size: there the full sets
 of different components are compared, and only links that join components come out. Every link is
 confirmed on the full shingle sets.
 
 Defined results: null texts and texts without words have no shingle and are linked with nothing.
 Rows without an id take part through equal sets only: they belong to the smallest id of their
-class, or stay without one. Repeated rows give the same result each. An empty table gives an
+class's component, or stay without one. Rows of one id and different texts each have the component
+of their own text; where several rows share the smallest id, ``leads`` names one text. Repeated rows give the same result each. An empty table gives an
 empty result; other columns are ignored.
 """
 
@@ -66,7 +68,7 @@ def signature(values: np.ndarray, times: np.ndarray, plus: np.ndarray) -> np.nda
     return np.concatenate([least, most])
 
 
-SIGNED = "doc_id {id}, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
+SIGNED = "doc_id {id}, tie long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary"
 
 
 def _sign(id_type: pa.DataType):
@@ -89,56 +91,48 @@ def _sign(id_type: pa.DataType):
                 signs.append(signs_of.astype(np.uint8).tobytes())
             yield pa.record_batch(
                 [
-                    batch.column(0).cast(id_type), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()),
-                    pa.array(two, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary()),
+                    batch.column(0).cast(id_type), batch.column(2), pa.array(sizes, pa.int64()),
+                    pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(signs, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "signature"],
+                names=["doc_id", "tie", "n_shingles", "set_a", "set_b", "bands", "signature"],
             )
 
     return sign
 
 
-def _agree(id_type: pa.DataType):
+def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree in enough values."""
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                for i in (2, 3)
-            )
-            near = pa.array((left == right).mean(axis=1) >= LEAST_AGREEMENT)
-            yield pa.record_batch(
-                [batch.column(0).filter(near).cast(id_type), batch.column(1).filter(near).cast(id_type)],
-                names=["a", "b"],
-            )
-
-    return agree
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        left, right = (
+            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            for i in (2, 3)
+        )
+        near = pa.array((left == right).mean(axis=1) >= LEAST_AGREEMENT)
+        yield pa.record_batch(
+            [batch.column(0).filter(near), batch.column(1).filter(near)],
+            names=["a", "b"],
+        )
 
 
-def _confirm(id_type: pa.DataType):
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets are similar enough; rows come sorted by a, whose set is kept."""
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, left = object(), None
-        for batch in batches:
-            linked = []
-            for row in range(batch.num_rows):
-                a = batch.column(0)[row].as_py()
-                if a != key:
-                    key, left = a, shingles(batch.column(2)[row].as_py())
-                right = shingles(batch.column(3)[row].as_py())
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                linked.append(100 * common >= THRESHOLD * (len(left) + len(right) - common))
-            linked = pa.array(linked, pa.bool_())
-            yield pa.record_batch(
-                [batch.column(0).filter(linked).cast(id_type), batch.column(1).filter(linked).cast(id_type)],
-                names=["a", "b"],
-            )
-
-    return confirm
+    key, left = object(), None
+    for batch in batches:
+        linked = []
+        for row in range(batch.num_rows):
+            a = batch.column(0)[row].as_py()
+            if a != key:
+                key, left = a, shingles(batch.column(2)[row].as_py())
+            right = shingles(batch.column(3)[row].as_py())
+            common = len(np.intersect1d(left, right, assume_unique=True))
+            linked.append(100 * common >= THRESHOLD * (len(left) + len(right) - common))
+        linked = pa.array(linked, pa.bool_())
+        yield pa.record_batch(
+            [batch.column(0).filter(linked), batch.column(1).filter(linked)],
+            names=["a", "b"],
+        )
 
 
 def _cluster_links(sets: list[np.ndarray], comp: np.ndarray, own: np.ndarray, two: bool) -> list[tuple[int, int]]:
@@ -182,29 +176,30 @@ def _block_links(members: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype(members["rep"].dtype)
 
 
+PAIR = "a long, b long"
+
+
 class Linker:
-    """Links between representatives, given signatures and texts."""
+    """Links between representatives, given their numbers, signatures and where their texts are."""
 
     def __init__(self, source: DataFrame, reps: DataFrame):
         self.source, self.reps = source, reps
-        kind = source.schema["doc_id"].dataType
-        self.arrow, self.sql = to_arrow_type(kind), kind.simpleString()
 
     def alike(self, pairs: DataFrame) -> DataFrame:
-        signs = self.reps.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
+        signs = self.reps.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
         joined = pairs.join(signs, "a").join(signs.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-        return joined.mapInArrow(_agree(self.arrow), f"a {self.sql}, b {self.sql}").distinct()
+        return joined.mapInArrow(_agree, PAIR).distinct()
 
     def texts(self, wanted: DataFrame) -> DataFrame:
-        """Texts of the documents in the one column given; the texts' other rows move, but are not sorted."""
-        wanted = stored(wanted.toDF("want").distinct())
-        return stored(self.source.join(wanted.hint("shuffle_hash"), self.source["doc_id"] == wanted["want"], "left_semi"))
+        """Texts of the numbers in the one column given; the texts' other rows move, but are not sorted."""
+        wanted = stored(wanted.toDF("rep").distinct().join(self.reps.select("rep", "doc_id", "tie"), "rep"))
+        return stored(self.source.join(wanted.hint("shuffle_hash"), ["doc_id", "tie"]).select("rep", "text"))
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs that the full sets confirm."""
         texts = self.texts(pairs.select("a").union(pairs.select("b")))
         joined = pairs.join(texts.toDF("b", "tb"), "b").join(texts.toDF("a", "ta"), "a").select("a", "b", "ta", "tb")
-        return stored(joined.mapInArrow(_confirm(self.arrow), f"a {self.sql}, b {self.sql}").distinct())
+        return stored(joined.mapInArrow(_confirm, PAIR).distinct())
 
     def left_over(self, members: DataFrame, parts: DataFrame) -> DataFrame:
         """Links that the stars missed, from buckets that still hold several components.
@@ -241,22 +236,26 @@ class Linker:
                 F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
             )
         )
-        texts = self.texts(nodes.select("rep")).toDF("rep", "text")
+        texts = self.texts(nodes.select("rep"))
         work = dealt.join(texts, "rep").groupBy("task", "alone", "block_a", "block_b")
-        return stored(work.applyInPandas(_block_links, f"a {self.sql}, b {self.sql}").distinct())
+        return stored(work.applyInPandas(_block_links, PAIR).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row: the size of its set, its component, and whether it stays."""
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, tie, n_shingles, component_id, leads) of each row."""
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"))
     kind = source.schema["doc_id"].dataType
-    sql = kind.simpleString()
-    signed = stored(source.mapInArrow(_sign(to_arrow_type(kind)), SIGNED.format(id=sql)), "lz4")
-    same = ["n_shingles", "set_a", "set_b"]
-    classes = stored(signed.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep")))
-    first = classes.select(F.col("rep").alias("doc_id"), *same)
-    reps = stored(signed.join(first, ["doc_id", *same], "left_semi").select("doc_id", "n_shingles", "bands", "signature"), "lz4")
-    keys = reps.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
+    signed = source.mapInArrow(_sign(to_arrow_type(kind)), SIGNED.format(id=kind.simpleString()))
+    signed = stored(signed.withColumn("row", F.monotonically_increasing_id()), "lz4")
+    same, named = ["n_shingles", "set_a", "set_b"], F.struct("doc_id", "tie", "row")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), named)).alias("first")
+    classes = stored(signed.where("n_shingles > 0").groupBy(*same).agg(first).select(*same, F.col("first.row").alias("rep"), "first"))
+    reps = stored(
+        signed.join(classes.select(F.col("rep").alias("row")), "row", "left_semi").select(
+            F.col("row").alias("rep"), "doc_id", "tie", "bands", "signature"
+        ), "lz4",
+    )
+    keys = reps.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot <> last")
     members = stored(keys.join(shared.select("key", "pivot"), "key"))
     linker = Linker(source, reps)
@@ -267,23 +266,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = linker.left_over(members, parts)
     if not more.isEmpty():
         parts = stored(connected_components(links.union(more)))
-    of_class = classes.join(parts, classes["rep"] == parts["node"], "left").select(
-        *same, F.coalesce("component", "rep").alias("component")
-    )
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return (
-        signed.select("doc_id", *same)
-        .join(of_class, same, "left")
-        .select("doc_id", "n_shingles", own.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Of a component the row of the smallest id leads; classes linked with nothing lead themselves.
+    placed = classes.join(parts, classes["rep"] == parts["node"], "left").select(*same, "component", "first")
+    linked = placed.where("component IS NOT NULL")
+    leaders = linked.groupBy("component").agg(F.min("first").alias("leader"))
+    of_class = linked.join(leaders, "component").select(*same, "leader").unionByName(
+        placed.where("component IS NULL").select(*same, F.col("first").alias("leader"))
     )
+    alone = F.col("n_shingles") == 0
+    is_leader = F.col("doc_id").eqNullSafe(F.col("leader.doc_id")) & F.col("tie").eqNullSafe(F.col("leader.tie"))
+    return signed.select("doc_id", "tie", *same).join(of_class, same, "left").select(
+        "doc_id", "tie", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("leader.doc_id")).alias("component_id"),
+        (alone | F.col("leader").isNull() | is_leader).alias("leads"),
+    )
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row: the size of its set, its component, whether its id is the component's, and whether it leads."""
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return _grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "leads")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; rows without an id cannot be named and stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = stored(found.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__near_id")).distinct())
-    return docs.join(gone.hint("shuffle_hash"), docs[id_col] == gone["__near_id"], "left_anti")
+    """The rows that lead their components, with all their columns; rows without an id cannot be named and stay."""
+    found = _grouped(docs, id_col, text_col).where("NOT leads AND doc_id IS NOT NULL")
+    gone = stored(found.select(F.col("doc_id").alias("__near_id"), F.col("tie").alias("__near_tie")).distinct())
+    same = (docs[id_col] == gone["__near_id"]) & (F.xxhash64(docs[text_col]) == gone["__near_tie"])
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -171,3 +171,47 @@ def test_fixity(spark, tmp_path):
 def test_fixity_of_nothing(spark):
     nothing = warc_fixity.tree(spark.createDataFrame([], warc_fixity.LEAVES))
     assert warc_fixity.audit(nothing, nothing).count() == 0
+
+
+def near_rows(rows):
+    """(id, text, set size, component) of each row; rows of one id are documents of their own."""
+    numbered = brute.near(list(enumerate(t for _, t in rows)))
+    least = {}
+    for place, (i, _) in enumerate(rows):
+        root = numbered[place][1]
+        least[root] = min(i, least.get(root, i))
+    return [(i, t, numbered[n][0], least[numbered[n][1]]) for n, (i, t) in enumerate(rows)]
+
+
+def test_rows_that_share_an_id(docs, monkeypatch):
+    words = [f"word{i}" for i in range(400)]
+    text = lambda at, n=40, change="": " ".join(words[at : at + n]) + change
+    rows = [(1, text(0)), (3, text(0, change=" x")), (3, text(100)), (5, text(100, change=" y")), (5, text(200)), (1, text(300))]
+    rows += [(9, text(40)), (9, text(40, change=" z")), (9, text(40, change=" z")), (9, None), (9, "")]
+    assert {(i, t): c for i, t, _, c in near_rows(rows)}[(3, text(100))] == 3
+    draw = random.Random(5)
+    rows += [(draw.randrange(20, 30), text(draw.randrange(0, 340, 20), 30, draw.choice(["", " q", " r s"]))) for _ in range(80)]
+    frame = docs(rows).repartition(3)
+    want = near_rows(rows)
+    for block in (512, 4):
+        monkeypatch.setattr(minhash, "BLOCK", block)
+        got = minhash.near_duplicates(frame).collect()
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((i, n, c) for i, _, n, c in want)
+    left = minhash.drop_near(frame).collect()
+    # One text of each component stays, of the smallest id; each component is there, so no text is lost.
+    sets = {}
+    for i, t, n, c in want:
+        if n:
+            sets.setdefault(brute_component(rows, t), []).append((i, t))
+    kept = {(r["doc_id"], r["text"]) for r in left if brute.shingle_set(r["text"])}
+    assert len(kept) == len(sets)
+    for members in sets.values():
+        (one,) = kept & set(members)
+        assert one[0] == min(i for i, _ in members)
+    assert [r["text"] for r in left if r["doc_id"] == 9 and not r["text"]] in ([None, ""], ["", None])
+
+
+def brute_component(rows, text):
+    """The number of the component that a text is in."""
+    texts = [t for _, t in rows]
+    return brute.near(list(enumerate(texts)))[texts.index(text)][1]
