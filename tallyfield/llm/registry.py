@@ -35,7 +35,5 @@ QUERIES = {
 ORACLES = {
     "op3_exact_dedup": exact_dedup.ORACLE,
     "op4_warc_fixity": warc_fixity.ORACLE,
-    "op11_periodic_runs": periodic_runs.query,
-    "op12_quality_trees": quality_classifier.query,
     "op13_hard_negatives": hard_negatives.ORACLE,
 }

@@ -161,11 +161,12 @@ def test_fixity(spark, tmp_path):
     again = warc_fixity.tree(warc_fixity.leaves_at(spark, f"{path}/replica=0", known))
     assert warc_fixity.audit(good, again).count() == 0
     one = warc_fixity.audit(good, warc_fixity.tree(warc_fixity.leaves_at(spark, f"{path}/replica=1", known))).collect()
-    assert [(r["shard"], r["leaf"]) for r in one] == [(1, 13)]
+    assert [(r["shard"], r["leaf"]) for r in one] == [(warc_fixity.CUTS, 13)]
     two = warc_fixity.audit(good, warc_fixity.tree(warc_fixity.leaves_at(spark, f"{path}/replica=2", known))).collect()
-    assert {r["shard"] for r in two} == {2} and min(r["leaf"] for r in two) == 22
-    lost = warc_fixity.tree(known.where("shard <> 2"))
-    assert warc_fixity.audit(good, lost).where("shard = 2").count() == 64
+    assert {r["shard"] for r in two} == {2 * warc_fixity.CUTS} and min(r["leaf"] for r in two) == 22
+    third = F.col("shard") == 2 * warc_fixity.CUTS
+    lost = warc_fixity.tree(known.where(~third))
+    assert warc_fixity.audit(good, lost).where(third).count() == 64
 
 
 def test_fixity_of_nothing(spark):
@@ -215,3 +216,69 @@ def brute_component(rows, text):
     """The number of the component that a text is in."""
     texts = [t for _, t in rows]
     return brute.near(list(enumerate(texts)))[texts.index(text)][1]
+
+
+def rotten(folder, change, checksums=False):
+    """Change a stored file; its side file of checksums goes too unless the file system shall notice."""
+    (file,) = folder.glob("part*")
+    if not checksums:
+        for side in folder.glob(".part*.crc"):
+            side.unlink()
+    change(file)
+
+
+def test_damage_on_disk(spark, tmp_path):
+    draw = random.Random(6)
+    rows = [(i, f"http://h/{i}", "".join(draw.choice("abcdefgh <>") for _ in range(900))) for i in range(64 * 7)]
+    path = str(tmp_path / "w")
+    warc_fixity.write(warc_fixity.records(pages(spark, rows), 64), path, 2)
+    known = warc_fixity.leaves(spark, f"{path}/replica=0")
+    assert sorted(int(r["name"]) for r in known.collect()) == list(range(len(rows)))
+    shard = lambda n: tmp_path / f"w/replica=1/shard={n * warc_fixity.CUTS}"
+
+    def flip(file):
+        raw = bytearray(file.read_bytes())
+        raw[len(raw) // 2] ^= 0x10
+        file.write_bytes(bytes(raw))
+
+    rotten(shard(1), flip)
+    rotten(shard(2), lambda file: file.write_bytes(file.read_bytes()[:-2000]))
+    rotten(shard(3), lambda file: file.write_bytes(b""))
+    rotten(shard(4), lambda file: file.unlink())
+    rotten(shard(5), flip, checksums=True)
+    found = warc_fixity.audit(warc_fixity.tree(known), warc_fixity.tree(warc_fixity.leaves_at(spark, f"{path}/replica=1", known)))
+    hit = {n: set() for n in range(7)}
+    for r in found.collect():
+        hit[r["shard"] // warc_fixity.CUTS].add(r["leaf"])
+    assert not hit[0] and not hit[6]
+    everything = set(range(64))
+    assert hit[3] == hit[4] == hit[5] == everything
+    # What lies before the damage is still sound; from there on nothing can be read.
+    for n in (1, 2):
+        assert hit[n] == set(range(min(hit[n]), 64)) and min(hit[n]) > 20
+    assert min(hit[2]) > 55
+
+
+def test_unpacking_stops_at_damage():
+    raw = bytes(random.Random(1).choices(range(97, 110), k=300_000))
+    packed = gzip.compress(raw)
+    assert warc_fixity.unpacked(packed) == raw and warc_fixity.unpacked(packed + gzip.compress(b"more")) == raw + b"more"
+    assert warc_fixity.unpacked(b"") == b"" and warc_fixity.unpacked(b"no gzip at all") == b""
+    cut = warc_fixity.unpacked(packed[: len(packed) // 2])
+    assert raw.startswith(cut) and len(cut) > len(raw) // 3
+    assert raw.startswith(warc_fixity.unpacked(packed[:-3]))
+
+
+def test_shards_are_cut_by_bytes_and_unnamed_rows_are_dealt(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc_fixity, "SHARD_BYTES", 3000)
+    rows = [(i, None, "y" * 400) for i in range(40)] + [(None, f"u{i}", f"z{i}") for i in range(90)]
+    path = str(tmp_path / "w")
+    warc_fixity.write(warc_fixity.records(pages(spark, rows), 16), path)
+    known = warc_fixity.leaves(spark, f"{path}/replica=0").collect()
+    assert len(known) == len(rows)
+    sizes = {}
+    for r in known:
+        sizes.setdefault(r["shard"], []).append(r["end"] - r["begin"])
+    assert all(sum(s) - s[-1] <= 3000 for s in sizes.values())
+    assert len([n for n in sizes if n >= 0]) >= 6 and len([n for n in sizes if n < 0]) >= 6
+    assert all((r["name"] == "") == (r["shard"] < 0) for r in known)
