@@ -232,28 +232,77 @@ def test_language_query(spark, sf_dir):
 
 
 def test_language_margin(documents):
-    found = language_id.learn(documents.where(~language_id.held_out()))
-    packers = language_id._packers(tuple(sorted(found.items())))
+    model = language_id.learn(documents.where(~language_id.held_out()))
+    packers, least = language_id._packers(tuple(sorted(model[0].items()))), model[1]
+    assert 0.005 < least <= language_id.MOST_LEAD
     draw = random.Random(9)
     junk = [" ".join("".join(draw.choices("bcdfghjklmnpqrstvwxz", k=7)) for _ in range(n)) for n in [5, 20, 60, 300] * 10]
-    assert sum(language_id.classify(text, packers)[2] for text in junk) >= 34
+    assert sum(language_id.classify(text, packers, least)[2] for text in junk) >= 34
     held = documents.where(language_id.held_out()).collect()
-    for lang in found:
-        clean = " ".join(r["text"] for r in held if r["lang"] == lang and language_id.classify(r["text"], packers)[0] == lang)
+    for lang in model[0]:
+        clean = " ".join(r["text"] for r in held if r["lang"] == lang and language_id.classify(r["text"], packers, least)[0] == lang)
         for size in (20_000, 16_000_000 if lang == "en" else 500_000):
             text = (clean * (size // len(clean) + 1))[:size]
-            got, lead, rejected = language_id.classify(text, packers)
+            got, lead, rejected = language_id.classify(text, packers, least)
             assert got == lang and lead > 0.05 and not rejected
 
 
+def test_least_lead():
+    right, wrong = [(x / 100, True) for x in range(6, 60)], [(0.004, False), (0.01, False), (0.0, False), (0.0, True)]
+    assert abs(language_id.least_lead(right + wrong) - 0.035) < 1e-9
+    assert language_id.least_lead(right) == 0.03
+    assert language_id.least_lead([]) == language_id.least_lead([(0.9, True)] * 3) == language_id.MOST_LEAD
+    assert 0.01 < language_id.least_lead([*right, (0.005, True), *wrong]) < 0.06
+
+
+def test_predictions_recomputed(documents):
+    """Every prediction again, from the dictionaries, one compressor and one text at a time."""
+    import unicodedata
+
+    import zstandard
+
+    model = language_id.learn(documents.where(~language_id.held_out()))
+    got = {r["doc_id"]: r for r in language_id.predict(documents, model).collect()}
+    for row in documents.limit(40).collect():
+        text = (row["text"] or "").lower()
+        words = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in text).split()
+        raw, sizes = " ".join(words).encode(), {}
+        if not raw:
+            assert got[row["doc_id"]]["lang_pred"] == "und"
+            continue
+        for lang, dictionary in model[0].items():
+            known = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            packer = zstandard.ZstdCompressor(
+                level=language_id.LEVEL, dict_data=known, write_content_size=False, write_checksum=False, write_dict_id=False
+            )
+            size = language_id.BLOCK_BYTES
+            sizes[lang] = sum(len(packer.compress(language_id.CARRIER + raw[at : at + size] + b" ")) for at in range(0, len(raw), size))
+        (least, best), (second, _) = sorted((n, lang) for lang, n in sizes.items())[:2]
+        one = got[row["doc_id"]]
+        assert (one["lang_pred"], one["score"]) == (best, (second - least) / second)
+        assert one["rejected"] == (one["score"] < model[1] or one["score"] == 0)
+
+
+def test_letters():
+    assert [language_id.letters(t) for t in ("½ ² ①", "Ⅷ ৪ 12_3", "", None, "٣ %")] == [b""] * 5
+    assert language_id.letters("Aé½b 日本 一 x2y_Z") == "aé b 日本 一 x y z".encode()
+
+
+def test_language_of_dirty_labels(docs, spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGS", 3)
+    rows = [(i, "the quick words of a text " * 5, lang) for i, lang in enumerate(["en"] * 30 + ["de"] * 20 + ["fr"] * 10 + [f"x{n}" for n in range(40)])]
+    found, least = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(found) == ["de", "en", "fr"] and 0 < least <= language_id.MOST_LEAD
+
+
 def test_language_edges(docs):
-    rows = [*EDGES, (8, "12 !! 34"), (9, "日本語")]
+    rows = [*EDGES, (8, "12 !! 34"), (8, "½ ² ①"), (9, "日本語")]
     none = language_id.learn(docs(rows))
-    assert none == {} and {r["lang_pred"] for r in language_id.predict(docs(rows), none).collect()} == {"und"}
-    got = language_id.predict(docs(rows), {"en": b"the house of the", "de": b"das haus der"}).collect()
+    assert none[0] == {} and {r["lang_pred"] for r in language_id.predict(docs(rows), none).collect()} == {"und"}
+    got = language_id.predict(docs(rows), ({"en": b"the house of the", "de": b"das haus der"}, 0.02)).collect()
     by = {(r["doc_id"], r["lang_pred"]) for r in got}
     assert {(1, "und"), (2, "und"), (3, "und"), (5, "und"), (8, "und")} <= by and len(got) == len(rows)
     assert {r["lang_pred"] for r in got} <= {"und", "en", "de"}
-    assert all(r["score"] == 1 for r in language_id.predict(docs([(1, "a b")]), {"en": b"the"}).collect())
-    kept = language_id.accepted(docs([(1, "the house of the house"), (2, None)]), {"en": b"the house of the", "de": b"das haus der"})
+    assert all(r["score"] == 1 for r in language_id.predict(docs([(1, "a b")]), ({"en": b"the"}, 0.02)).collect())
+    kept = language_id.accepted(docs([(1, "the house of the house"), (2, None)]), ({"en": b"the house of the", "de": b"das haus der"}, 0.02))
     assert kept.columns == docs([]).columns and [r["doc_id"] for r in kept.collect()] == [1]
