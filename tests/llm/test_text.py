@@ -148,7 +148,7 @@ def test_quality_edges(spark, docs):
 
 
 def main_of(page):
-    return [b.text for b in blocks(page) if b.main and not b.dropped]
+    return [b.text for b in blocks(page) if (b.article or b.main) and not b.dropped]
 
 
 def test_blocks():
@@ -306,3 +306,85 @@ def test_language_edges(docs):
     assert all(r["score"] == 1 for r in language_id.predict(docs([(1, "a b")]), ({"en": b"the"}, 0.02)).collect())
     kept = language_id.accepted(docs([(1, "the house of the house"), (2, None)]), ({"en": b"the house of the", "de": b"das haus der"}, 0.02))
     assert kept.columns == docs([]).columns and [r["doc_id"] for r in kept.collect()] == [1]
+
+
+def test_class_names_do_not_empty_pages():
+    def text_of(page):
+        return html_main.main_texts([blocks(page)], [1])[0]
+
+    for page in (
+        '<article class="post has-comments"><p>the story</p></article>', '<body class="no-sidebar page"><div>the story</div></body>',
+        '<html class="menu-closed"><body id="sidebar"><p>the story</p>', '<article><div class="notice-period">the story</div></article>',
+        '<main id="footer"><div class="social-science">the story</div></main>', '<div class="add headers advertorials">the story</div>',
+        '<article class="ad"><p>the story</p><div class="ad">buy</div></article>',
+    ):
+        assert text_of(page) == "the story", page
+    for name in ("sidebar", "x sidebar y", "site-header", "sidebar_left", "ad-slot-2", "cookie-banner", "main-menu", "COMMENTS"):
+        assert text_of(f'<div class="{name}">other</div><p>the story</p>') == "the story", name
+        assert text_of(f"<div id='{name.split()[-1]}'>other</div><p>the story</p>") == ("the story" if name != "x sidebar y" else "other\n\nthe story")
+
+
+SAFE, OTHER = ["", "post", "has-comments", "no-ad", "widgetry", "story-menu-x"], ["ad", "sidebar", "comments list", "nav-bar", "a cookie-banner"]
+
+
+def drawn_page(draw, depth, dropped, out, article):
+    """Nested elements with one text each; out gets the texts that belong to the page's main text."""
+    html = ""
+    for _ in range(draw.randrange(1, 4)):
+        name = draw.choice(["div", "section", "p", "ul", "nav", "footer", "form", "span-less"])
+        if name == "span-less":
+            html += draw.choice(["<!-- <p>no</p> -->", "<script>var a='<p>no</p>'</script>", "<style>p{}</style>", "<hr>", "<img alt='<no'>"])
+            continue
+        other = draw.random() < 0.25 and name in ("div", "section", "p")
+        words = draw.choice(OTHER if other else SAFE)
+        quote = draw.choice(['"', "'"])
+        gone = dropped or other or name in ("nav", "footer", "form")
+        text = f"t{draw.randrange(10**9)} &amp;  &lt;x&gt;\n y"
+        html += f"<{name} {draw.choice(['class', 'id'])}={quote}{words}{quote}>" if words else f"<{name}>"
+        if name == "ul":
+            html += f"<li>{text}<li>{text}</ul>"
+            count = 2
+        else:
+            html += f"<b>{text[:3]}</b>{text[3:]}"
+            count = 1
+        if not gone:
+            out += [" ".join(text.replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">").split())] * count
+        if name != "ul":
+            if depth and name != "p":
+                html += drawn_page(draw, depth - 1, gone, out, article)
+            html += f"</{name}>"
+    return html
+
+
+def test_tag_reader_on_drawn_pages():
+    draw, some = random.Random(12), 0
+    for _ in range(400):
+        kind, out, outside = draw.choice(["article", "main", "body"]), [], []
+        inner = drawn_page(draw, 3, False, out, kind)
+        before, after = (drawn_page(draw, 1, False, outside, kind) for _ in range(2))
+        page = inner if kind == "body" else f"{before}<{kind} class='{draw.choice(SAFE + OTHER)}'>{inner}</{kind}>{after}"
+        page = f"<html class='menu-open'><head><title>no</title></head><body class='{draw.choice(SAFE)}'>{page}</body></html>"
+        if kind != "body" and not out:
+            out = outside if not any(b.article or b.main for b in blocks(page) if not b.dropped) else out
+        assert html_main.main_texts([blocks(page)], [1])[0] == "\n\n".join(out), page
+        some += len(out)
+    assert some > 500
+
+
+def test_array_decides_inside_main(spark):
+    """Pages with a main element and no article: passages that pages of a host share go, wherever pages are dealt."""
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("abcdefgh", k=6))
+    shared = " ".join(word() for _ in range(9))
+    own = {i: " ".join(word() for _ in range(30)) for i in range(40)}
+    rows = [(i, "http://h/x", f"<div>out</div><main><p>{shared}</p><p>{own[i]}</p></main>") for i in own]
+    rows += [(100 + i, "http://h/x", f"<main><article><p>{shared}</p><p>{own[i]} a</p></article></main>") for i in range(3)]
+    rows += [(None, "http://h/x", f"<main><p>{shared}</p><p>none {n}</p></main>") for n in range(3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1000, 7):
+        got = {}
+        for r in html_main.extract(frame, size).collect():
+            got.setdefault(r["page_id"], []).append(r["text"])
+        assert all(got[i] == [own[i]] for i in own)
+        assert all(got[100 + i] == [f"{shared}\n\n{own[i]} a"] for i in range(3))
+        assert sorted(got[None]) == [f"none {n}" for n in range(3)]
