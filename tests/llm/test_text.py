@@ -379,7 +379,7 @@ def test_array_decides_inside_main(spark):
     own = {i: " ".join(word() for _ in range(30)) for i in range(40)}
     rows = [(i, "http://h/x", f"<div>out</div><main><p>{shared}</p><p>{own[i]}</p></main>") for i in own]
     rows += [(100 + i, "http://h/x", f"<main><article><p>{shared}</p><p>{own[i]} a</p></article></main>") for i in range(3)]
-    rows += [(None, "http://h/x", f"<main><p>{shared}</p><p>none {n}</p></main>") for n in range(3)]
+    rows += [(None, "http://h/x", f"<main><p>{shared}</p><p>{n}one own</p></main>") for n in range(3)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     for size in (1000, 7):
         got = {}
@@ -387,4 +387,4 @@ def test_array_decides_inside_main(spark):
             got.setdefault(r["page_id"], []).append(r["text"])
         assert all(got[i] == [own[i]] for i in own)
         assert all(got[100 + i] == [f"{shared}\n\n{own[i]} a"] for i in range(3))
-        assert sorted(got[None]) == [f"none {n}" for n in range(3)]
+        assert sorted(got[None]) == [f"{n}one own" for n in range(3)]
