@@ -152,17 +152,32 @@ def leaves(spark: SparkSession, path: str) -> DataFrame:
 
 
 def leaves_at(spark: SparkSession, path: str, known: DataFrame) -> DataFrame:
-    """The same for a replica, at the ranges of known leaves; one file's ranges travel with it."""
+    """The same for a replica, at the ranges of known leaves.
+
+    Where a file's own cuts are those ranges it is done; only the other files are read once more,
+    and the ranges of each travel with it.
+    """
+    own = stored(leaves(spark, path))
+
+    def ranges_of(of: DataFrame) -> DataFrame:
+        place = F.xxhash64("leaf", "begin", "end")
+        return of.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(place).alias("x"), F.max("end").alias("size"))
+
+    same = ranges_of(known).intersect(ranges_of(own)).select("shard")
+    moved = stored(known.join(same, "shard", "left_anti").groupBy("shard").agg(
+        F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("ranges")
+    ))
+    if moved.isEmpty():
+        return own
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content, ranges in zip(*batch.columns, strict=True):
-                at = [(r["begin"], r["end"]) for r in ranges.as_py() or []]
-                raw = unpacked(content.as_py())
-                yield _batch(_leaf_rows(shard.as_py(), raw, at or cut(raw)))
+                at = [(r["begin"], r["end"]) for r in ranges.as_py()]
+                yield _batch(_leaf_rows(shard.as_py(), unpacked(content.as_py()), at))
 
-    ranges = known.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("ranges"))
-    return _files(spark, path).join(ranges, "shard", "left").select("shard", "content", "ranges").mapInArrow(work, LEAVES)
+    again = _files(spark, path).join(moved, "shard").select("shard", "content", "ranges").mapInArrow(work, LEAVES)
+    return own.join(moved.select("shard"), "shard", "left_anti").unionByName(again)
 
 
 def tree(of: DataFrame) -> DataFrame:
