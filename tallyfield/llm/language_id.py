@@ -61,15 +61,20 @@ UNKNOWN = "und"
 #: and no dictionary would show.
 CARRIER = b"\n" * 256 + b" "
 
+_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
 @lru_cache(maxsize=1)
-def _no_letters() -> re.Pattern:
-    """Runs of characters that are no letters; Python's word characters hold numerals too."""
-    numerals = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isalnum() and not chr(c).isalpha()]
-    return re.compile(rf"[\W_{re.escape(''.join(numerals))}]+")
+def _numerals() -> frozenset[str]:
+    """Python's word characters that are neither letters nor decimal digits."""
+    return frozenset(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
 
 
 def letters(text: str | None) -> bytes:
-    return _no_letters().sub(" ", (text or "").lower()).strip().encode()
+    lowered = (text or "").lower()
+    if not lowered.isascii() and not _numerals().isdisjoint(lowered):
+        lowered = "".join([" " if c in _numerals() else c for c in lowered])
+    return _NO_LETTERS.sub(" ", lowered).strip().encode()
 
 
 def _draw(salt: str) -> F.Column:
