@@ -38,6 +38,20 @@ def stddev2(c: Column) -> Column:
     return F.sqrt(ratio(above, n * (n - F.lit(1)))) / F.lit(100.0)
 
 
+def bitmap_bucket(c: Column) -> Column:
+    """The bucket of an integer; distinct integers of one bucket fit in one bitmap of 4 KB."""
+    return F.bitmap_bucket_number(c.cast("bigint"))
+
+
+def bitmap_of(c: Column) -> Column:
+    """Aggregate: the integers of a group that lies in one bucket, as a bitmap; NULLs are left out.
+
+    ``sum(bitmap_count(...))`` over the buckets is the exact distinct count. It combines map-side,
+    and several of them need one pass where ``count_distinct`` copies the rows for each.
+    """
+    return F.bitmap_construct_agg(F.bitmap_bit_position(c.cast("bigint")))
+
+
 def ratio(a: Column, b: Column) -> Column:
     """a / b in doubles, NULL when b is zero."""
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators.matching import EXACT, PARTIAL, exact_matches, link_players, ranked_names, roster_names, unmatched_entries
 from tallyfield.functions.names import name_key, position_key
-from tallyfield.functions.exact import ratio
+from tallyfield.functions.exact import bitmap_bucket, bitmap_of, ratio
 from tallyfield.schemas import TABLES
 
 RAW_COLUMNS = tuple(TABLES["raw_ecr_rankings"].types)
@@ -29,22 +29,31 @@ def coverage_by_year(raw: DataFrame) -> DataFrame:
 
 
 def verify(raw: DataFrame) -> DataFrame:
-    """Totals, missing values and year range in one row, one pass."""
+    """Totals, missing values and year range in one row, one pass; years are counted by bitmaps."""
     def blank(c: str):
         return F.col(c).isNull() | (F.col(c) == "")
 
-    early = F.col("before_preseason")
-    return raw.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(blank("player_name")).alias("missing_player_names"),
-        F.count_if(blank("position")).alias("missing_positions"),
-        F.count_if(F.col("rank").isNull()).alias("missing_ranks"),
-        F.count_if(F.col("avg_rank").isNull()).alias("missing_avg_ranks"),
-        F.min("year").alias("min_year"),
-        F.max("year").alias("max_year"),
-        F.count_distinct("year").alias("unique_years"),
-        F.count_distinct(F.when(early, F.col("year"))).alias("years_with_prepreseason"),
-        F.count_distinct(F.when(~early, F.col("year"))).alias("years_with_preseason"),
+    early, year = F.col("before_preseason"), F.col("year")
+    sums = {
+        "total_records": F.count(F.lit(1)),
+        "missing_player_names": F.count_if(blank("player_name")),
+        "missing_positions": F.count_if(blank("position")),
+        "missing_ranks": F.count_if(F.col("rank").isNull()),
+        "missing_avg_ranks": F.count_if(F.col("avg_rank").isNull()),
+    }
+    years = {
+        "unique_years": year,
+        "years_with_prepreseason": F.when(early, year),
+        "years_with_preseason": F.when(~early, year),
+    }
+    by_bucket = raw.groupBy(bitmap_bucket(year).alias("_bucket")).agg(
+        *[c.alias(name) for name, c in sums.items()], F.min("year").alias("min_year"), F.max("year").alias("max_year"),
+        *[bitmap_of(c).alias(name) for name, c in years.items()],
+    )
+    return by_bucket.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in sums],
+        F.min("min_year").alias("min_year"), F.max("max_year").alias("max_year"),
+        *[F.coalesce(F.sum(F.bitmap_count(name)), F.lit(0)).cast("bigint").alias(name) for name in years],
     )
 
 
