@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tallyfield.functions.typing import align, rename_reserved, with_audit
 from tallyfield.operators.replace import next_ids
 from tallyfield.schemas import REFRESH_STATUSES, TABLES, TableSpec
-from tallyfield.sources import profiles
+from tallyfield.sources import keyfilters, profiles
 from tallyfield.sources.switch import Switch
 
 LOG_TABLE = "data_refresh_log"
@@ -193,6 +193,16 @@ class Warehouse:
         writer.parquet(self.path(table))
         profiles.forget(self, table)
 
+    # -- keys ----------------------------------------------------------------------------
+
+    def known_keys(self, batch: DataFrame, table: str, keys: Sequence[str] | None = None) -> DataFrame:
+        """Keys of a batch that are stored already or repeat in it: (keys, batch_rows, stored_rows).
+
+        ``keys`` are the table's declared ones unless given. Filters kept beside the table leave
+        only the partitions to read that may hold one of them; nothing is written to the table.
+        """
+        return keyfilters.known_keys(self, table, rename_reserved(batch), list(keys or TABLES[table].key))
+
     # -- refresh log -------------------------------------------------------------------
 
     def _log(self) -> DataFrame:
