@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyfield.operators import quality
 from tallyfield.plans import ranks, refresh, reports
+from tallyfield.schemas import LOAD_TABLES
 from tallyfield.session import tune
-from tallyfield.sources import rankfiles
+from tallyfield.sources import quarantine, rankfiles
 from tallyfield.sources.landing import Landing
 from tallyfield.sources.warehouse import Warehouse, export
 
@@ -36,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="parquet", choices=("parquet", "orc", "csv", "json"), help="landing format")
     p.add_argument("--limit", type=int, default=SHOWN, help="rows printed of a result; 0 prints all")
     p.add_argument("--output", help="write results here instead: a target ending in .csv or .parquet, else JSON lines")
+    p.add_argument("--keep-rejects", action="store_true", help="loads keep rows with cells that do not convert")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("extract").add_argument("seasons", nargs="+", type=int)
     one = sub.add_parser("refresh-season")
@@ -57,6 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     q.add_argument("--output", dest="query_output", help="as the option of the same name before the command")
     sub.add_parser("validate")
     sub.add_parser("schema")
+    sub.add_parser("rejects", help="cells that did not convert, counted by load, column and reason").add_argument("tables", nargs="*")
     return p
 
 
@@ -92,9 +95,9 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             raise SystemExit("--landing is needed")
         landing = Landing(spark, args.landing, args.format)
         if args.command == "extract":
-            counts = refresh.extract_all(store, landing, args.seasons)
+            counts = refresh.extract_all(store, landing, args.seasons, keep_rejects=args.keep_rejects)
         elif args.command == "refresh-season":
-            counts = refresh.refresh_season(store, landing, args.season, args.tables)
+            counts = refresh.refresh_season(store, landing, args.season, args.tables, keep_rejects=args.keep_rejects)
         else:
             counts = {"weekly_stats": refresh.refresh_week(store, landing, args.season, args.week)}
         for table, n in counts.items():
@@ -138,6 +141,8 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             _show(result)
     elif args.command == "validate":
         _show(reports.kept_report(store))
+    elif args.command == "rejects":
+        _show(quarantine.report(store, args.tables or LOAD_TABLES))
     elif args.command == "schema":
         _show(quality.describe(spark, store.frames()))
     return 0

@@ -117,8 +117,60 @@ def convert(name: str, source: T.DataType, target: T.DataType) -> Column:
     return clean_text(c)
 
 
-def typed(df: DataFrame, table: str) -> DataFrame:
-    """Every column of ``df`` in its declared type, in one projection."""
+def is_missing(c: Column) -> Column:
+    """Is there no value, or a text that stands for none? Such a cell loses nothing by becoming NULL."""
+    return c.isNull() | F.lower(strip(c.cast("string"))).isin(*[t.lower() for t in NULL_TEXTS])
+
+
+def _never_fails(source: T.DataType, target: T.DataType) -> bool:
+    """Has each value of one type a meaning in the other?"""
+    if isinstance(target, T.StringType) or source == target:
+        return True
+    if isinstance(target, T.DoubleType):
+        return isinstance(source, (T.NumericType, T.BooleanType))
+    if isinstance(target, (T.IntegerType, T.LongType)):
+        return isinstance(source, (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType))
+    return isinstance(target, T.TimestampType) and isinstance(source, (T.DateType, T.TimestampNTZType))
+
+
+def rejected(name: str, source: T.DataType, target: T.DataType) -> Column | None:
+    """(column, reason, text) of a cell that holds something and becomes NULL, else NULL.
+
+    Reasons: ``number``, ``fraction`` and ``range`` (numbers that are not whole, or too large, for a
+    whole-number column), ``flag``, ``date``, ``time``. None for a conversion that cannot fail.
+    """
+    if _never_fails(source, target):
+        return None
+    c, d = F.col(f"`{name}`"), to_double(name, source)
+    if isinstance(target, (T.IntegerType, T.LongType)):
+        # A double from 2 ** 53 on is whole, and from 2 ** 63 on larger than floor() can say.
+        part = (F.abs(d) < 2.0**53) & (d != F.floor(d))
+        reason = F.when(d.isNull(), "number").when(part, "fraction").otherwise("range")
+    elif isinstance(target, T.BooleanType):
+        reason = F.lit("flag")
+    elif isinstance(target, T.DateType):
+        reason = F.lit("date")
+    elif isinstance(target, T.TimestampType):
+        reason = F.lit("time")
+    else:
+        reason = F.lit("number")
+    lost = ~is_missing(c) & convert(name, source, target).isNull()
+    return F.when(lost, F.struct(F.lit(name).alias("column"), reason.alias("reason"), c.cast("string").alias("text")))
+
+
+def rejects(df: DataFrame, table: str) -> Column:
+    """The cells of a landed row that do not convert to their declared types: an array, mostly empty."""
+    cells = []
+    for f in df.schema.fields:
+        if f.name not in AUDIT_COLUMNS and f.name != "gametime":
+            cells.append(rejected(f.name, f.dataType, declared_type(table, f.name, f.dataType)))
+    cells = [c for c in cells if c is not None]
+    kind = "array<struct<column: string, reason: string, text: string>>"
+    return F.filter(F.array(*cells), lambda c: c.isNotNull()).cast(kind) if cells else F.array().cast(kind)
+
+
+def typed_columns(df: DataFrame, table: str) -> list[Column]:
+    """Every column of ``df`` in its declared type."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -128,7 +180,12 @@ def typed(df: DataFrame, table: str) -> DataFrame:
             out.append(clean_time_text(c).alias(f.name))
         else:
             out.append(convert(f.name, f.dataType, declared_type(table, f.name, f.dataType)).alias(f.name))
-    return df.select(*out)
+    return out
+
+
+def typed(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with its columns in their declared types, in one projection."""
+    return df.select(*typed_columns(df, table))
 
 
 def rename_reserved(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from tallyfield.operators.fingerprints import changed_groups, input_fingerprints
 from tallyfield.plans.ranks import linked_rankings
 from tallyfield.plans.season_summary import season_summary
 from tallyfield.schemas import LOAD_TABLES, SEASON_TABLES, TABLES
+from tallyfield.sources import quarantine
 from tallyfield.sources.landing import Landing
 from tallyfield.sources.profiles import inside
 from tallyfield.sources.rankfiles import FILE_GLOB, read_rankings
@@ -23,14 +24,20 @@ ALL_SEASONS = 0
 SEASON_TYPE = "ALL"
 
 
-def load_table(warehouse: Warehouse, landing: Landing, table: str, seasons: Sequence[int] = ()) -> int:
+def load_table(
+    warehouse: Warehouse, landing: Landing, table: str, seasons: Sequence[int] = (), *, keep_rejects: bool = False
+) -> int:
     """Load one table for the given seasons in one job; returns rows written.
 
     Success and failure are both logged, one entry per season; a failure is raised again.
+    ``keep_rejects`` also keeps the rows with cells that do not convert, see ``quarantine``.
     """
     units = list(seasons) if TABLES[table].by_season else [ALL_SEASONS]
     try:
-        rows, by_season = warehouse.insert_counted(landing.read(table, seasons or None), table, seasons)
+        if keep_rejects:
+            rows, by_season = quarantine.insert_checked(warehouse, landing, table, seasons)
+        else:
+            rows, by_season = warehouse.insert_counted(landing.read(table, seasons or None), table, seasons)
     except Exception as e:
         message = f"{table}: {type(e).__name__}: {e}"
         warehouse.log_refreshes([(table, unit, None, SEASON_TYPE, "FAILED", message, 0) for unit in units])
@@ -41,27 +48,29 @@ def load_table(warehouse: Warehouse, landing: Landing, table: str, seasons: Sequ
     return rows
 
 
-def _load_each(warehouse: Warehouse, landing: Landing, tables: Iterable[str], seasons: Sequence[int]) -> dict[str, int]:
+def _load_each(
+    warehouse: Warehouse, landing: Landing, tables: Iterable[str], seasons: Sequence[int], **options
+) -> dict[str, int]:
     counts = {}
     for table in tables:
         try:
-            counts[table] = load_table(warehouse, landing, table, seasons)
+            counts[table] = load_table(warehouse, landing, table, seasons, **options)
         except Exception:
             logger.exception("loading %s failed", table)
             counts[table] = 0
     return counts
 
 
-def extract_all(warehouse: Warehouse, landing: Landing, seasons: Sequence[int]) -> dict[str, int]:
-    """Load every table for all ``seasons``; a table that fails does not stop the rest."""
-    return _load_each(warehouse, landing, LOAD_TABLES, seasons)
+def extract_all(warehouse: Warehouse, landing: Landing, seasons: Sequence[int], **options) -> dict[str, int]:
+    """Load every table for all ``seasons``; a table that fails does not stop the rest. Options as load_table()."""
+    return _load_each(warehouse, landing, LOAD_TABLES, seasons, **options)
 
 
 def refresh_season(
-    warehouse: Warehouse, landing: Landing, season: int, tables: Sequence[str] | None = None
+    warehouse: Warehouse, landing: Landing, season: int, tables: Sequence[str] | None = None, **options
 ) -> dict[str, int]:
-    """Reload one season of the chosen tables."""
-    return _load_each(warehouse, landing, tables or SEASON_TABLES, [season])
+    """Reload one season of the chosen tables. Options as load_table()."""
+    return _load_each(warehouse, landing, tables or SEASON_TABLES, [season], **options)
 
 
 def refresh_week(warehouse: Warehouse, landing: Landing, season: int, week: int) -> int:

@@ -124,7 +124,7 @@ def _dbl(c: str) -> str:
 
 
 def _int(c: str) -> str:
-    return f"CASE WHEN {_dbl(c)} = floor({_dbl(c)}) THEN CAST({_dbl(c)} AS INTEGER) END"
+    return f"CASE WHEN {_dbl(c)} = floor({_dbl(c)}) THEN TRY_CAST({_dbl(c)} AS INTEGER) END"
 
 
 def _flag(c: str) -> str:
@@ -738,3 +738,48 @@ ORACLES["load_csv"] = ORACLES["load_json"] = ORACLES["load_parquet"]
 ORACLES["reload_season"] = with_tables(["weekly"], f"""
     SELECT season, week, count(*) AS row_count, CAST(sum(attempts) AS BIGINT) AS attempts FROM weekly
     WHERE season IN ({SEASON}, {SEASON + 1}) GROUP BY season, week""")
+
+# -- keys, lost cells ----------------------------------------------------------------------------------------
+
+ORACLES["store_known_keys"] = with_tables(["plays"], f"""
+    WITH stored AS (SELECT game_id, play_id, count(*) AS n FROM plays WHERE season IS DISTINCT FROM {SEASON} GROUP BY ALL),
+    named AS (SELECT game_id, CASE WHEN yardline_100 % 8 = 1 THEN play_id || 'x' ELSE play_id END AS play_id FROM plays),
+    batch AS (SELECT game_id, play_id, CAST(sum(CASE WHEN play_id = '3' THEN 2 ELSE 1 END) AS BIGINT) AS batch_rows
+              FROM named GROUP BY ALL)
+    SELECT b.game_id, b.play_id, batch_rows, coalesce(n, 0) AS stored_rows
+    FROM batch b LEFT JOIN stored s ON b.game_id = s.game_id AND b.play_id = s.play_id
+    WHERE batch_rows > 1 OR n IS NOT NULL""")
+
+_DIRTY_GAMES = _texts(
+    season=rq._TEXT_SEASON, gameday=rq._TEXT_DATE, overtime=rq._TEXT_FLAG, home_score=rq._TEXT_NUMBER,
+    spread_line=rq._TEXT_NUMBER,
+)
+
+
+def _lost(column: str, value: str, reason: str) -> str:
+    return f"""
+    SELECT {_tag('G', 'event_id')} AS game_id, season AS season_text, '{column}' AS "column", {reason} AS reason, {column} AS text
+    FROM games WHERE {column} IS NOT NULL AND lower(trim({column})) NOT IN ('', 'nan', 'none') AND ({value}) IS NULL"""
+
+
+def _why(column: str) -> str:
+    number = _dbl(column)
+    return f"CASE WHEN ({number}) IS NULL THEN 'number' WHEN ({number}) <> floor({number}) THEN 'fraction' ELSE 'range' END"
+
+
+# A blank cell of a CSV file is read as NULL, so blanks are no lost cells either way.
+_LOST_CELLS = f"""
+    WITH games AS (SELECT * FROM ({_DIRTY_GAMES}) WHERE ({_int('season')}) BETWEEN 1996 AND 2001
+      OR ({_int('season')}) IS NULL AND season IS NOT NULL AND lower(trim(season)) NOT IN ('', 'nan', 'none')),
+    lost AS ({' UNION ALL '.join((
+        _lost('season', _int('season'), _why('season')),
+        _lost('home_score', _int('home_score'), _why('home_score')),
+        _lost('spread_line', _dbl('spread_line'), "'number'"),
+        _lost('gameday', 'TRY_CAST(gameday AS DATE)', "'date'"),
+        _lost('overtime', _flag('overtime'), "'flag'"),
+    ))})"""
+ORACLES["quarantine_rows"] = f"{_LOST_CELLS} SELECT * FROM lost"
+ORACLES["load_rejects"] = f"""{_LOST_CELLS}
+    SELECT 'schedules' AS table_name, "column", reason, count(*) AS cells, min(text) AS example FROM lost GROUP BY 2, 3
+    UNION ALL
+    SELECT 'schedules', 'loaded', NULL, count(*), NULL FROM games WHERE ({_int('season')}) BETWEEN 1996 AND 2001"""

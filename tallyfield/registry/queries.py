@@ -18,7 +18,7 @@ from tallyfield.plans import season_summary as ss
 from tallyfield.plans.refresh import extract_all, load_table, rebuild_summary, refresh_season, refresh_week
 from tallyfield.registry import standins as s
 from tallyfield.session import scratch_dir
-from tallyfield.sources import rankfiles
+from tallyfield.sources import quarantine, rankfiles
 from tallyfield.sources.landing import Landing
 from tallyfield.sources.warehouse import Warehouse, export, last_refresh, player_positions
 
@@ -349,6 +349,53 @@ def typed_plays(spark, sf):
     return out.withColumn("game_date", F.date_format("game_date", "yyyy-MM-dd"))
 
 
+_TEXT_SEASON = (
+    "CASE event_id % 11 WHEN 3 THEN props WHEN 5 THEN '1999.5' WHEN 6 THEN 'nan' WHEN 7 THEN '99999999999' "
+    "ELSE concat(CAST(1995 + event_id % 7 AS STRING), '.0') END"
+)
+
+
+def _rejecting_load(spark: SparkSession, sf: str) -> Warehouse:
+    """Games as dirty text files, loaded by the job for the seasons from 1996 on, with a quarantine."""
+    folder = scratch_dir(spark)
+    landed = _texts(
+        spark, sf, game_id=s._tag("G", "event_id"), season=_TEXT_SEASON, week="CAST(1 + event_id % 17 AS STRING)",
+        gameday=_TEXT_DATE, overtime=_TEXT_FLAG, home_score=_TEXT_NUMBER, spread_line=_TEXT_NUMBER, stadium=_TEXT_CELL,
+    ).drop("event_id")
+    landed.write.option("header", True).csv(f"{folder}/landing/schedules")
+    store = Warehouse(spark, f"{folder}/store")
+    load_table(store, Landing(spark, f"{folder}/landing", "csv"), "schedules", range(1996, 2002), keep_rejects=True)
+    return store
+
+
+def load_rejects(spark, sf):
+    """Cells that did not convert, by column and reason, beside the rows that were loaded all the same."""
+    store = _rejecting_load(spark, sf)
+    loaded = store.read("schedules").agg(F.count(F.lit(1)).alias("cells")).select(
+        F.lit("schedules").alias("table_name"), F.lit("loaded").alias("column"), F.lit(None).cast("string").alias("reason"),
+        "cells", F.lit(None).cast("string").alias("example"),
+    )
+    return quarantine.report(store, ["schedules"]).select(*loaded.columns).unionByName(loaded)
+
+
+def quarantine_rows(spark, sf):
+    """Every lost cell with its text, and the row it stood in as it landed."""
+    cells = quarantine.cells(_rejecting_load(spark, sf), "schedules")
+    row = F.from_json("landed", "game_id string, season string")
+    return cells.select(row["game_id"].alias("game_id"), row["season"].alias("season_text"), "column", "reason", "text")
+
+
+def store_known_keys(spark, sf):
+    """Play keys of a batch that are stored or come twice: all plays, a quarter renamed, one season not stored."""
+    plays = s.plays(spark, sf)
+    store = Warehouse(spark, scratch_dir(spark))
+    store.insert(plays.where(~F.col("season").eqNullSafe(F.lit(SEASON))), "pbp_data")
+    renamed = F.when(F.col("yardline_100") % 8 == 1, F.concat("play_id", F.lit("x"))).otherwise(F.col("play_id"))
+    batch = plays.withColumn("play_id", renamed).select("game_id", "play_id")
+    twice = batch.where("play_id = '3'")
+    return store.known_keys(batch.unionByName(twice), "pbp_data")
+
+
 #: Table -> the stand-in that lands in it.
 LANDED = {
     "teams": s.teams, "players": s.players, "schedules": s.schedules, "pbp_data": s.plays, "weekly_stats": s.weekly,
@@ -833,4 +880,7 @@ QUERIES: dict[str, Query] = {
     "summary_by_change": summary_by_change,
     "summary_checks": summary_checks,
     "sql_params": sql_params,
+    "load_rejects": load_rejects,
+    "quarantine_rows": quarantine_rows,
+    "store_known_keys": store_known_keys,
 }

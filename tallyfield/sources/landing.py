@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfield.functions.scoring import score
-from tallyfield.functions.typing import rename_reserved, to_int, typed
+from tallyfield.functions.typing import is_missing, rename_reserved, to_int, typed
 from tallyfield.schemas import RESERVED_RENAMES, TABLES
 
 
@@ -63,6 +63,15 @@ class Landing:
         df = typed(rename_reserved(df), table)
         return score(df) if spec.scored else df
 
+    def landed(self, table: str, seasons: Iterable[int] | None = None) -> DataFrame:
+        """Rows as they landed, of some seasons and of none that can be read."""
+        df = self.raw(table)
+        if seasons is not None and TABLES[table].by_season and "season" in df.columns:
+            season = _whole_number(df, "season")
+            unread = season.isNull() & ~is_missing(F.col("season"))
+            df = df.where(season.isin([int(s) for s in seasons]) | unread)
+        return rename_reserved(df)
+
 
 def _whole_number(df: DataFrame, name: str) -> Column:
     """The column itself if it holds numbers, so that filters reach the scan; text is parsed."""
