@@ -8,11 +8,13 @@ aggregation wherever the result allows it, so hot players or teams are small bef
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.functions.exact import avg2, hundredths, ratio, stddev2, sum2
+from tallyfield.operators.bands import around
 from tallyfield.operators.team_games import team_games
 
 # --- fixed values ---
@@ -386,6 +388,32 @@ def injury_impact(
     )
 
 
+def injury_days(
+    games: DataFrame, injuries: DataFrame, days: int = 28, healthy: str = "Healthy", min_games: int = 3
+) -> DataFrame:
+    """Points in the days before and after each injury report, by date instead of by week.
+
+    ``games`` has player_name, game_date and points, ``injuries`` player_name, report_date and designation. A
+    player's reports of one day are one row, with their number. Games of that day count on neither side.
+    """
+    length = timedelta(days=days)
+    facts = games.select(
+        "player_name", F.col("game_date").alias("report_date"), hundredths(F.col("fantasy_points_std")).alias("cents"),
+        F.col("fantasy_points_std").isNotNull().cast("int").alias("scored"),
+    )
+    reports = injuries.where(F.col("injury_designation") != healthy)
+    bands = around(facts, reports, ["player_name"], "report_date", ["cents", "scored"], length, length)
+
+    def average(side: str) -> Column:
+        return F.col(f"cents_{side}") / F.lit(100.0) / F.nullif(F.col(f"scored_{side}"), F.lit(0))
+
+    return bands.select(
+        "player_name", "report_date", F.col("events").alias("reports"),
+        F.col("facts_before").alias("pre_injury_games"), average("before").alias("pre_injury_avg"),
+        F.col("facts_after").alias("post_injury_games"), average("after").alias("post_injury_avg"),
+    ).where((F.col("pre_injury_games") >= min_games) & (F.col("post_injury_games") >= min_games))
+
+
 def month_label(week: Column) -> Column:
     """Calendar month a week falls into, by its number."""
     (first, name), *rest = MONTHS

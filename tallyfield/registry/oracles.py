@@ -783,3 +783,30 @@ ORACLES["load_rejects"] = f"""{_LOST_CELLS}
     SELECT 'schedules' AS table_name, "column", reason, count(*) AS cells, min(text) AS example FROM lost GROUP BY 2, 3
     UNION ALL
     SELECT 'schedules', 'loaded', NULL, count(*), NULL FROM games WHERE ({_int('season')}) BETWEEN 1996 AND 2001"""
+
+# -- bands of time, as range joins ---------------------------------------------------------------------------
+
+ORACLES["injury_days"] = f"""
+    WITH games AS (
+      SELECT {_tag('Player ', rq.HOT_SUPPLIER)} AS player_name, CAST(l_shipdate AS DATE) AS day,
+             CASE WHEN l_linenumber < 6 THEN l_quantity END AS points FROM lineitem),
+    reports AS (
+      SELECT {_tag('Player ', rq.HOT_USER)} AS player_name, DATE '1995-01-01' + CAST({rq.REPORT_DAY} AS INTEGER) AS day,
+             count(*) AS reports
+      FROM events WHERE event_type IN ('error', 'signup') GROUP BY ALL),
+    pairs AS (
+      SELECT r.player_name, r.day, reports, g.points, g.day < r.day AS pre, g.day > r.day AS post
+      FROM reports r JOIN games g ON g.player_name = r.player_name AND g.day BETWEEN r.day - 28 AND r.day + 28)
+    SELECT player_name, strftime(day, '%Y-%m-%d') AS report_date, reports,
+           count(*) FILTER (pre) AS pre_injury_games, {_avg2('CASE WHEN pre THEN points END')} AS pre_injury_avg,
+           count(*) FILTER (post) AS post_injury_games, {_avg2('CASE WHEN post THEN points END')} AS post_injury_avg
+    FROM pairs GROUP BY player_name, day, reports HAVING count(*) FILTER (pre) >= 3 AND count(*) FILTER (post) >= 3"""
+ORACLES["event_windows"] = f"""
+    WITH e AS (SELECT {rq.HOT_USER} AS "user", ts, event_type, CAST(round(value * 100) AS BIGINT) AS cents FROM events),
+    errors AS (SELECT "user", ts, count(*) AS events FROM e WHERE event_type = 'error' AND "user" IS NOT NULL AND ts IS NOT NULL GROUP BY ALL)
+    SELECT r."user", strftime(r.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, events,
+           count(*) FILTER (e.ts < r.ts) AS facts_before, {_big('CASE WHEN e.ts < r.ts THEN cents ELSE 0 END')} AS cents_before,
+           count(*) FILTER (e.ts > r.ts) AS facts_after, {_big('CASE WHEN e.ts > r.ts THEN cents ELSE 0 END')} AS cents_after
+    FROM errors r LEFT JOIN e ON e."user" = r."user"
+      AND e.ts BETWEEN r.ts - INTERVAL 6 HOUR AND r.ts + INTERVAL 2 HOUR
+    GROUP BY r."user", r.ts, events"""

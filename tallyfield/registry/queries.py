@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import scoring
 from tallyfield.functions import typing as t
 from tallyfield.operators import matching, quality, replace
+from tallyfield.operators.bands import around
 from tallyfield.operators.ranking import rank_within
 from tallyfield.plans import queries as q
 from tallyfield.plans import ranks, reports
@@ -385,6 +387,34 @@ def quarantine_rows(spark, sf):
     return cells.select(row["game_id"].alias("game_id"), row["season"].alias("season_text"), "column", "reason", "text")
 
 
+#: A third of all games and events is one player's.
+HOT_SUPPLIER = "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END"
+HOT_USER = "CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END"
+REPORT_DAY = "event_id * 37 % 2500"
+
+
+def injury_days(spark, sf):
+    """Points in the 28 days before and after each injury report, games and reports by date."""
+    games = s.project(s.read(spark, sf, "lineitem"), {
+        "player_name": s._tag("Player ", HOT_SUPPLIER), "game_date": "CAST(l_shipdate AS DATE)",
+        "fantasy_points_std": "CASE WHEN l_linenumber < 6 THEN l_quantity END",
+    })
+    reports = s.project(s.read(spark, sf, "events"), {
+        "player_name": s._tag("Player ", HOT_USER), "report_date": f"date_add(DATE '1995-01-01', CAST({REPORT_DAY} AS INT))",
+        "injury_designation": s.INJURIES["injury_designation"],
+    })
+    return q.injury_days(games, reports).withColumn("report_date", F.date_format("report_date", "yyyy-MM-dd"))
+
+
+def event_windows(spark, sf):
+    """Events and their value in the six hours before and the two after each error of a user."""
+    events = s.project(s.read(spark, sf, "events"), {
+        "user": HOT_USER, "ts": "ts", "event_type": "event_type", "cents": "CAST(round(value * 100) AS BIGINT)",
+    })
+    bands = around(events, events.where("event_type = 'error'"), ["user"], "ts", ["cents"], timedelta(hours=6), timedelta(hours=2))
+    return bands.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def store_known_keys(spark, sf):
     """Play keys of a batch that are stored or come twice: all plays, a quarter renamed, one season not stored."""
     plays = s.plays(spark, sf)
@@ -883,4 +913,6 @@ QUERIES: dict[str, Query] = {
     "load_rejects": load_rejects,
     "quarantine_rows": quarantine_rows,
     "store_known_keys": store_known_keys,
+    "injury_days": injury_days,
+    "event_windows": event_windows,
 }
