@@ -221,8 +221,15 @@ def normalise_rows(rows: DataFrame, *, keep_generation: bool = False) -> DataFra
     return ranked.where(~strip(F.col("player_name")).isin("", "nan"))
 
 
-def read_rankings(spark: SparkSession, folder: str, glob: str = FILE_GLOB, **options) -> DataFrame:
-    """All rank files of a folder as one typed frame (file_name first)."""
+def read_rankings(spark: SparkSession, folder: str, glob: str = FILE_GLOB, *, sniff: bool = False, **options) -> DataFrame:
+    """All rank files of a folder as one typed frame (file_name first).
+
+    Files are UTF-8 with tabs; ``sniff`` finds each file's own encoding and delimiter first, by one more pass.
+    """
+    if sniff:
+        from tallyfield.sources import dialects
+
+        return normalise_rows(parse_rows(dialects.read_lines(spark, folder, glob)), **options)
     return normalise_rows(parse_rows(read_lines(spark, folder, glob)), **options)
 
 
