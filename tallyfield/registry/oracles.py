@@ -393,19 +393,19 @@ ORACLES["last_refresh"] = with_tables(
 
 # -- rankings ----------------------------------------------------------------------------------------
 
-_RANK_ROWS = (
-    f"SELECT p_partkey, {rq._RANK_FILE} AS file_name, "
-    + ", ".join(f"{e} AS {n}" for n, e in rq.RANK_CELLS.items())
-    + " FROM part"
-)
+def _rank_rows(file_name: str) -> str:
+    cells = ", ".join(f"{e} AS {n}" for n, e in rq.RANK_CELLS.items())
+    return f"SELECT p_partkey, {file_name} AS file_name, {cells} FROM part"
 
 
 def _num(c: str) -> str:
     return f"TRY_CAST({c} AS DOUBLE)"
 
 
-ORACLES["rank_clean"] = f"""
-    WITH cells AS ({_RANK_ROWS}),
+def rank_clean(file_name: str) -> str:
+    """Rankings of all parts, their lines dealt to files by an SQL expression."""
+    return f"""
+    WITH cells AS ({_rank_rows(file_name)}),
     numbered AS (SELECT *, row_number() OVER (PARTITION BY file_name ORDER BY p_partkey) AS row_no FROM cells),
     clean AS (
       SELECT file_name, CAST(substring(file_name, 7, 4) AS INTEGER) AS year,
@@ -425,6 +425,13 @@ ORACLES["rank_clean"] = f"""
            CASE WHEN file_name LIKE '%1995%' THEN given_adp ELSE rank - vs_adp END AS adp, vs_adp, position_rank
     FROM ranked WHERE player_name <> ''"""
 
+
+def rank_files(lines: int) -> str:
+    """Name of the file a part's line is in, when files hold so many lines."""
+    return f"replace({rq._RANK_FILE}, '.xls', '_' || (p_partkey // {lines}) || '.xls')"
+
+
+ORACLES["rank_clean"] = rank_clean(rq._RANK_FILE)
 ORACLES["rank_position"] = with_tables(["raw_ranks"], """
     SELECT year, position, player_name, rank,
            dense_rank() OVER (PARTITION BY year, position ORDER BY rank ASC NULLS LAST) AS place
@@ -717,9 +724,9 @@ ORACLES["sql_params"] = with_tables(["weekly"], f"""
     SELECT team, position, count(*) AS games, sum(passing_yards) AS yards FROM weekly
     WHERE season = {SEASON} AND week <= 10 GROUP BY team, position HAVING count(*) >= 2""")
 # The same lines written to files, one with a title line full of commas, and read back.
-ORACLES["rankfile_read"] = ORACLES["rank_clean"]
+ORACLES["rankfile_read"] = ORACLES["rankfile_dialects"] = rank_clean(rank_files(rq.FILE_LINES))
 ORACLES["rankfile_report"] = f"""
-    SELECT file_name, count(*) AS row_count, 'processed' AS status FROM ({ORACLES['rank_clean']}) GROUP BY file_name"""
+    SELECT file_name, count(*) AS row_count, 'processed' AS status FROM ({ORACLES['rankfile_read']}) GROUP BY file_name"""
 
 # -- load jobs -----------------------------------------------------------------------------------------------
 

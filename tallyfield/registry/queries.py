@@ -552,20 +552,48 @@ def rank_clean(spark, sf):
     return rankfiles.normalise_rows(rankfiles.parse_rows(rank_lines(spark, sf)))
 
 
-def _rank_folder(spark, sf) -> str:
-    """The same lines as text files, one with a long title full of commas; their folder."""
+#: Lines of one made-up file: each is written by one task, however many parts there are.
+FILE_LINES = 1_000_000
+#: How rank files of other dialects are written: encoding, byte order mark, delimiter.
+_DIALECTS = {
+    "ranks_1995_preseason.xls": ("UTF-16LE", "\ufeff", "\t"),
+    "ranks_1996_prepreseason.xls": ("UTF-8", "", ","),
+    "ranks_1997_preseason.xls": ("ISO-8859-1", "", ";"),
+}
+
+
+def _rank_folder(spark, sf, file_lines: int = FILE_LINES, dialects: bool = False) -> str:
+    """The same lines as text files, one layout with a long title full of commas; their folder.
+
+    A layout's lines go to as many files as they need, each with titles and header of its own.
+    """
     folder = scratch_dir(spark)
-    lines = rank_lines(spark, sf)
-    long_title = F.when((F.col("at") == 3) & F.col("file_name").contains("1995"), F.repeat(F.lit("title, "), 300))
+    at, number = F.col("at"), F.floor((F.col("at") - 10) / file_lines).cast("bigint")
+    long_title = F.when((at == 3) & F.col("file_name").contains("1995"), F.repeat(F.lit("title, "), 300))
+    lines = rank_lines(spark, sf).withColumn("value", F.coalesce(long_title, F.col("value")))
+    body = lines.where(at >= 10).withColumn("file", number)
+    tops = lines.where(at < 10).join(body.select("file_name", "file").distinct(), "file_name")
+    every = body.unionByName(tops)
     files = spark._jvm.org.apache.hadoop.fs
-    for name in _LINE_LAYOUTS:
-        one = lines.where(F.col("file_name") == name).withColumn("value", F.coalesce(long_title, F.col("value")))
-        one.repartition(1).sortWithinPartitions("at").select("value").write.text(f"{folder}/parts/{name}")
+    for name, (encoding, mark, delimiter) in _DIALECTS.items():
+        own = every.where(F.col("file_name") == name)
+        written = own.repartition("file").sortWithinPartitions("file", "at")
+        value, options = F.col("value"), {}
+        if dialects:
+            head = F.when(at == 1, F.lit(mark)).otherwise("")
+            data = F.encode(F.concat(head, F.replace(value, F.lit("\t"), F.lit(delimiter))), encoding)
+            # The text writer puts out a text's bytes as they are.
+            value, options = data.cast("string"), {"encoding": encoding, "lineSep": "\n"}
+        written.select("file", value.alias("value")).write.partitionBy("file").options(**options).text(f"{folder}/parts/{name}")
         root = files.Path(f"{folder}/parts/{name}")
         store = root.getFileSystem(spark._jsc.hadoopConfiguration())
         store.mkdirs(files.Path(f"{folder}/ranks"))
-        part = next(f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith("part-"))
-        store.rename(part, files.Path(f"{folder}/ranks/{name}"))
+        for part in store.listStatus(root):
+            if not part.isDirectory():
+                continue
+            number_of = part.getPath().getName().partition("=")[2]
+            data_file = next(f.getPath() for f in store.listStatus(part.getPath()) if f.getPath().getName().startswith("part-"))
+            store.rename(data_file, files.Path(f"{folder}/ranks/{name.replace('.xls', f'_{number_of}.xls')}"))
     return f"{folder}/ranks"
 
 
@@ -573,6 +601,11 @@ def rankfile_read(spark, sf):
     return rankfiles.read_rankings(spark, _rank_folder(spark, sf), "ranks_*")
 
 
+def rankfile_dialects(spark, sf):
+    """The same files in UTF-16, with commas, and in an 8-bit encoding with semicolons, told apart by their bytes."""
+    return rankfiles.read_rankings(spark, _rank_folder(spark, sf, dialects=True), "ranks_*", sniff=True)
+
+
 def rankfile_report(spark, sf):
     """Rows read of each file found."""
     folder = _rank_folder(spark, sf)
@@ -915,4 +948,5 @@ QUERIES: dict[str, Query] = {
     "store_known_keys": store_known_keys,
     "injury_days": injury_days,
     "event_windows": event_windows,
+    "rankfile_dialects": rankfile_dialects,
 }
