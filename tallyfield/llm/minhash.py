@@ -8,9 +8,9 @@ Texts of equal sets are one class, represented by its row of the smallest id and
 known by its id and its text's hash, so rows of one id and different texts are different documents.
 Representatives that share a band are compared without forming all pairs of a bucket: first each
 with the bucket's smallest number, if their signatures agree enough; what is linked then forms components. Only buckets that
-still hold several components are looked at again, in blocks of bounded size: there the full sets
-of different components are compared, and only links that join components come out. Every link is
-confirmed on the full shingle sets.
+still hold several components are looked at again, in blocks of bounded size: there signatures of
+different components are compared, then the full sets of those that agree enough with another, and only links that
+join components come out. Every link is confirmed on the full shingle sets.
 
 Defined results: null texts and texts without words have no shingle and are linked with nothing.
 Rows without an id take part through equal sets only: they belong to the smallest id of their
@@ -163,6 +163,26 @@ def _cluster_links(sets: list[np.ndarray], comp: np.ndarray, own: np.ndarray, tw
     return out
 
 
+def _block_wanted(members: pd.DataFrame) -> pd.DataFrame:
+    """The members that some member of another component agrees with in enough signature values."""
+    out = []
+    for _, cluster in members.groupby("cluster"):
+        signs = np.frombuffer(b"".join(cluster["signature"]), np.uint8).reshape(len(cluster), -1)
+        component, own = cluster["component"].to_numpy(), cluster["own"].to_numpy()
+        two = cluster["block_a"].iloc[0] != cluster["block_b"].iloc[0]
+        wanted = np.zeros(len(cluster), bool)
+        for at in range(len(cluster) - 1):
+            may = component[at + 1 :] != component[at]
+            if two:
+                may &= own[at + 1 :] != own[at]
+            if may.any():
+                near = may & ((signs[at + 1 :] == signs[at]).mean(axis=1) >= LEAST_AGREEMENT)
+                wanted[at + 1 :] |= near
+                wanted[at] |= near.any()
+        out.append(cluster[wanted])
+    return pd.concat(out).drop(columns="signature")
+
+
 def _block_links(members: pd.DataFrame) -> pd.DataFrame:
     """Confirmed links inside the clusters (or between the two blocks of one) that a task holds."""
     out = []
@@ -204,8 +224,9 @@ class Linker:
     def left_over(self, members: DataFrame, parts: DataFrame) -> DataFrame:
         """Links that the stars missed, from buckets that still hold several components.
 
-        Buckets with members in common are one cluster, so that a document's text goes to each
-        pair of blocks once, however many bands it shares. Small clusters share tasks.
+        Buckets with members in common are one cluster, so that a document goes to each pair of blocks
+        once, however many bands it shares. Small clusters share tasks. Signatures go there first;
+        texts only of those that agree with a member of another component.
         """
         marked = stored(members.join(parts, members["rep"] == parts["node"], "left").select(
             "key", "pivot", "rep", F.coalesce("component", "rep").alias("component")
@@ -236,8 +257,10 @@ class Linker:
                 F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
             )
         )
-        texts = self.texts(nodes.select("rep"))
-        work = dealt.join(texts, "rep").groupBy("task", "alone", "block_a", "block_b")
+        pair = ["task", "alone", "block_a", "block_b"]
+        signed = dealt.join(self.reps.select("rep", "signature"), "rep").groupBy(*pair)
+        wanted = stored(signed.applyInPandas(_block_wanted, dealt.schema))
+        work = wanted.join(self.texts(wanted.select("rep")), "rep").groupBy(*pair)
         return stored(work.applyInPandas(_block_links, PAIR).distinct())
 
 
