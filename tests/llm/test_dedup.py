@@ -109,24 +109,6 @@ def test_near_against_brute_force(docs, monkeypatch):
     near_is_right(rows, minhash.near_duplicates(docs(rows).repartition(4)).collect())
 
 
-def test_near_texts_of_one_template_stay_where_they_are(docs, monkeypatch):
-    """Documents at a similarity of 0.3 share bands by chance: one cluster, but no pair asks for texts."""
-    draw, template = np.random.default_rng(11), " ".join(f"same{i}" for i in range(60))
-    rows = [(i, template + " " + " ".join(f"w{v}" for v in draw.integers(0, 1 << 40, 66))) for i in range(1500)]
-    rows += [(9000, rows[700][1] + " and one more"), (9001, rows[3][1])]
-    moved, texts = [], minhash.Linker.texts
-
-    def counted(self, frame):
-        moved.append(frame.distinct().count())
-        return texts(self, frame)
-
-    monkeypatch.setattr(minhash.Linker, "texts", counted)
-    monkeypatch.setattr(minhash, "BLOCK", 128)
-    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs(rows).repartition(4)).collect()}
-    assert got == {i: i for i, _ in rows} | {9000: 700, 9001: 3}
-    assert len(moved) == 2 and sum(moved) < 30
-
-
 def test_near_query(spark, sf_dir, documents):
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
     near_is_right(rows, minhash.query(spark, sf_dir).collect())
