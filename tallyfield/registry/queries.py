@@ -433,11 +433,18 @@ LANDED = {
 }
 
 
+#: Rows of a landed JSON file at most.
+JSON_FILE_ROWS = 500_000
+
+
 def _loaded(spark, sf, kind: str) -> Warehouse:
     """All tables written to a landing folder and loaded by the job, two seasons of the seasonal ones."""
     folder = scratch_dir(spark)
     for table, frame in LANDED.items():
-        frame(spark, sf).write.option("header", True).format(kind).save(f"{folder}/landing/{table}")
+        writer = frame(spark, sf).write.option("header", True)
+        if kind == "json":  # names in every row: compressed, in files that each one task reads
+            writer = writer.option("compression", "gzip").option("maxRecordsPerFile", JSON_FILE_ROWS)
+        writer.format(kind).save(f"{folder}/landing/{table}")
     store = Warehouse(spark, f"{folder}/store")
     extract_all(store, Landing(spark, f"{folder}/landing", kind), [SEASON, SEASON + 1])
     return store
