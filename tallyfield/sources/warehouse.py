@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tallyfield.functions.typing import align, rename_reserved, with_audit
 from tallyfield.operators.replace import next_ids
 from tallyfield.schemas import REFRESH_STATUSES, TABLES, TableSpec
+from tallyfield.session import compiled
 from tallyfield.sources import keyfilters, profiles
 from tallyfield.sources.switch import Switch
 
@@ -24,6 +25,18 @@ LOG_COLUMNS = (
 )
 
 
+Widen = Callable[[DataFrame], DataFrame]
+
+
+def _as_stored(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
+    """Columns stored before in the types they have there."""
+    return df.select(*[
+        F.col(f"`{f.name}`").try_cast(types[f.name]).alias(f.name)
+        if types.get(f.name, f.dataType) != f.dataType else F.col(f"`{f.name}`")
+        for f in df.schema
+    ])
+
+
 class Warehouse:
     """Named tables under one root folder (any file system Spark can write)."""
 
@@ -59,20 +72,15 @@ class Warehouse:
             known = self.spark.read.option("mergeSchema", True).parquet(self.path(table)).schema
         return known
 
-    def _add_columns(self, rows: DataFrame, table: str) -> DataFrame:
-        """Record a batch's columns; those stored before keep their types."""
+    def _add_columns(self, found: T.StructType, table: str) -> dict[str, T.DataType]:
+        """Record a batch's columns; those stored before keep their types, which are returned."""
         known = self.columns(table)
         types = {f.name: f.dataType for f in known} if known else {}
-        rows = rows.select(*[
-            F.col(f"`{f.name}`").try_cast(types[f.name]).alias(f.name)
-            if types.get(f.name, f.dataType) != f.dataType else F.col(f"`{f.name}`")
-            for f in rows.schema
-        ])
-        fields = [*(known or []), *[f for f in rows.schema if f.name not in types]]
+        fields = [*(known or []), *[f for f in found if f.name not in types]]
         if known is None or len(fields) > len(known) or self._schema_at(self._columns_path(table)) is None:
             union = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
             self.spark.createDataFrame([], union).coalesce(1).write.mode("overwrite").parquet(self._columns_path(table))
-        return rows
+        return types
 
     def read(self, table: str) -> DataFrame:
         """A stored table with every column that any batch brought, declared columns first.
@@ -111,38 +119,54 @@ class Warehouse:
         """As insert(), with the rows of each of some seasons, all counted in the one write."""
         spec = TABLES[table]
         at = datetime.now(timezone.utc).replace(tzinfo=None)
-        rows = align(with_audit(rename_reserved(batch), at), table)
+        rows = rename_reserved(batch)
+
+        def widened(df: DataFrame) -> DataFrame:
+            return align(with_audit(df, at), table)
+
         if spec.full_replace:
             # Only small tables are replaced as a whole; the test stops at the first row.
             if batch.isEmpty():
                 return 0, {int(s): 0 for s in seasons}
-            return self._write(rows, spec, "switch" if replace else "extend", seasons)[::2]
-        rows = self._add_columns(rows, table)
+            return self._write(widened(rows), spec, "switch" if replace else "extend", seasons)[::2]
+        types = self._add_columns(widened(rows).schema, table)
+
+        def whole(df: DataFrame) -> DataFrame:
+            """With all declared columns; what the batch lacks is added only where the rows are written."""
+            return _as_stored(widened(df), types)
+
+        # A key column that the batch lacks is needed before.
+        lacking = [k for k in spec.replace_by if k not in rows.columns]
+        rows = _as_stored(rows.withColumns({k: F.lit(None).cast(spec.types[k]) for k in lacking}), types)
         if spec.replace_by and replace:
-            return self._replace_partitions(rows, spec, seasons)
-        return self._write(rows, spec, "append", seasons)[::2]
+            return self._replace_partitions(rows, spec, seasons, whole)
+        return self._write(rows, spec, "append", seasons, whole=whole)[::2]
 
-    def _replace_partitions(self, rows: DataFrame, spec: TableSpec, seasons: Iterable[int]) -> tuple[int, dict[int, int]]:
+    def _replace_partitions(
+        self, rows: DataFrame, spec: TableSpec, seasons: Iterable[int], whole: Widen
+    ) -> tuple[int, dict[int, int]]:
         """Overwrite exactly the partitions in the batch.
 
         Rows lacking a partition value are added, never used to replace others: their
         partition would otherwise be overwritten by each batch.  They are counted on the way,
         and the batch is read a second time only if there are any.
         """
-        whole = F.lit(True)
+        keyed = F.lit(True)
         for k in spec.replace_by:
-            whole = whole & F.col(k).isNotNull()
-        n, kept, by_season = self._write(rows, spec, "overwrite", seasons, keep=whole)
+            keyed = keyed & F.col(k).isNotNull()
+        n, kept, by_season = self._write(rows, spec, "overwrite", seasons, keep=keyed, whole=whole)
         if n > kept:
-            self._write(rows.where(~whole), spec, "append", ())
+            self._write(rows.where(~keyed), spec, "append", (), whole=whole)
         return n, by_season
 
     def _write(
-        self, rows: DataFrame, spec: TableSpec, mode: str, seasons: Iterable[int], *, keep: Column | None = None
-    ) -> tuple[int, int, dict[int, int]]:
+        self, rows: DataFrame, spec: TableSpec, mode: str, seasons: Iterable[int], *,
+        keep: Column | None = None, whole: Widen | None = None,
+    ) -> tuple[int, int, dict[int, int]]:
         """Write rows; returns how many came, how many were kept, and how many came of each season.
 
         With ``keep`` only rows it holds for are written, and only their partitions replaced.
+        ``whole`` adds the columns that the batch lacks, once rows are moved and sorted without them.
         """
         seen, keys, seasons = Observation(), spec.replace_by, [int(s) for s in seasons]
         if keys:
@@ -164,12 +188,17 @@ class Warehouse:
                 rows = self.read(spec.name).unionByName(rows, allowMissingColumns=True)
             self.versions.replace(rows, spec.name)
         else:
-            writer = (rows if keep is None else rows.where(keep)).write.mode(mode)
+            rows = rows if keep is None else rows.where(keep)
+            if keys:
+                # In the order that the write asks for, which else would sort the whole rows.
+                rows = rows.sortWithinPartitions(*keys)
+            writer = (rows if whole is None else whole(rows)).write.mode(mode)
             if keys:
                 writer = writer.partitionBy(*keys)
             if keep is not None:
                 writer = writer.option("partitionOverwriteMode", "dynamic")
-            writer.parquet(self.path(spec.name))
+            with compiled(self.spark):
+                writer.parquet(self.path(spec.name))
         got = seen.get
         if keys:
             profiles.renew(self, spec.name, keys, [tuple(p) for p in got["partitions"]])

@@ -2,9 +2,12 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyfield.registry import queries
+from tallyfield.schemas import TABLES
+from tallyfield.sources.warehouse import Warehouse
 
 
 def test_landed_json_is_compressed_in_files_of_bounded_rows(spark, sf_dir, tmp_path, monkeypatch):
@@ -19,3 +22,28 @@ def test_landed_json_is_compressed_in_files_of_bounded_rows(spark, sf_dir, tmp_p
     assert spark.read.text(str(landed)).count() == lines.count()
     want = lines.where(F.year("l_shipdate").isin(queries.SEASON, queries.SEASON + 1)).count()
     assert store.read("weekly_stats").count() == store.read("pbp_data").count() == want
+
+
+@pytest.mark.parametrize("batch_keys", [["season", "week"], ["season"]])
+def test_rows_are_sorted_before_absent_columns_are_added(spark, tmp_path, monkeypatch, batch_keys):
+    seen, write = [], Warehouse._write
+
+    def spied(self, rows, spec, mode, seasons, **options):
+        whole = options.get("whole")
+        if whole is not None:
+            options["whole"] = lambda df: (seen.append(df), whole(df))[1]
+        return write(self, rows, spec, mode, seasons, **options)
+
+    monkeypatch.setattr(Warehouse, "_write", spied)
+    store = Warehouse(spark, str(tmp_path))
+    rows = [(f"P{i}", 2000 + i % 2 if i % 5 else None, i % 3) for i in range(40)]
+    batch = spark.createDataFrame(rows, "player_id string, season int, week int").select("player_id", *batch_keys)
+    assert store.insert(batch, "weekly_stats") == 40
+    moved = seen[0]
+    assert moved.columns[:2] == ["player_id", "season"] and len(moved.columns) == 3
+    assert "Sort [season" in moved._jdf.queryExecution().analyzed().toString()
+    got = store.read("weekly_stats")
+    assert set(TABLES["weekly_stats"].types) < set(got.columns)
+    week = F.col("week") if "week" in batch_keys else F.lit(None).cast("int")
+    want = batch.withColumn("week", week).select("player_id", "season", "week")
+    assert sorted(got.select(*want.columns).collect(), key=str) == sorted(want.collect(), key=str)
