@@ -20,6 +20,9 @@ WHITESPACE = " \t\r\n\f\v"
 WHITESPACE_SQL = r" \t\r\n\u000C\u000B"
 # --- end of fixed values ---
 
+#: What numbers are written with, the infinite ones aside, and white space.
+_NUMBER_CHARACTERS = "0123456789.+-eE" + WHITESPACE_SQL
+
 # Java's own parser also takes "12d" and "0x1p3"; a statistics file never means those.
 _NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)$"
 
@@ -39,8 +42,11 @@ def number_sql(name: str, source: T.DataType | None = None) -> str:
         return f"nanvl(CAST({col} AS DOUBLE), NULL)"
     if isinstance(source, (T.NumericType, T.BooleanType)):
         return f"CAST({col} AS DOUBLE)"
-    text = f"btrim(CAST({col} AS STRING), '{WHITESPACE_SQL}')"
-    return f"CASE WHEN {text} RLIKE r'{_NUMBER}' THEN try_cast({text} AS DOUBLE) END"
+    text = f"CAST({col} AS STRING)"
+    # Text of these characters alone is a number just if it converts: the pattern is left to the rest.
+    plain = f"btrim({text}, '{_NUMBER_CHARACTERS}') = ''"
+    pattern = f"btrim({text}, '{WHITESPACE_SQL}') RLIKE r'{_NUMBER}'"
+    return f"CASE WHEN {plain} OR {pattern} THEN try_cast({text} AS DOUBLE) END"
 
 
 def to_double(name: str, source: T.DataType | None = None) -> Column:

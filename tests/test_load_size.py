@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfield.functions.typing import number_sql
 from tallyfield.registry import queries
 from tallyfield.schemas import TABLES
 from tallyfield.sources.warehouse import Warehouse
@@ -47,3 +48,17 @@ def test_rows_are_sorted_before_absent_columns_are_added(spark, tmp_path, monkey
     week = F.col("week") if "week" in batch_keys else F.lit(None).cast("int")
     want = batch.withColumn("week", week).select("player_id", "season", "week")
     assert sorted(got.select(*want.columns).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_numbers_without_the_pattern_are_those_with_it(spark):
+    texts = [
+        "12", " 12.5\t", ".5", "5.", "+1e3", "1E-2", "-0", "12d", "1f", "0x1p3", "NaN", "nan", "Inf", " inf\n", "-infinity",
+        "INF", "Infinity", "1e400", "+-1", "e5", "1e", ".", "+", "", " ", "1 2", "1\n2", "\u000112", "12 ", "٣", "1,5", None,
+    ]
+    pattern = r"r'^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)$'"
+    text = r"btrim(t, ' \t\r\n\u000C\u000B')"
+    by_pattern = f"CASE WHEN {text} RLIKE {pattern} THEN try_cast({text} AS DOUBLE) END"
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for t, got, want in frame.select("t", F.expr(number_sql("t", frame.schema["t"].dataType)), F.expr(by_pattern)).collect():
+        assert got == want, repr(t)
+    assert "OR" in number_sql("t")
