@@ -388,3 +388,32 @@ def test_array_decides_inside_main(spark):
         assert all(got[i] == [own[i]] for i in own)
         assert all(got[100 + i] == [f"{shared}\n\n{own[i]} a"] for i in range(3))
         assert sorted(got[None]) == [f"{n}one own" for n in range(3)]
+
+
+def test_array_decides_inside_articles(spark):
+    """A host's template inside its articles goes, whole blocks only; copies and shared passages stay."""
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choices("abcdefgh", k=7))
+    notice = "Read our terms before you copy any of this"
+    own = {i: " ".join(word() for _ in range(30)) for i in range(40)}
+    shared = " ".join(word() for _ in range(9))
+    rows, want = [], {}
+
+    def page(host, i, *texts, lost=()):
+        rows.append((len(rows), f"http://{host}/{i}", f"<nav>menu</nav><article>{''.join(f'<p>{t}</p>' for t in texts)}</article>"))
+        want[len(rows) - 1] = "\n\n".join(t for t in texts if t not in lost)
+
+    for i in own:  # the notice in most articles, in some as a part of a block, a passage in a few
+        if i % 4:
+            page("most", i, own[i], notice, f"{notice} {i}", "short block", *[shared] * (i < 12), lost=[notice])
+        else:
+            page("most", i, own[i], "short block")
+        page("few", i, own[i], *[notice] * (i < 18))  # less than half of them
+        page("copies", i, own[0], notice)
+        page("near", i, f"{own[0]} {i}", own[1], notice)
+    for i in range(7):
+        page("small", i, own[i], notice)
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1000, 7):
+        got = {r["page_id"]: r["text"] for r in html_main.extract(frame, size).collect()}
+        assert got == want, size
