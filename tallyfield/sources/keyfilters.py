@@ -84,8 +84,16 @@ def _rows_of(store: Warehouse, table: str, partitions: Sequence[str], keys: Sequ
     root, schema = store.path(table), store.read(table).schema
     paths = [root + p.rstrip("/") for p in partitions]
     rows = store.spark.read.schema(schema).option("basePath", root).parquet(*paths)
-    own = F.regexp_extract(F.col("_metadata.file_path"), _PARTITION, 1)
-    return rows.select(*[F.col(f"`{k}`") for k in keys], F.concat(F.url_decode(own), F.lit("/")).alias(_ROW))
+    return rows.select(*[F.col(f"`{k}`") for k in keys], _own_partition(partitions[0].count("/") - 1).alias(_ROW))
+
+
+def _own_partition(depth: int) -> Column:
+    """As _partition_of() the path of each row's file, so many folders deep; once a row, so without a pattern."""
+    if not depth:
+        return F.lit("/")
+    own = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -depth - 1), "/", depth)
+    plain = F.when(own.contains("%"), F.url_decode(F.replace(own, F.lit("+"), F.lit("%2B")))).otherwise(own)
+    return F.concat(F.lit("/"), plain, F.lit("/"))
 
 
 def _levels(rows: DataFrame) -> DataFrame:
@@ -95,13 +103,19 @@ def _levels(rows: DataFrame) -> DataFrame:
     return rows.groupBy(_ROW).agg(F.count(F.lit(1)).alias("n")).select(_ROW, level.alias("level"))
 
 
+def _placed(rows: DataFrame, levels: dict[str, int], keys: Sequence[str]) -> DataFrame:
+    """Block and masks of each row's key; the few levels go to the rows, which are not moved for them."""
+    known = rows.sparkSession.createDataFrame(list(levels.items()), f"{_ROW} string, level int")
+    hashed = rows.join(F.broadcast(known), _ROW)
+    return hashed.select(F.col(_ROW).alias("partition"), "level", *_hashes(keys, F.col("level")))
+
+
 def _build(store: Warehouse, table: str, partitions: Sequence[str], keys: Sequence[str]) -> dict[str, int]:
     """Write the filters of some partitions over their earlier ones; returns their levels."""
     rows = _rows_of(store, table, partitions, keys)
     # One row a partition, as many as Spark itself lists.
     levels = {r[0]: r[1] for r in _levels(rows).collect()}
-    known = store.spark.createDataFrame(list(levels.items()), f"{_ROW} string, level int")
-    placed = rows.join(known, _ROW).select(F.col(_ROW).alias("partition"), "level", *_hashes(keys, F.col("level")))
+    placed = _placed(rows, levels, keys)
     words = [F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS)]
     filters = placed.groupBy("partition", "level", "block").agg(*words).hint("rebalance", "partition")
     writer = filters.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("partition")

@@ -111,3 +111,26 @@ def test_tables_replaced_as_a_whole(spark, store):
     assert known(store.known_keys(teams.where("team_abbr = 'B'"), "teams")) == [("B", 1, 1)]
     store.insert(teams.where("team_abbr = 'A'"), "teams")
     assert known(store.known_keys(teams, "teams")) == [("A", 1, 1)]
+
+
+def test_partitions_of_any_name_are_told_from_paths(spark, store):
+    rows = [(i, v) for i, v in enumerate(["a+b", "a b", "50%", "x/y", "1=2", "é+%", None])]
+    store.rebuild(spark.createDataFrame(rows, "k int, team string"), "odd", ["team"])
+    batch = spark.createDataFrame([(i,) for i in range(9)], "k int")
+    assert known(store.known_keys(batch, "odd", ["k"])) == [(i, 1, 1) for i, _ in rows]
+    store.rebuild(spark.createDataFrame(rows, "k int, team string"), "flat")
+    assert known(store.known_keys(batch, "flat", ["k"])) == [(i, 1, 1) for i, _ in rows]
+
+
+def test_rows_are_not_moved_for_the_levels(spark, store):
+    store.insert(games(spark, 2022, 100).unionByName(games(spark, 2023, 100)), "pbp_data")
+    levels = {"/season=2022/": 0, "/season=2023/": 1}
+    rows = keyfilters._rows_of(store, "pbp_data", list(levels), KEYS)
+    for limit in ("-1", "10m"):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            plan = keyfilters._placed(rows, levels, KEYS)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "hashpartitioning" not in plan
