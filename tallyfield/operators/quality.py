@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,11 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def count_where(hit: Column) -> Column:
+    """Rows that a condition holds for. Unlike ``count_if``, the plan holds no column for it in every row."""
+    return F.count(F.when(hit, F.lit(1)))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [
         f.name for f in df.schema.fields
@@ -39,7 +44,7 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     columns = list(columns) if columns is not None else numeric_columns(df)
     counts = df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(columns)],
+        *[count_where(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(columns)],
     )
     cells = F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("null_count")) for i, c in enumerate(columns)

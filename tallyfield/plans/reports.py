@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.operators.quality import (
+    count_where,
     expect_at_rank,
     numeric_columns,
     repeated_rows,
@@ -76,7 +77,7 @@ def _profile(df: DataFrame, name: str, by_season: bool, null_threshold: float |
     """Rows, rows of each season and high-NULL columns of one table, in one pass over it."""
     numbers = [] if null_threshold is None else numeric_columns(df)
     counts = df.groupBy(*(["season"] if by_season else [])).agg(
-        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(numbers)]
+        F.count(F.lit(1)).alias("n"), *[count_where(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(numbers)]
     )
     return _summed(counts, numbers, len(df.columns), name, by_season, null_threshold)
 

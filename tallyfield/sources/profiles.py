@@ -15,6 +15,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyfield.operators.quality import count_where
 from tallyfield.operators.quality import numeric_columns as numbers
 
 if TYPE_CHECKING:
@@ -31,7 +32,7 @@ def partition_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A profile row for each partition of a frame."""
     columns = numbers(df)
     counted = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("row_count"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(columns)]
+        F.count(F.lit(1)).alias("row_count"), *[count_where(F.col(f"`{c}`").isNull()).alias(f"_{i}") for i, c in enumerate(columns)]
     )
     pairs = [cell for i, c in enumerate(columns) for cell in (F.lit(c), F.col(f"_{i}"))]
     nulls = F.create_map(*pairs) if pairs else F.create_map().cast("map<string, bigint>")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyfield.functions.typing import align, rename_reserved, with_audit
+from tallyfield.operators.quality import count_where
 from tallyfield.operators.replace import next_ids
 from tallyfield.schemas import REFRESH_STATUSES, TABLES, TableSpec
 from tallyfield.session import compiled
@@ -167,18 +168,22 @@ class Warehouse:
 
         With ``keep`` only rows it holds for are written, and only their partitions replaced.
         ``whole`` adds the columns that the batch lacks, once rows are moved and sorted without them.
+        Rows pass from the exchange through the sort and the counts as they are; a filter or a column
+        added before would copy each of them.
         """
         seen, keys, seasons = Observation(), spec.replace_by, [int(s) for s in seasons]
         if keys:
             # Rebalance gathers a partition's rows into few files and lets adaptive execution
             # split one that is far larger than the rest.
             rows = rows.hint("rebalance", *keys)
-        counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.lit(True) if keep is None else keep).alias("kept")]
+            # In the order that the write asks for, which else would sort the whole rows.
+            rows = rows.sortWithinPartitions(*keys)
+        counts = [F.count(F.lit(1)).alias("n"), count_where(F.lit(True) if keep is None else keep).alias("kept")]
         if "season" in rows.columns:
-            counts += [F.count_if(F.col("season") == s).alias(f"s{s}") for s in seasons]
+            counts += [count_where(F.col("season") == s).alias(f"s{s}") for s in seasons]
         numbers = [] if keys else profiles.numbers(rows)
         # Of a table without partitions the profile is counted on the way, like the rows.
-        counts += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null{i}") for i, c in enumerate(numbers)]
+        counts += [count_where(F.col(f"`{c}`").isNull()).alias(f"null{i}") for i, c in enumerate(numbers)]
         if keys:
             counts.append(F.collect_set(F.struct(*keys)).alias("partitions"))
         # Counted on the way through; above the hint, so that an empty batch counts as 0.
@@ -189,9 +194,6 @@ class Warehouse:
             self.versions.replace(rows, spec.name)
         else:
             rows = rows if keep is None else rows.where(keep)
-            if keys:
-                # In the order that the write asks for, which else would sort the whole rows.
-                rows = rows.sortWithinPartitions(*keys)
             writer = (rows if whole is None else whole(rows)).write.mode(mode)
             if keys:
                 writer = writer.partitionBy(*keys)

@@ -6,8 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfield.functions.typing import number_sql
+from tallyfield.operators import quality
 from tallyfield.registry import queries
 from tallyfield.schemas import TABLES
+from tallyfield.sources import profiles
+from tallyfield.sources.landing import Landing
 from tallyfield.sources.warehouse import Warehouse
 
 
@@ -62,3 +65,47 @@ def test_numbers_without_the_pattern_are_those_with_it(spark):
     for t, got, want in frame.select("t", F.expr(number_sql("t", frame.schema["t"].dataType)), F.expr(by_pattern)).collect():
         assert got == want, repr(t)
     assert "OR" in number_sql("t")
+
+
+def test_rows_are_not_copied_between_exchange_and_write(spark, tmp_path, monkeypatch):
+    seen, write = [], Warehouse._write
+
+    def spied(self, rows, spec, mode, seasons, **options):
+        whole = options["whole"]
+        options["whole"] = lambda df: (seen.append(df), whole(df))[1]
+        return write(self, rows, spec, mode, seasons, **options)
+
+    monkeypatch.setattr(Warehouse, "_write", spied)
+    rows = [(f"P{i}", 2000 + i % 2 if i % 5 else None, i % 3 or None, i if i % 4 else None) for i in range(60)]
+    batch = spark.createDataFrame(rows, "player_id string, season int, week int, attempts int")
+    store = Warehouse(spark, str(tmp_path))
+    counted = store.insert_counted(batch, "weekly_stats", [2000, 2001, 1990])
+    assert counted == (60, {s: sum(r[1] == s for r in rows) for s in (2000, 2001, 1990)})
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Sort [season") < plan.index("RebalancePartitions")
+    assert "_common_expr" not in plan
+    assert sorted(store.read("weekly_stats").select(*batch.columns).collect(), key=str) == sorted(batch.collect(), key=str)
+
+
+def test_profiles_add_no_column_for_each_count(spark):
+    rows = [(2000, 1, 1, 0.5), (2000, 1, None, float("nan")), (2000, None, 3, None), (None, None, None, None)]
+    frame = spark.createDataFrame(rows, "season int, week int, attempts int, sacks double")
+    profile = profiles.partition_rows(frame, ["season", "week"])
+    got = {(r.season, r.week): (r.row_count, r.nulls["attempts"], r.nulls["sacks"]) for r in profile.collect()}
+    assert got == {(2000, 1): (2, 1, 0), (2000, None): (1, 0, 1), (None, None): (1, 1, 1)}
+    for counted in (profile, quality.null_profile(frame)):
+        assert "_common_expr" not in counted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_landed_rows_are_filtered_apart_from_their_conversion(spark, tmp_path):
+    rows = [(f"P{i}", 2000 + i % 3, i % 4, float(i) if i % 7 else float("nan")) for i in range(200)]
+    frame = spark.createDataFrame(rows, "player_id string, season int, week int, sacks double")
+    frame.repartition(5).write.parquet(str(tmp_path / "weekly_stats"))
+    landing = Landing(spark, str(tmp_path))
+    got = landing.read("weekly_stats", [2000], 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Project") < plan.index("Coalesce") < plan.index("Filter") < plan.index("FileScan")
+    assert "EqualTo(season,2000)" in plan and "EqualTo(week,3)" in plan
+    assert got.rdd.getNumPartitions() == landing.raw("weekly_stats").rdd.getNumPartitions() > 1
+    assert sorted(r.player_id for r in got.collect()) == sorted(r[0] for r in rows if r[1:3] == (2000, 3))
+    assert "Coalesce" not in landing.read("weekly_stats")._jdf.queryExecution().executedPlan().toString()
